@@ -1,0 +1,29 @@
+"""Null functions (X17-X20) with their SQL meaning spelled out."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(x):
+    return F.col(x) if isinstance(x, str) else x
+
+
+def ifnull(a, b) -> Column:
+    """``a`` unless it is NULL, then ``b`` (same as two-argument coalesce)."""
+    return F.ifnull(_c(a), _c(b))
+
+
+def nvl(a, b) -> Column:
+    return F.nvl(_c(a), _c(b))
+
+
+def nullif(a, b) -> Column:
+    """NULL when ``a = b``; otherwise ``a`` (the type is ``a``'s)."""
+    return F.nullif(_c(a), _c(b))
+
+
+def nvl2(a, if_not_null, if_null) -> Column:
+    """``if_not_null`` when ``a`` is not NULL, else ``if_null``."""
+    return F.nvl2(_c(a), _c(if_not_null), _c(if_null))

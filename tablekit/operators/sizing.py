@@ -1,0 +1,29 @@
+"""Size checks that gate broadcasting.
+
+A side is broadcast only after an exact row-count bound has been proven with a
+``limit(n + 1).count()`` job, or when Spark's adaptive execution decides from
+the runtime size of a finished shuffle stage.  Both are checks of the actual
+data, never of an assumption about it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows under which a side of a join may be broadcast after the check.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows (stops early)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when its row count is proven small.
+
+    Otherwise ``df`` is returned unchanged and the planner (with AQE) picks a
+    shuffled join.
+    """
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
