@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablekit.operators.sizing import broadcast_if_bounded
+from tablekit.session import ensure_checkpoint_dir
 
 _MID = "__tk_mid"
 _BLK = "__tk_block"
@@ -64,6 +65,9 @@ def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str
     offsets = summary.select(
         file_col, block_col, "__first",
         F.coalesce(F.sum("__n").over(per_file), F.lit(0)).alias("__offset"))
+    # Materialise the small summary once in the shared checkpoint folder: the
+    # size check and the join then read it instead of re-scanning the input.
+    offsets = offsets.checkpoint(eager=True)
     offsets = broadcast_if_bounded(offsets, summary_max_rows)
     joined = base.join(offsets, [file_col, block_col])
     seq = F.col("__offset") + (F.col(_MID) - F.col("__first")) + F.lit(1)
@@ -79,6 +83,11 @@ def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None
     output) leaves out files already ingested, so a re-run does not append the
     same rows twice.  Empty files contribute no rows.
     """
+    # The summary scan needs no data columns; with CSV column pruning on, such a
+    # scan may treat a malformed line differently from the full scan.  Parsing
+    # every column in both keeps their rows identical.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    ensure_checkpoint_dir(spark)
     df = read_csv_dir(spark, src, schema=schema, **options)
     # Ids are taken straight off the scan; skipping whole files afterwards
     # cannot change the numbering of the files that remain.

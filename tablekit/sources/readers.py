@@ -27,7 +27,10 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType
               **options) -> DataFrame:
     """JSON lines (S1-S5).  Without ``schema`` the columns are inferred and come
     out in alphabetical order.  ``corrupt_column`` keeps the raw text of a bad
-    line (PERMISSIVE only) so it can be quarantined."""
+    line (PERMISSIVE only) so it can be quarantined.
+
+    A line is judged on the columns a query reads: ``count()`` alone reads none,
+    so DROPMALFORMED then drops only lines that are not JSON at all."""
     r = spark.read.option("mode", _mode(mode))
     if corrupt_column:
         r = r.option("columnNameOfCorruptRecord", corrupt_column)
@@ -36,6 +39,18 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return r.options(**{k: str(v) for k, v in options.items()}).json(path)
 
 
+def split_corrupt(df: DataFrame, corrupt_column: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the corrupt column, quarantined raw lines).
+
+    Both sides keep every parsed column in the plan: Spark refuses a scan whose
+    only referenced column is the corrupt-record column.
+    """
+    cols = [c for c in df.columns if c != corrupt_column]
+    good = df.where(F.col(corrupt_column).isNull()).select(*cols)
+    bad = df.where(F.col(corrupt_column).isNotNull()).select(*cols, corrupt_column)
+    return good, bad
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
              header: bool = True, sep: str = ",", null_value: str | None = None,
              date_format: str | None = None, mode: str = "PERMISSIVE", **options) -> DataFrame:
