@@ -45,12 +45,19 @@ def dedup_changes(changes: DataFrame, key, order_by) -> DataFrame:
 
 
 def classify(changes: DataFrame, target: DataFrame, key, op_col: str = "op") -> DataFrame:
-    """Tag each change UPDATE (key exists in target) or INSERT."""
+    """Tag each change UPDATE (key exists in target) or INSERT.
+
+    The target's keys are first reduced to those present in the change set (a
+    semi join, which streams the target past the usually small change keys);
+    the changes are then tagged with a left join to that reduced key set.
+    """
     k = _names(key)
-    keys = target.select(*k)
-    upd = changes.join(keys, k, "left_semi").withColumn(op_col, F.lit("UPDATE"))
-    ins = changes.join(keys, k, "left_anti").withColumn(op_col, F.lit("INSERT"))
-    return upd.unionByName(ins)
+    hit = "__tk_hit"
+    present = (target.select(*k).join(changes.select(*k), k, "left_semi")
+                     .distinct().withColumn(hit, F.lit(True)))
+    tagged = changes.join(present, k, "left")
+    op = F.when(F.col(hit), F.lit("UPDATE")).otherwise(F.lit("INSERT"))
+    return tagged.select(*changes.columns, op.alias(op_col))
 
 
 def _prepare(target: DataFrame, changes: DataFrame, key, order_by, validate: bool) -> DataFrame:
@@ -75,9 +82,18 @@ def upsert(target: DataFrame, changes: DataFrame, key, order_by: Sequence[str] |
 
 def update_matched(target: DataFrame, changes: DataFrame, key,
                    order_by: Sequence[str] | str | None = None, validate: bool = True) -> DataFrame:
-    """The full new target after UPDATE only; changes without a target row are ignored (U4)."""
+    """The full new target after UPDATE only; changes without a target row are ignored (U4).
+
+    One left join of the target to the (key-unique) changes: a matched row
+    takes the change row whole, NULLs included; an unmatched row is kept.
+    """
     k = _names(key)
     ch = _prepare(target, changes, key, order_by, validate)
-    kept = target.join(ch.select(*k), k, "left_anti")
-    hits = ch.join(target.select(*k), k, "left_semi")
-    return kept.unionByName(hits)
+    hit = "__tk_hit"
+    ch2 = ch.select(*[F.col(c).alias(f"__tk_c_{c}") if c not in k else F.col(c) for c in ch.columns],
+                    F.lit(True).alias(hit))
+    joined = target.join(ch2, k, "left")
+    cols = [F.col(c) if c in k else
+            F.when(F.col(hit), F.col(f"__tk_c_{c}")).otherwise(F.col(c)).alias(c)
+            for c in target.columns]
+    return joined.select(*cols)
