@@ -106,7 +106,9 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
     if how in ("right", "full"):
         if right_key is None and how == "full":
             raise ValueError("outer array join needs right_key")
-        elems = exploded.select(F.col(_E))
+        # Distinct elements, reduced map-side first: a hot element reaches the
+        # shuffle once per task instead of once per row.
+        elems = exploded.select(F.col(_E)).distinct()
         unmatched = right.join(elems, right[value_col] == elems[_E], "left_anti")
         parts.append(unmatched.select(*[F.lit(None).cast(f.dataType).alias(f.name)
                                         for f in left.schema.fields],

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablekit.operators.sizing import broadcast_if_bounded
+
 PARSE_MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
@@ -95,7 +97,8 @@ def read_delimited_text(spark: SparkSession, path: str, names: Sequence[str], ty
         # The first line of a file is the first line of the split at offset 0.
         lines = lines.withColumn("__i", F.monotonically_increasing_id())
         firsts = lines.where(F.col("__b") == 0).groupBy("__f").agg(F.min("__i").alias("__i"))
-        lines = lines.join(F.broadcast(firsts), ["__f", "__i"], "left_anti")
+        # One row per file: broadcast only after the count is checked.
+        lines = lines.join(broadcast_if_bounded(firsts), ["__f", "__i"], "left_anti")
     parts = F.split(F.col("value"), sep, -1)
     cols = [F.get(parts, i).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
     return lines.select(*cols)
