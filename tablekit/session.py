@@ -25,9 +25,33 @@ DEFAULT_CONF = {
 }
 
 
+# Extra settings for a large cluster (hundreds of executors, ~100 TB inputs).
+# Shuffles start with many partitions and AQE merges them towards the advisory
+# size, so small stages do not pay for thousands of empty tasks while big ones
+# never build multi-GB partitions that spill.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.shuffle.partitions": "4000",
+}
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Partitions so that each shuffle partition holds about ``target_bytes``."""
+    return max(1, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
 def get_session(app: str = "tablekit", master: str | None = None,
                 conf: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with AQE on and the UI off."""
+    """Build (or reuse) a session with AQE on and the UI off.
+
+    Pass ``conf=CLUSTER_CONF`` (plus your own overrides) on a large cluster.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
