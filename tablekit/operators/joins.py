@@ -24,11 +24,52 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "inner") -> DataFrame:
-    """Equi-join on differently named keys; both key columns are kept."""
+def _null_cols(df: DataFrame):
+    return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+
+
+def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "inner",
+            skew_safe: bool = True) -> DataFrame:
+    """Equi-join on differently named keys; both key columns are kept.
+
+    With ``skew_safe`` (the default) a key holding a large share of the rows
+    cannot pin one task:
+
+    * semi / anti joins probe the right side's *distinct* keys, which are
+      reduced map-side before the shuffle;
+    * outer joins are built as inner join + anti joins.  AQE can split a skewed
+      partition of an inner join on either side and of the streamed side of an
+      anti join, but not the non-preserved side of an outer join.  The large
+      exchanges are shared between the parts (exchange reuse).
+    """
     lk, rk = _names(left_on), _names(right_on)
-    cond = [left[a] == right[b] for a, b in zip(lk, rk)]
-    return left.join(right, cond, how)
+    how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full",
+           "semi": "left_semi", "anti": "left_anti", "leftsemi": "left_semi",
+           "leftanti": "left_anti"}.get(how, how)
+
+    def cond(a, b):
+        return [a[x] == b[y] for x, y in zip(lk, rk)]
+
+    if not skew_safe or how in ("inner", "cross"):
+        return left.join(right, cond(left, right), how)
+    if how in ("left_semi", "left_anti"):
+        keys = right.select(*rk).distinct()
+        return left.join(keys, cond(left, keys), how)
+    if how not in ("left", "right", "full"):
+        return left.join(right, cond(left, right), how)
+    parts = [left.join(right, cond(left, right), "inner")]
+    if how in ("left", "full"):
+        rkeys = right.select(*rk).distinct()
+        only_left = left.join(rkeys, cond(left, rkeys), "left_anti")
+        parts.append(only_left.select(*[only_left[c] for c in left.columns], *_null_cols(right)))
+    if how in ("right", "full"):
+        lkeys = left.select(*lk).distinct()
+        only_right = right.join(lkeys, [right[y] == lkeys[x] for x, y in zip(lk, rk)], "left_anti")
+        parts.append(only_right.select(*_null_cols(left), *[only_right[c] for c in right.columns]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
 
 
 def join_using(left: DataFrame, right: DataFrame, key, right_key=None, how: str = "inner") -> DataFrame:
@@ -41,23 +82,45 @@ def join_using(left: DataFrame, right: DataFrame, key, right_key=None, how: str
 def join_drop_right_key(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                         how: str = "inner") -> DataFrame:
     """Join, then drop the right-hand copy of the key by reference."""
-    return join_on(left, right, left_on, right_on, how).drop(right[right_on])
+    joined = join_on(left, right, left_on, right_on, how)
+    # Drop the right-hand copy by position: the left side may have a column
+    # with the same name (e.g. both sides carry an ``id``).
+    names = joined.columns
+    pos = len(left.columns) + right.columns.index(right_on)
+    tmp = [f"__tk_c{i}" for i in range(len(names))]
+    return joined.toDF(*tmp).select(*[F.col(tmp[i]).alias(names[i]) for i in range(len(names)) if i != pos])
 
 
 def join_with(left: DataFrame, right: DataFrame, cond: Column, how: str = "inner",
-              names: tuple[str, str] = ("_1", "_2")) -> DataFrame:
+              names: tuple[str, str] = ("_1", "_2"), skew_safe: bool = True) -> DataFrame:
     """Pair join: each side kept whole as one struct.
 
     On an outer join the side without a match is a NULL struct, not a struct of
-    NULLs.
+    NULLs.  With ``skew_safe`` an outer pair join is built as inner pairs plus
+    the unmatched rows of each side from anti joins (see :func:`join_on`).
     """
+    how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full"}.get(how, how)
+    lstruct = F.struct(*[left[c] for c in left.columns])
+    rstruct = F.struct(*[right[c] for c in right.columns])
+    if skew_safe and how in ("left", "right", "full"):
+        lnull = F.lit(None).cast(left.select(lstruct).schema[0].dataType)
+        rnull = F.lit(None).cast(right.select(rstruct).schema[0].dataType)
+        parts = [left.join(right, cond, "inner").select(lstruct.alias(names[0]), rstruct.alias(names[1]))]
+        if how in ("left", "full"):
+            parts.append(left.join(right, cond, "left_anti").select(lstruct.alias(names[0]), rnull.alias(names[1])))
+        if how in ("right", "full"):
+            parts.append(right.join(left, cond, "left_anti").select(lnull.alias(names[0]), rstruct.alias(names[1])))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        return out
     lm, rm = "__tk_lm", "__tk_rm"
     l2 = left.withColumn(lm, F.lit(True))
     r2 = right.withColumn(rm, F.lit(True))
     joined = l2.join(r2, cond, how)
-    lstruct = F.when(F.col(lm).isNotNull(), F.struct(*[l2[c] for c in left.columns]))
-    rstruct = F.when(F.col(rm).isNotNull(), F.struct(*[r2[c] for c in right.columns]))
-    return joined.select(lstruct.alias(names[0]), rstruct.alias(names[1]))
+    lpair = F.when(F.col(lm).isNotNull(), F.struct(*[l2[c] for c in left.columns]))
+    rpair = F.when(F.col(rm).isNotNull(), F.struct(*[r2[c] for c in right.columns]))
+    return joined.select(lpair.alias(names[0]), rpair.alias(names[1]))
 
 
 def _explode_distinct(left: DataFrame, array_col: str) -> DataFrame:
@@ -135,5 +198,4 @@ def max_per_key_join(entities: DataFrame, facts: DataFrame, key: str, value: str
 
 def never_matched(entities: DataFrame, roles: DataFrame, key: str, role_key: str | None = None) -> DataFrame:
     """Entities with no row in ``roles`` (J15): a left anti join."""
-    rk = role_key or key
-    return entities.join(roles, entities[key] == roles[rk], "left_anti")
+    return join_on(entities, roles, key, role_key or key, "left_anti")

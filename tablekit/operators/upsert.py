@@ -53,8 +53,10 @@ def classify(changes: DataFrame, target: DataFrame, key, op_col: str = "op") ->
     """
     k = _names(key)
     hit = "__tk_hit"
-    present = (target.select(*k).join(changes.select(*k), k, "left_semi")
-                     .distinct().withColumn(hit, F.lit(True)))
+    # Both key sets are reduced map-side first, so a repeated key in either
+    # table reaches the shuffle once per task.
+    present = (target.select(*k).distinct().join(changes.select(*k).distinct(), k, "left_semi")
+                     .withColumn(hit, F.lit(True)))
     tagged = changes.join(present, k, "left")
     op = F.when(F.col(hit), F.lit("UPDATE")).otherwise(F.lit("INSERT"))
     return tagged.select(*changes.columns, op.alias(op_col))
