@@ -160,8 +160,8 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
         if left_key is None:
             raise ValueError("outer array join needs left_key")
         lk = _names(left_key)
-        matched_left = (exploded.join(right.select(F.col(value_col).alias(_E)), _E, "left_semi")
-                                .select(*lk))
+        values = right.select(F.col(value_col).alias(_E)).distinct()
+        matched_left = exploded.join(values, _E, "left_semi").select(*lk)
         unmatched = left.join(matched_left, lk, "left_anti")
         parts.append(unmatched.select(*[F.col(c) for c in left.columns],
                                       *[F.lit(None).cast(f.dataType).alias(f.name)
