@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from tablekit.operators.ingest import audit_ingest
 from tablekit.session import shared_dir
-from tablekit.sinks.writers import write_parquet
+from tablekit.sinks.writers import write_csv, write_json, write_parquet
 from tablekit.sources.conform import conform
+from tablekit.sources.readers import read_csv, read_delimited_text, read_json, read_text, split_corrupt
 from tablekit.plans.registry import register
 from tablekit.plans.tables import table
 
@@ -58,3 +59,59 @@ def audit_ingest_q(spark, d):
     out = audit_ingest(spark, src, schema=ORDERS_CSV_SCHEMA)
     # job_id is random and source_file a path: neither is part of the compared result.
     return out.drop("job_id", "source_file")
+
+
+ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
+
+
+@register("roundtrip_json", """SELECT * FROM orders""")
+def roundtrip_json(spark, d):
+    """JSON lines written with overwrite (W1), read back under a fixed schema."""
+    path = shared_dir(spark, "json") + "/orders"
+    write_json(table(spark, d, "orders"), path, mode="overwrite")
+    return read_json(spark, path, schema=ORDERS_DDL, mode="FAILFAST")
+
+
+@register("json_quarantine", """SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'""")
+def json_quarantine(spark, d):
+    """Lines that are not valid JSON go to quarantine (S3); the rest parse."""
+    o = table(spark, d, "orders")
+    text = F.to_json(F.struct(*o.columns))
+    # Broken lines: the low-priority orders lose their opening brace.
+    line = F.when(F.col("o_orderpriority") == "5-LOW", F.expr("substr(to_json(struct(*)), 2)")).otherwise(text)
+    path = shared_dir(spark, "jsonl") + "/orders"
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    good, _bad = split_corrupt(
+        read_json(spark, path, schema=ORDERS_DDL + ", _corrupt STRING", corrupt_column="_corrupt"),
+        "_corrupt")
+    return good
+
+
+@register("roundtrip_tsv", """SELECT * FROM part""")
+def roundtrip_tsv(spark, d):
+    """Tab-separated CSV with header (W3), read with schema and separator."""
+    p = table(spark, d, "part")
+    path = shared_dir(spark, "tsv") + "/part"
+    write_csv(p, path, mode="overwrite", sep="\t")
+    return read_csv(spark, path, schema=p.schema, sep="\t")
+
+
+@register("text_lines", """SELECT c_name AS value FROM customer""")
+def text_lines(spark, d):
+    """One string column written as text, read back as one ``value`` row per line."""
+    path = shared_dir(spark, "text") + "/names"
+    table(spark, d, "customer").select("c_name").write.mode("overwrite").text(path)
+    return read_text(spark, path)
+
+
+@register("delimited_text", """
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""")
+def delimited_text(spark, d):
+    """CSV lines parsed by hand from text (S9): header dropped by position, fields converted."""
+    o = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    path = shared_dir(spark, "lines") + "/orders"
+    write_csv(o, path, mode="overwrite")
+    return read_delimited_text(spark, path, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"],
+                               ["bigint", "bigint", "double", "date"])

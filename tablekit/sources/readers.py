@@ -41,15 +41,23 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return r.options(**{k: str(v) for k, v in options.items()}).json(path)
 
 
-def split_corrupt(df: DataFrame, corrupt_column: str) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(df: DataFrame, corrupt_column: str, stage_path: str | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, quarantined raw lines).
 
-    Both sides keep every parsed column in the plan: Spark refuses a scan whose
-    only referenced column is the corrupt-record column.
+    Spark refuses a raw JSON/CSV scan whose only referenced column is the
+    corrupt-record column, which is what a plain ``count()`` of either side
+    would be.  The parsed rows are therefore written once, as a table in the
+    shared checkpoint folder (or ``stage_path``), and both sides read that.
     """
-    cols = [c for c in df.columns if c != corrupt_column]
-    good = df.where(F.col(corrupt_column).isNull()).select(*cols)
-    bad = df.where(F.col(corrupt_column).isNotNull()).select(*cols, corrupt_column)
+    from tablekit.session import shared_dir
+    spark = df.sparkSession
+    path = stage_path or shared_dir(spark, "quarantine")
+    df.write.mode("overwrite").parquet(path)
+    staged = spark.read.parquet(path)
+    cols = [c for c in staged.columns if c != corrupt_column]
+    good = staged.where(F.col(corrupt_column).isNull()).select(*cols)
+    bad = staged.where(F.col(corrupt_column).isNotNull()).select(*cols, corrupt_column)
     return good, bad
 
 
