@@ -41,9 +41,9 @@ def start_audit_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = add_file_seq_id(batch)
         cols = [c for c in rows.columns if c not in ("source_file", "seq_id", _BLK)]
-        rows = rows.select(*cols, F.lit(jid).alias("job_id"), F.lit(batch_id).alias("batch_id"),
-                           "source_file", "seq_id")
-        (rows.drop("batch_id").write.mode("overwrite").format(out_format)
+        rows = rows.select(*cols, F.lit(jid).alias("job_id"), "source_file", "seq_id")
+        # batch_id is carried by the folder name (read back as a partition column).
+        (rows.write.mode("overwrite").format(out_format)
              .save(f"{out.rstrip('/')}/batch_id={batch_id}"))
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
