@@ -45,7 +45,10 @@ ORDERS_CSV_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
 def write_orders_by_month(spark, d, path: str) -> None:
     """Land ``orders`` as CSV files, one folder per order month, rows in key order."""
     o = table(spark, d, "orders").withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM"))
-    (o.repartition("o_month").sortWithinPartitions("o_month", "o_orderkey")
+    # An explicit count keeps one writer task per month; AQE would merge a
+    # by-column repartition of small data into a single writer.
+    n = spark.sparkContext.defaultParallelism
+    (o.repartition(n, "o_month").sortWithinPartitions("o_month", "o_orderkey")
       .write.mode("overwrite").option("header", "true").partitionBy("o_month").csv(path))
 
 
