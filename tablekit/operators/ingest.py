@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablekit.operators.sizing import broadcast_if_bounded
-from tablekit.session import ensure_checkpoint_dir, shared_dir
+from tablekit.operators.sizing import broadcast_if_bounded, stage
+from tablekit.session import ensure_checkpoint_dir
 
 _MID = "__tk_mid"
 _BLK = "__tk_block"
@@ -68,11 +68,7 @@ def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str
     # Materialise the small summary once as a table in the shared checkpoint
     # folder (one pass; an eager checkpoint() would compute it twice): the
     # size check and the join then read it instead of re-scanning the input.
-    spark = df.sparkSession
-    path = shared_dir(spark, "ingest-offsets")
-    offsets.write.mode("overwrite").parquet(path)
-    offsets = spark.read.parquet(path)
-    offsets = broadcast_if_bounded(offsets, summary_max_rows)
+    offsets = broadcast_if_bounded(stage(offsets, "ingest-offsets"), summary_max_rows)
     joined = base.join(offsets, [file_col, block_col])
     seq = F.col("__offset") + (F.col(_MID) - F.col("__first")) + F.lit(1)
     return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset")

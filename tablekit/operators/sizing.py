@@ -15,6 +15,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Use it for a small frame derived by an expensive plan (an aggregate over a
+    big table) that is needed more than once, e.g. checked and then broadcast:
+    the plan runs once, and the written table also cuts the lineage, so a
+    lost executor never forces it to be recomputed.
+    """
+    from tablekit.session import shared_dir
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows (stops early)."""
     return df.limit(max_rows + 1).count() <= max_rows

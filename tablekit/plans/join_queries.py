@@ -11,6 +11,7 @@ from tablekit.operators.aggregate import latest_per_key
 from tablekit.operators.joins import (
     array_join, join_drop_right_key, join_on, join_using, join_with, max_per_key_join, never_matched,
 )
+from tablekit.operators.sizing import stage
 from tablekit.operators.topk import top_k
 from tablekit.plans.registry import register
 from tablekit.plans.tables import JOIN_SIDES_SQL, customers_left, orders_right, table
@@ -101,7 +102,9 @@ def join_with_pairs(spark, d):
 def _words_and_vocab(spark, d):
     p = table(spark, d, "part")
     left = p.select("p_partkey", "p_name", F.split("p_name", " ").alias("words"))
-    vocab = p.select(F.lower("p_type").alias("type_word")).distinct()
+    # The vocabulary is an aggregate over the whole table: staged once, then
+    # both the size check and the broadcast read the small written table.
+    vocab = stage(p.select(F.lower("p_type").alias("type_word")).distinct(), "vocab")
     return left, vocab
 
 
