@@ -54,6 +54,19 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str =
     df.write.mode(_mode(mode)).format(fmt).saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, key: Sequence[str] | str, buckets: int,
+                  mode: str = "overwrite", fmt: str = "parquet") -> None:
+    """Managed table hash-bucketed and sorted by ``key``.
+
+    Later joins on ``key`` (for example, repeated upserts into this table)
+    read it already partitioned and sorted, so the big side is not shuffled.
+    ``buckets`` should follow the table size (about one bucket per 256 MB).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    (df.write.mode(_mode(mode)).format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+       .saveAsTable(name))
+
+
 def with_files(df: DataFrame, n: int, shuffle: bool = True, keys: Sequence[str] | None = None) -> DataFrame:
     """Set the number of output partitions (files): ``repartition`` shuffles
     (L1, optionally hashing on ``keys``), ``coalesce`` merges without a

@@ -59,3 +59,23 @@ def test_dedup_changes_hot_key(spark):
     df = spark.createDataFrame(rows, "k long, v long, s string")
     got = {r.k: r.s for r in dedup_changes(df, "k", ["v"]).collect()}
     assert got == {1: "x998", 2: "y"}
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    from tablekit.sinks.writers import save_bucketed
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    save_bucketed(orders, "tk_orders_bucketed", "o_orderkey", 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.table("tk_orders_bucketed")
+        changes = orders.where("o_orderstatus = 'O'").withColumn("o_orderstatus", F.lit("F"))
+        out = upsert(target, changes, "o_orderkey", validate=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        scan_lines = [i for i, line in enumerate(plan.splitlines()) if "tk_orders_bucketed" in line]
+        lines = plan.splitlines()
+        # The line above the bucketed scan is not an Exchange.
+        assert scan_lines and all("Exchange" not in lines[i - 1] for i in scan_lines)
+        assert out.count() == orders.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
