@@ -9,7 +9,14 @@ from tablekit.functions.scalars import (
 from tablekit.functions.nulls import ifnull, nvl, nvl2, nullif
 
 __all__ = [
+    "qcol",
     "all_of", "any_of", "contains_any", "regex_any", "regex_alternation",
     "age_years", "parse_date", "row_sum", "exact_sum", "exact_avg", "element_at0",
     "ifnull", "nvl", "nvl2", "nullif",
 ]
+
+
+def qcol(name: str):
+    """Column by exact name, even with dots, spaces or backticks in it."""
+    from pyspark.sql import functions as F
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.functions import qcol
+
 _W = "__tk_pick"
 
 
@@ -32,11 +34,11 @@ def pick_per_key(df: DataFrame, key, order_by, latest: bool = True,
     keys = _names(key)
     order = _names(order_by)
     rest = [c for c in (payload or df.columns) if c not in keys and c not in order]
-    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    fields += [F.col(c).alias(f"p{i}") for i, c in enumerate(rest)]
+    fields = [qcol(c).alias(f"o{i}") for i, c in enumerate(order)]
+    fields += [qcol(c).alias(f"p{i}") for i, c in enumerate(rest)]
     agg = F.max if latest else F.min
     picked = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias(_W))
-    out_cols = [F.col(k) for k in keys]
+    out_cols = [qcol(k) for k in keys]
     names = {c: f"o{i}" for i, c in enumerate(order)}
     names.update({c: f"p{i}" for i, c in enumerate(rest)})
     for c in df.columns:
@@ -59,8 +61,8 @@ def min_record(df: DataFrame, order_by) -> DataFrame:
     """
     order = _names(order_by)
     rest = [c for c in df.columns if c not in order]
-    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    fields += [F.col(c).alias(f"p{i}") for i, c in enumerate(rest)]
+    fields = [qcol(c).alias(f"o{i}") for i, c in enumerate(order)]
+    fields += [qcol(c).alias(f"p{i}") for i, c in enumerate(rest)]
     picked = df.agg(F.min(F.struct(*fields)).alias(_W))
     names = {c: f"o{i}" for i, c in enumerate(order)}
     names.update({c: f"p{i}" for i, c in enumerate(rest)})

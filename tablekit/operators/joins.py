@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.functions import qcol
+
 from tablekit.operators.sizing import broadcast_if_bounded
 
 _E = "__tk_elem"
@@ -24,6 +26,11 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _ref(df: DataFrame, name: str) -> Column:
+    """``df[name]`` taken literally (a dot is part of the name, not a field path)."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def _null_cols(df: DataFrame):
     return [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
 
@@ -48,24 +55,24 @@ def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "in
            "leftanti": "left_anti"}.get(how, how)
 
     def cond(a, b):
-        return [a[x] == b[y] for x, y in zip(lk, rk)]
+        return [_ref(a, x) == _ref(b, y) for x, y in zip(lk, rk)]
 
     if not skew_safe or how in ("inner", "cross"):
         return left.join(right, cond(left, right), how)
     if how in ("left_semi", "left_anti"):
-        keys = right.select(*rk).distinct()
+        keys = right.select(*[qcol(c) for c in rk]).distinct()
         return left.join(keys, cond(left, keys), how)
     if how not in ("left", "right", "full"):
         return left.join(right, cond(left, right), how)
     parts = [left.join(right, cond(left, right), "inner")]
     if how in ("left", "full"):
-        rkeys = right.select(*rk).distinct()
+        rkeys = right.select(*[qcol(c) for c in rk]).distinct()
         only_left = left.join(rkeys, cond(left, rkeys), "left_anti")
-        parts.append(only_left.select(*[only_left[c] for c in left.columns], *_null_cols(right)))
+        parts.append(only_left.select(*[_ref(only_left, c) for c in left.columns], *_null_cols(right)))
     if how in ("right", "full"):
-        lkeys = left.select(*lk).distinct()
-        only_right = right.join(lkeys, [right[y] == lkeys[x] for x, y in zip(lk, rk)], "left_anti")
-        parts.append(only_right.select(*_null_cols(left), *[only_right[c] for c in right.columns]))
+        lkeys = left.select(*[qcol(c) for c in lk]).distinct()
+        only_right = right.join(lkeys, [_ref(right, y) == _ref(lkeys, x) for x, y in zip(lk, rk)], "left_anti")
+        parts.append(only_right.select(*_null_cols(left), *[_ref(only_right, c) for c in right.columns]))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
@@ -100,8 +107,8 @@ def join_with(left: DataFrame, right: DataFrame, cond: Column, how: str = "inner
     the unmatched rows of each side from anti joins (see :func:`join_on`).
     """
     how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full"}.get(how, how)
-    lstruct = F.struct(*[left[c] for c in left.columns])
-    rstruct = F.struct(*[right[c] for c in right.columns])
+    lstruct = F.struct(*[_ref(left, c) for c in left.columns])
+    rstruct = F.struct(*[_ref(right, c) for c in right.columns])
     if skew_safe and how in ("left", "right", "full"):
         lnull = F.lit(None).cast(left.select(lstruct).schema[0].dataType)
         rnull = F.lit(None).cast(right.select(rstruct).schema[0].dataType)
@@ -118,15 +125,15 @@ def join_with(left: DataFrame, right: DataFrame, cond: Column, how: str = "inner
     l2 = left.withColumn(lm, F.lit(True))
     r2 = right.withColumn(rm, F.lit(True))
     joined = l2.join(r2, cond, how)
-    lpair = F.when(F.col(lm).isNotNull(), F.struct(*[l2[c] for c in left.columns]))
-    rpair = F.when(F.col(rm).isNotNull(), F.struct(*[r2[c] for c in right.columns]))
+    lpair = F.when(F.col(lm).isNotNull(), F.struct(*[_ref(l2, c) for c in left.columns]))
+    rpair = F.when(F.col(rm).isNotNull(), F.struct(*[_ref(r2, c) for c in right.columns]))
     return joined.select(lpair.alias(names[0]), rpair.alias(names[1]))
 
 
 def _explode_distinct(left: DataFrame, array_col: str) -> DataFrame:
     # NULL arrays, empty arrays and NULL elements produce no rows: none of them
     # can satisfy array_contains.
-    return (left.withColumn(_E, F.explode(F.array_distinct(F.col(array_col))))
+    return (left.withColumn(_E, F.explode(F.array_distinct(qcol(array_col))))
                 .where(F.col(_E).isNotNull()))
 
 
@@ -134,7 +141,7 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
                how: str = "inner", left_key: Sequence[str] | str | None = None,
                right_key: Sequence[str] | str | None = None,
                broadcast_max_rows: int | None = None) -> DataFrame:
-    """Rows of ``left`` and ``right`` where ``array_contains(left[array_col], right[value_col])``.
+    """Rows of ``left`` and ``right`` where ``array_contains(left[array_col], _ref(right, value_col))``.
 
     ``how`` is ``inner``, ``left``, ``right`` or ``full``.  Each matching pair
     appears once even if the element repeats in the array.  The outer forms
@@ -150,9 +157,9 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
     if broadcast_max_rows is not None:
         right = broadcast_if_bounded(right, broadcast_max_rows)
     exploded = _explode_distinct(left, array_col)
-    pairs = (exploded.join(right, exploded[_E] == right[value_col], "inner")
-                     .select(*[exploded[c] for c in left.columns],
-                             *[right[c] for c in right.columns]))
+    pairs = (exploded.join(right, _ref(exploded, _E) == _ref(right, value_col), "inner")
+                     .select(*[_ref(exploded, c) for c in left.columns],
+                             *[_ref(right, c) for c in right.columns]))
     if how == "inner":
         return pairs
     parts = [pairs]
@@ -160,10 +167,10 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
         if left_key is None:
             raise ValueError("outer array join needs left_key")
         lk = _names(left_key)
-        values = right.select(F.col(value_col).alias(_E)).distinct()
-        matched_left = exploded.join(values, _E, "left_semi").select(*lk)
+        values = right.select(qcol(value_col).alias(_E)).distinct()
+        matched_left = exploded.join(values, _E, "left_semi").select(*[qcol(c) for c in lk])
         unmatched = left.join(matched_left, lk, "left_anti")
-        parts.append(unmatched.select(*[F.col(c) for c in left.columns],
+        parts.append(unmatched.select(*[qcol(c) for c in left.columns],
                                       *[F.lit(None).cast(f.dataType).alias(f.name)
                                         for f in right.schema.fields]))
     if how in ("right", "full"):
@@ -172,10 +179,10 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
         # Distinct elements, reduced map-side first: a hot element reaches the
         # shuffle once per task instead of once per row.
         elems = exploded.select(F.col(_E)).distinct()
-        unmatched = right.join(elems, right[value_col] == elems[_E], "left_anti")
+        unmatched = right.join(elems, _ref(right, value_col) == _ref(elems, _E), "left_anti")
         parts.append(unmatched.select(*[F.lit(None).cast(f.dataType).alias(f.name)
                                         for f in left.schema.fields],
-                                      *[F.col(c) for c in right.columns]))
+                                      *[qcol(c) for c in right.columns]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -185,7 +192,7 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
 def array_join_naive(left: DataFrame, right: DataFrame, array_col: str, value_col: str,
                      how: str = "inner") -> DataFrame:
     """The direct ``array_contains`` condition, for comparison and tests only."""
-    return left.join(right, F.array_contains(left[array_col], right[value_col]), how)
+    return left.join(right, F.array_contains(left[array_col], _ref(right, value_col)), how)
 
 
 def max_per_key_join(entities: DataFrame, facts: DataFrame, key: str, value: str,

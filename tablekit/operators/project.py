@@ -11,15 +11,17 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.functions import qcol
+
 
 def with_flag(df: DataFrame, keep: Iterable[str], predicate: Column, name: str) -> DataFrame:
     """Project ``keep`` plus ``predicate`` as a boolean column ``name``."""
-    return df.select(*[F.col(c) for c in keep], predicate.alias(name))
+    return df.select(*[qcol(c) for c in keep], predicate.alias(name))
 
 
 def where_flag(df: DataFrame, name: str, value: bool = True, drop: bool = False) -> DataFrame:
     """Rows whose flag is TRUE (or FALSE); a NULL flag matches neither."""
-    cond = F.col(name) if value else ~F.col(name)
+    cond = qcol(name) if value else ~qcol(name)
     out = df.where(cond)
     return out.drop(name) if drop else out
 

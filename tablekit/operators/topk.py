@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.functions import qcol
+
 
 def _order(spec) -> Column:
     if isinstance(spec, Column):
         return spec
     name, _, direction = spec.partition(" ")
     direction = direction.strip().lower()
-    col = F.col(name)
+    col = qcol(name)
     return {
         "": col.asc(), "asc": col.asc(), "desc": col.desc(),
         "asc_nulls_last": col.asc_nulls_last(), "asc_nulls_first": col.asc_nulls_first(),

@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablekit.functions import qcol
+
 from tablekit.operators.aggregate import pick_per_key
 
 
@@ -26,6 +28,10 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _q(names):
+    return [qcol(c) for c in names]
+
+
 def change_set(df: DataFrame, predicate: Column | str, rewrites: Mapping[str, Column]) -> DataFrame:
     """Filter, then rewrite columns in place, keeping the column order."""
     out = df.where(predicate)
@@ -41,7 +47,7 @@ def assert_unique_keys(df: DataFrame, key) -> None:
 
 def dedup_changes(changes: DataFrame, key, order_by) -> DataFrame:
     """Keep the change with the largest ``order_by`` per key."""
-    return pick_per_key(changes, key, order_by, latest=True).select(*changes.columns)
+    return pick_per_key(changes, key, order_by, latest=True).select(*_q(changes.columns))
 
 
 def classify(changes: DataFrame, target: DataFrame, key, op_col: str = "op") -> DataFrame:
@@ -55,11 +61,11 @@ def classify(changes: DataFrame, target: DataFrame, key, op_col: str = "op") ->
     hit = "__tk_hit"
     # Both key sets are reduced map-side first, so a repeated key in either
     # table reaches the shuffle once per task.
-    present = (target.select(*k).distinct().join(changes.select(*k).distinct(), k, "left_semi")
+    present = (target.select(*_q(k)).distinct().join(changes.select(*_q(k)).distinct(), k, "left_semi")
                      .withColumn(hit, F.lit(True)))
     tagged = changes.join(present, k, "left")
     op = F.when(F.col(hit), F.lit("UPDATE")).otherwise(F.lit("INSERT"))
-    return tagged.select(*changes.columns, op.alias(op_col))
+    return tagged.select(*_q(changes.columns), op.alias(op_col))
 
 
 def _prepare(target: DataFrame, changes: DataFrame, key, order_by, validate: bool) -> DataFrame:
@@ -70,7 +76,7 @@ def _prepare(target: DataFrame, changes: DataFrame, key, order_by, validate: boo
         changes = dedup_changes(changes, key, order_by)
     elif validate:
         assert_unique_keys(changes, key)
-    return changes.select(*target.columns)
+    return changes.select(*_q(target.columns))
 
 
 def upsert(target: DataFrame, changes: DataFrame, key, order_by: Sequence[str] | str | None = None,
@@ -78,7 +84,7 @@ def upsert(target: DataFrame, changes: DataFrame, key, order_by: Sequence[str] |
     """The full new target after UPDATE-or-INSERT of ``changes`` by ``key``."""
     k = _names(key)
     ch = _prepare(target, changes, key, order_by, validate)
-    kept = target.join(ch.select(*k), k, "left_anti")
+    kept = target.join(ch.select(*_q(k)), k, "left_anti")
     return kept.unionByName(ch)
 
 
@@ -92,10 +98,10 @@ def update_matched(target: DataFrame, changes: DataFrame, key,
     k = _names(key)
     ch = _prepare(target, changes, key, order_by, validate)
     hit = "__tk_hit"
-    ch2 = ch.select(*[F.col(c).alias(f"__tk_c_{c}") if c not in k else F.col(c) for c in ch.columns],
+    ch2 = ch.select(*[qcol(c).alias(f"__tk_c_{c}") if c not in k else qcol(c) for c in ch.columns],
                     F.lit(True).alias(hit))
     joined = target.join(ch2, k, "left")
-    cols = [F.col(c) if c in k else
-            F.when(F.col(hit), F.col(f"__tk_c_{c}")).otherwise(F.col(c)).alias(c)
+    cols = [qcol(c) if c in k else
+            F.when(F.col(hit), qcol(f"__tk_c_{c}")).otherwise(qcol(c)).alias(c)
             for c in target.columns]
     return joined.select(*cols)

@@ -79,3 +79,20 @@ def test_bucketed_target_is_not_shuffled(spark):
         assert out.count() == orders.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_odd_column_names(spark):
+    from tablekit.operators.aggregate import latest_per_key
+    from tablekit.operators.joins import array_join
+    from tablekit.operators.topk import top_k
+    df = spark.createDataFrame([(1, 10, 1.5), (1, 20, 2.5), (2, 5, 9.0)], "`k`: int, `t.x`: int, `w in lbs`: double")
+    got = sorted(tuple(r) for r in latest_per_key(df, "k", ["t.x"]).collect())
+    assert got == [(1, 20, 2.5), (2, 5, 9.0)]
+    ch = spark.createDataFrame([(2, 6, None), (3, 1, 1.0)], "`k`: int, `t.x`: int, `w in lbs`: double")
+    assert upsert(df.where("k = 2"), ch, "k").count() == 2
+    assert update_matched(df.where("k = 2"), ch, "k").collect()[0]["w in lbs"] is None
+    assert top_k(df, 1, ["t.x desc"], ["k"]).collect()[0]["t.x"] == 20
+    arr = spark.createDataFrame([(1, ["a b"])], "`id x`: int, `the words`: array<string>")
+    voc = spark.createDataFrame([("a b",), ("z",)], "`w.v`: string")
+    full = array_join(arr, voc, "the words", "w.v", "full", left_key="id x", right_key="w.v")
+    assert full.count() == 2
