@@ -128,6 +128,21 @@ def join_array_outer(spark, d):
     return out.select("p_partkey", "p_name", "type_word")
 
 
+@register("join_array_left", ARRAY_SQL.format(kind="LEFT OUTER"))
+def join_array_left(spark, d):
+    left, vocab = _words_and_vocab(spark, d)
+    out = array_join(left, vocab, "words", "type_word", "left", left_key="p_partkey",
+                     broadcast_max_rows=100_000)
+    return out.select("p_partkey", "p_name", "type_word")
+
+
+@register("join_array_right", ARRAY_SQL.format(kind="RIGHT OUTER"))
+def join_array_right(spark, d):
+    left, vocab = _words_and_vocab(spark, d)
+    out = array_join(left, vocab, "words", "type_word", "right", broadcast_max_rows=100_000)
+    return out.select("p_partkey", "p_name", "type_word")
+
+
 def _max_price(spark, d):
     return max_per_key_join(table(spark, d, "customer"), table(spark, d, "orders"),
                             "c_custkey", "o_totalprice", "max_price", fact_key="o_custkey")
