@@ -82,6 +82,11 @@ def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None
     ``skip_files`` (a frame with a ``source_file`` column, e.g. the existing
     output) leaves out files already ingested, so a re-run does not append the
     same rows twice.  Empty files contribute no rows.
+
+    The skipped files are still read (their rows are dropped after numbering,
+    which keeps the numbering of the others exact).  For a landing folder
+    that keeps growing, use ``streaming.audit_stream.start_audit_stream``: its
+    file source remembers what it has read and never opens those files again.
     """
     # The summary scan needs no data columns; with CSV column pruning on, such a
     # scan may treat a malformed line differently from the full scan.  Parsing
