@@ -46,8 +46,12 @@ def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "in
       reduced map-side before the shuffle;
     * outer joins are built as inner join + anti joins.  AQE can split a skewed
       partition of an inner join on either side and of the streamed side of an
-      anti join, but not the non-preserved side of an outer join.  The large
-      exchanges are shared between the parts (exchange reuse).
+      anti join, but not the non-preserved side of an outer join.
+
+    The price of the outer form is one more shuffle of each preserved side
+    (its anti join) plus a shuffle of the other side's distinct keys.  Where
+    keys are known to be evenly spread, ``skew_safe=False`` gives the single
+    join.
     """
     lk, rk = _names(left_on), _names(right_on)
     how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full",
