@@ -18,6 +18,14 @@ def test_corr_skips_null_pairs(spark):
     assert df.agg(F.corr("r", "i")).collect()[0][0] == pytest.approx(-1.0)
 
 
+def test_stat_corr_differs_from_column_corr(spark):
+    # df.stat.corr does not skip NULL pairs the way the SQL aggregate does;
+    # the toolkit uses F.corr (the SQL meaning, as in the oracle engine).
+    df = spark.createDataFrame(RATINGS, RATINGS_SCHEMA)
+    assert df.stat.corr("r", "i") == pytest.approx(-0.2054, abs=1e-3)
+    assert df.agg(F.corr("r", "i")).collect()[0][0] == pytest.approx(-1.0)
+
+
 def test_na_drop_and_null_functions(spark):
     df = spark.createDataFrame(RATINGS, RATINGS_SCHEMA)
     assert df.select("r", "i").na.drop().count() == 2
