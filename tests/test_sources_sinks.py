@@ -157,3 +157,14 @@ def test_sql_on_temp_view(spark):
     df = spark.createDataFrame([("a", "USA"), ("b", "Japan")], "Name string, Origin string")
     register_view(df, "cars")
     assert [r.Name for r in spark.sql("select Name from cars where Origin = 'USA'").collect()] == ["a"]
+
+
+def test_json_compression_and_single_quotes(spark, tmp):
+    df = spark.range(5).selectExpr("id", "CAST(id AS STRING) AS s")
+    write_json(df, f"{tmp}/gz", mode="overwrite", compression="gzip")
+    assert glob.glob(f"{tmp}/gz/part-*.json.gz")
+    assert sorted(r.id for r in read_json(spark, f"{tmp}/gz", schema="id long, s string").collect()) == list(range(5))
+    p = _write(f"{tmp}/q.json", "{'a': 1, 'b': 'x'}\n")
+    assert read_json(spark, p, schema="a long, b string", allowSingleQuotes="true").collect()[0].b == "x"
+    bad = read_json(spark, p, schema="a long, b string", allowSingleQuotes="false", mode="DROPMALFORMED")
+    assert bad.collect() == []
