@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tablekit.plans.tables import TABLES
 from tests.conftest import SF_SMALL
-from tools.check_oracle import rows_key
+from tools.check_oracle import rows_key, type_diffs
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -28,9 +28,10 @@ def test_every_query_has_oracle_or_reason():
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    cur = con.execute(ORACLE[name])
-    d_cols, d_rows = [c[0] for c in cur.description], cur.fetchall()
+    rel = con.sql(ORACLE[name])
+    d_cols, d_types, d_rows = rel.columns, rel.types, rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    assert type_diffs(df.schema, d_cols, d_types) == []
     assert len(s_rows) == len(d_rows)
     assert rows_key(s_cols, s_rows) == rows_key(d_cols, d_rows)
 
