@@ -59,10 +59,11 @@ def classify(changes: DataFrame, target: DataFrame, key, op_col: str = "op") ->
     """
     k = _names(key)
     hit = "__tk_hit"
-    # Both key sets are reduced map-side first, so a repeated key in either
-    # table reaches the shuffle once per task.
-    present = (target.select(*_q(k)).distinct().join(changes.select(*_q(k)).distinct(), k, "left_semi")
-                     .withColumn(hit, F.lit(True)))
+    # The change keys are reduced map-side before the probe; the matched
+    # target keys are de-duplicated after it, where they number at most the
+    # change set (the whole target's keys are never aggregated).
+    present = (target.select(*_q(k)).join(changes.select(*_q(k)).distinct(), k, "left_semi")
+                     .distinct().withColumn(hit, F.lit(True)))
     tagged = changes.join(present, k, "left")
     op = F.when(F.col(hit), F.lit("UPDATE")).otherwise(F.lit("INSERT"))
     return tagged.select(*_q(changes.columns), op.alias(op_col))
