@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablekit.functions.predicates import all_of, contains_any, regex_any
 from tablekit.functions.scalars import row_sum
 from tablekit.operators.project import rename, union_positional, where_flag, with_flag
-from tablekit.operators.topk import top_k
+from tablekit.operators.topk import sort, top_k
 from tablekit.plans.registry import register
 from tablekit.plans.tables import ORDERS_N_SQL, orders_n, table
 
@@ -265,6 +265,13 @@ def na_fill_map(spark, d):
 
 # --- sorting and top-k -----------------------------------------------------
 
+@register("sort_asc", ON + """
+SELECT o_orderkey, price_n FROM orders_n ORDER BY price_n ASC NULLS FIRST, o_orderkey""")
+def sort_asc(spark, d):
+    # A full ascending sort: range-partitioned by sampled bounds, every row kept.
+    return sort(orders_n(spark, d).select("o_orderkey", "price_n"), ["price_n", "o_orderkey"])
+
+
 @register("sort_asc_limit", ON + """
 SELECT o_orderkey, price_n FROM orders_n ORDER BY price_n ASC NULLS FIRST, o_orderkey LIMIT 10""")
 def sort_asc_limit(spark, d):
