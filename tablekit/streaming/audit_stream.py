@@ -23,6 +23,21 @@ from pyspark.sql.types import StructType
 from tablekit.operators.ingest import _BLK, add_file_seq_id
 
 
+def batch_writer(out: str, job_id: str, out_format: str = "parquet"):
+    """The ``foreachBatch`` function: number the batch's rows and write them to
+    ``out/batch_id=<n>`` with overwrite, so a retried batch replaces itself."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = add_file_seq_id(batch)
+        cols = [c for c in rows.columns if c not in ("source_file", "seq_id", _BLK)]
+        rows = rows.select(*cols, F.lit(job_id).alias("job_id"), "source_file", "seq_id")
+        # batch_id is carried by the folder name (read back as a partition column).
+        (rows.write.mode("overwrite").format(out_format)
+             .save(f"{out.rstrip('/')}/batch_id={batch_id}"))
+
+    return write_batch
+
+
 def start_audit_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
                        schema: StructType | str, job_id: str | None = None,
                        available_now: bool = True, out_format: str = "parquet",
@@ -36,16 +51,7 @@ def start_audit_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
     stream = reader.csv(src).select(
         "*", F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias(_BLK))
-    jid = job_id or str(uuid.uuid4())
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = add_file_seq_id(batch)
-        cols = [c for c in rows.columns if c not in ("source_file", "seq_id", _BLK)]
-        rows = rows.select(*cols, F.lit(jid).alias("job_id"), "source_file", "seq_id")
-        # batch_id is carried by the folder name (read back as a partition column).
-        (rows.write.mode("overwrite").format(out_format)
-             .save(f"{out.rstrip('/')}/batch_id={batch_id}"))
-
+    write_batch = batch_writer(out, job_id or str(uuid.uuid4()), out_format)
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

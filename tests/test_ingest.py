@@ -86,3 +86,16 @@ def test_streaming_ingest_skips_seen_files(spark, tmp):
     assert len(rows) == 255
     late = sorted((r.seq_id, r.job_id) for r in rows if r.source_file.endswith("late.csv"))
     assert late == [(1, "run-2"), (2, "run-2")]
+
+
+def test_retried_batch_replaces_its_output(spark, tmp):
+    from tablekit.operators.ingest import read_csv_dir
+    from tablekit.streaming.audit_stream import batch_writer
+    src = _landing(f"{tmp}/in", [7, 3])
+    write = batch_writer(f"{tmp}/out", "job-x")
+    batch = read_csv_dir(spark, src, schema=SCHEMA)
+    write(batch, 0)
+    write(batch, 0)  # a retry of the same micro-batch
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(rows) == 10 and {r.batch_id for r in rows} == {0}
+    _check(rows, [7, 3])
