@@ -32,6 +32,22 @@ _MID = "__tk_mid"
 _BLK = "__tk_block"
 
 
+def set_csv_pruning(spark: SparkSession, mode: str | None) -> bool:
+    """Let the row-position summary scan skip field parsing when that is safe.
+
+    The summary scan reads no data columns.  In PERMISSIVE mode (the default)
+    every line yields one row whether or not its fields are parsed, so CSV
+    column pruning stays on and that scan only splits lines (about half the
+    cost of a full parse).  DROPMALFORMED and FAILFAST judge a line by its
+    fields; there pruning is switched off and the summary reads every field
+    (``add_file_seq_id(parse_all=True)``), so both scans keep the same rows.
+    Returns whether the mode is strict.
+    """
+    strict = (mode or "PERMISSIVE").upper() in ("DROPMALFORMED", "FAILFAST")
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false" if strict else "true")
+    return strict
+
+
 def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None = None,
                  header: bool = True, sep: str = ",", glob: str = "*.csv",
                  recursive: bool = True, **options) -> DataFrame:
@@ -51,19 +67,29 @@ def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str = _BLK,
-                    name: str = "seq_id", summary_max_rows: int = 1_000_000) -> DataFrame:
+                    name: str = "seq_id", summary_max_rows: int = 1_000_000,
+                    parse_all: bool = False) -> DataFrame:
     """Contiguous 1-based row number per file, in file order, without a sort.
 
     ``df`` must be the direct scan from :func:`read_csv_dir` (rows of one file
-    split are then consecutive in one task).
+    split are then consecutive in one task).  ``parse_all`` makes the summary
+    scan parse every field, which is needed when the parse mode drops or
+    rejects lines by their fields (DROPMALFORMED, FAILFAST): a scan that reads
+    no data column would keep such lines and miscount.
     """
     base = df.withColumn(_MID, F.monotonically_increasing_id())
-    summary = (base.groupBy(file_col, block_col)
-                   .agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first")))
+    aggs = [F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first")]
+    if parse_all:
+        data_cols = [c for c in df.columns if c not in (file_col, block_col)]
+        aggs.append(F.max(F.xxhash64(*[F.col("`" + c + "`") for c in data_cols])).alias("__touch"))
+    summary = base.groupBy(file_col, block_col).agg(*aggs)
     per_file = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(
         Window.unboundedPreceding, -1)
+    # __touch (strict modes) is kept in the written summary so the optimizer
+    # cannot prune it, and with it the parsing of the fields.
+    keep = ["__touch"] if parse_all else []
     offsets = summary.select(
-        file_col, block_col, "__first",
+        file_col, block_col, "__first", *keep,
         F.coalesce(F.sum("__n").over(per_file), F.lit(0)).alias("__offset"))
     # Materialise the small summary once as a table in the shared checkpoint
     # folder (one pass; an eager checkpoint() would compute it twice): the
@@ -71,7 +97,7 @@ def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str
     offsets = broadcast_if_bounded(stage(offsets, "ingest-offsets"), summary_max_rows)
     joined = base.join(offsets, [file_col, block_col])
     seq = F.col("__offset") + (F.col(_MID) - F.col("__first")) + F.lit(1)
-    return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset")
+    return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset", "__touch")
 
 
 def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None = None,
@@ -88,15 +114,12 @@ def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None
     that keeps growing, use ``streaming.audit_stream.start_audit_stream``: its
     file source remembers what it has read and never opens those files again.
     """
-    # The summary scan needs no data columns; with CSV column pruning on, such a
-    # scan may treat a malformed line differently from the full scan.  Parsing
-    # every column in both keeps their rows identical.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    strict = set_csv_pruning(spark, options.get("mode"))
     ensure_checkpoint_dir(spark)
     df = read_csv_dir(spark, src, schema=schema, **options)
     # Ids are taken straight off the scan; skipping whole files afterwards
     # cannot change the numbering of the files that remain.
-    out = add_file_seq_id(df)
+    out = add_file_seq_id(df, parse_all=strict)
     if skip_files is not None:
         done = skip_files.select("source_file").distinct()
         out = out.join(done, "source_file", "left_anti")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tablekit.operators.ingest import _BLK, add_file_seq_id
+from tablekit.operators.ingest import _BLK, add_file_seq_id, set_csv_pruning
 
 
 def batch_writer(out: str, job_id: str, out_format: str = "parquet"):
@@ -43,7 +43,7 @@ def start_audit_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
                        available_now: bool = True, out_format: str = "parquet",
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present."""
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    set_csv_pruning(spark, None)
     reader = (spark.readStream.schema(schema).option("header", "true")
               .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tablekit.operators.ingest import audit_ingest
@@ -99,3 +101,26 @@ def test_retried_batch_replaces_its_output(spark, tmp):
     rows = spark.read.parquet(f"{tmp}/out").collect()
     assert len(rows) == 10 and {r.batch_id for r in rows} == {0}
     _check(rows, [7, 3])
+
+
+def _landing_with_bad_rows(base):
+    os.makedirs(base, exist_ok=True)
+    with open(f"{base}/m.csv", "w") as f:
+        f.write("id,name\n")
+        for j in range(3000):
+            f.write(f"x{j},bad\n" if j % 7 == 3 else f"{j},n{j}\n")
+    return base
+
+
+@pytest.mark.parametrize("mode", ["PERMISSIVE", "DROPMALFORMED"])
+def test_malformed_rows_keep_ids_contiguous(spark, tmp, mode):
+    src = _landing_with_bad_rows(f"{tmp}/in")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = audit_ingest(spark, src, schema=SCHEMA, mode=mode).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = 3000 if mode == "PERMISSIVE" else 3000 - len([j for j in range(3000) if j % 7 == 3])
+    assert len(rows) == expected
+    assert sorted(r.seq_id for r in rows) == list(range(1, expected + 1))
