@@ -124,3 +124,9 @@ def test_malformed_rows_keep_ids_contiguous(spark, tmp, mode):
     expected = 3000 if mode == "PERMISSIVE" else 3000 - len([j for j in range(3000) if j % 7 == 3])
     assert len(rows) == expected
     assert sorted(r.seq_id for r in rows) == list(range(1, expected + 1))
+
+
+def test_failfast_raises_on_malformed(spark, tmp):
+    src = _landing_with_bad_rows(f"{tmp}/in")
+    with pytest.raises(Exception):
+        audit_ingest(spark, src, schema=SCHEMA, mode="FAILFAST").collect()
