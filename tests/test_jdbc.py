@@ -63,3 +63,16 @@ def test_merge_statement_text():
     assert "ON DUPLICATE KEY UPDATE `a` = VALUES(`a`)" in m
     with pytest.raises(ValueError):
         merge_statement("t; drop", "s", ["k"], ["k"])
+
+
+def test_transfer_jdbc_tables_to_views_and_warehouse(spark, db):
+    from tablekit.sinks.writers import transfer_tables
+    emp = spark.createDataFrame(EMPLOYEES, EMPLOYEES_SCHEMA)
+    write_jdbc(emp, db, "emp_src", properties=_props(), column_types=TYPES)
+    write_jdbc(emp.select("emp_no").withColumn("dept_no", F.lit("d1")), db, "dept_src", properties=_props())
+    transfer_tables(spark, lambda n: read_jdbc(spark, db, n, driver=DRIVER), ["emp_src", "dept_src"],
+                    to_warehouse=True)
+    got = spark.sql("SELECT count(*) FROM emp_src e JOIN dept_src d ON e.emp_no = d.emp_no").collect()[0][0]
+    assert got == 4
+    assert spark.catalog.tableExists("default.emp_src")
+    assert spark.table("default.dept_src").count() == 4
