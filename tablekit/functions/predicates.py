@@ -51,4 +51,6 @@ def regex_any(col: Column | str, needles: Iterable[str], lower: bool = False) ->
     if not items:
         return F.lit(False)
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract(c, regex_alternation(items, lower), 0) != F.lit("")
+    # rlike, not regexp_extract(...) != '': an empty needle must match every
+    # string, as contains('') does, and nothing needs to be extracted.
+    return c.rlike(regex_alternation(items, lower))

@@ -102,3 +102,10 @@ def test_flag_three_valued(spark):
     f = with_flag(df, ["id"], F.col("g"), "flag")
     assert [r.id for r in where_flag(f, "flag").collect()] == [1]
     assert [r.id for r in where_flag(f, "flag", value=False).collect()] == [2]
+
+
+def test_empty_needle_matches_like_contains(spark):
+    df = spark.createDataFrame([("abc",), ("",), (None,)], "s string")
+    a = df.where(contains_any("s", ["zz", ""])).count()
+    b = df.where(regex_any("s", ["zz", ""])).count()
+    assert a == b == 2
