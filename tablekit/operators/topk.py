@@ -18,14 +18,19 @@ from tablekit.functions import qcol
 def _order(spec) -> Column:
     if isinstance(spec, Column):
         return spec
-    name, _, direction = spec.partition(" ")
-    direction = direction.strip().lower()
-    col = qcol(name)
-    return {
-        "": col.asc(), "asc": col.asc(), "desc": col.desc(),
-        "asc_nulls_last": col.asc_nulls_last(), "asc_nulls_first": col.asc_nulls_first(),
-        "desc_nulls_last": col.desc_nulls_last(), "desc_nulls_first": col.desc_nulls_first(),
-    }[direction]
+    # "name [direction]": the direction is the last word, if it is one, so a
+    # column name may itself contain blanks.
+    directions = {
+        "asc": "asc", "desc": "desc", "asc_nulls_last": "asc_nulls_last",
+        "asc_nulls_first": "asc_nulls_first", "desc_nulls_last": "desc_nulls_last",
+        "desc_nulls_first": "desc_nulls_first",
+    }
+    head, _, last = spec.rpartition(" ")
+    if head and last.lower() in directions:
+        name, direction = head, directions[last.lower()]
+    else:
+        name, direction = spec, "asc"
+    return getattr(qcol(name), direction)()
 
 
 def sort(df: DataFrame, order: Sequence) -> DataFrame:

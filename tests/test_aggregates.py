@@ -104,3 +104,9 @@ def test_top_k_tie_break(spark):
     assert [r.id for r in top_k(df, 2, ["v desc"], ["id"]).collect()] == [1, 2]
     assert [r.id for r in top_k(df, 1, ["v asc"], ["id"]).collect()] == [4]  # NULLs first ascending
     assert [r.id for r in top_k(df, 1, ["v asc_nulls_last"], ["id"]).collect()] == [3]
+
+
+def test_top_k_column_with_blanks(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, 9.0)], "`id`: int, `w in lbs`: double")
+    assert [r.id for r in top_k(df, 1, ["w in lbs desc"], ["id"]).collect()] == [2]
+    assert [r.id for r in top_k(df, 1, ["w in lbs"], ["id"]).collect()] == [1]
