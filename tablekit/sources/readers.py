@@ -6,6 +6,8 @@ where Spark 4 differs from older behaviour.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +99,8 @@ def read_delimited_text(spark: SparkSession, path: str, names: Sequence[str], ty
 
     The header is removed by position (the first line of each file), not by
     testing the content of the line, and a field that does not convert is NULL.
+    Fields are split on ``sep`` as plain text (no quoting); use :func:`read_csv`
+    for quoted CSV.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("__f"),
@@ -107,7 +111,8 @@ def read_delimited_text(spark: SparkSession, path: str, names: Sequence[str], ty
         firsts = lines.where(F.col("__b") == 0).groupBy("__f").agg(F.min("__i").alias("__i"))
         # One row per file: broadcast only after the count is checked.
         lines = lines.join(broadcast_if_bounded(firsts), ["__f", "__i"], "left_anti")
-    parts = F.split(F.col("value"), sep, -1)
+    # split() takes a regex: the separator is matched literally.
+    parts = F.split(F.col("value"), re.escape(sep), -1)
     cols = [F.get(parts, i).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
     return lines.select(*cols)
 

@@ -168,3 +168,9 @@ def test_json_compression_and_single_quotes(spark, tmp):
     assert read_json(spark, p, schema="a long, b string", allowSingleQuotes="true").collect()[0].b == "x"
     bad = read_json(spark, p, schema="a long, b string", allowSingleQuotes="false", mode="DROPMALFORMED")
     assert bad.collect() == []
+
+
+def test_delimited_text_literal_separator(spark, tmp):
+    p = _write(f"{tmp}/pipes.txt", "a|b\n1|x\n2|y\n")
+    rows = read_delimited_text(spark, p, ["a", "b"], ["int", "string"], sep="|").orderBy("a").collect()
+    assert [tuple(r) for r in rows] == [(1, "x"), (2, "y")]
