@@ -12,6 +12,7 @@ no data, only the statement text.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,8 +94,15 @@ def merge_into_jdbc(spark: SparkSession, changes: DataFrame, url: str, target: s
     Returns the number of target rows touched as reported by the database.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    staging = staging or f"{target}_stage"
+    # A private staging table per call: concurrent merges into one target do
+    # not see each other's rows, and the table is dropped afterwards.
+    own_staging = staging is None
+    staging = staging or f"{target}_stg_{uuid.uuid4().hex[:12]}"
     df = changes.coalesce(writers) if writers else changes
     write_jdbc(df, url, staging, mode="overwrite", properties=properties, column_types=column_types)
-    sql = merge_statement(target, staging, keys, changes.columns, update_only, dialect)
-    return execute_statement(spark, url, sql, properties)
+    try:
+        sql = merge_statement(target, staging, keys, changes.columns, update_only, dialect)
+        return execute_statement(spark, url, sql, properties)
+    finally:
+        if own_staging:
+            execute_statement(spark, url, f"DROP TABLE {_ident(staging)}", properties)

@@ -76,3 +76,13 @@ def test_transfer_jdbc_tables_to_views_and_warehouse(spark, db):
     assert got == 4
     assert spark.catalog.tableExists("default.emp_src")
     assert spark.table("default.dept_src").count() == 4
+
+
+def test_merge_drops_its_staging_table(spark, db):
+    emp = spark.createDataFrame(EMPLOYEES, EMPLOYEES_SCHEMA)
+    write_jdbc(emp, db, "emp_t", properties=_props(), column_types=TYPES)
+    merge_into_jdbc(spark, emp.where("emp_no = 1"), db, "emp_t", "emp_no", properties=_props(), column_types=TYPES)
+    tables = read_jdbc(spark, db, "(SELECT tablename FROM sys.systables WHERE tabletype = 'T') t",
+                       driver=DRIVER).collect()
+    names = {r[0] for r in tables}
+    assert "EMP_T" in names and not any(n.startswith("EMP_T_STG") for n in names)
