@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablekit.sinks.writers import write_jdbc
 
@@ -86,14 +87,30 @@ def execute_statement(spark: SparkSession, url: str, sql: str,
 def merge_into_jdbc(spark: SparkSession, changes: DataFrame, url: str, target: str, key: Sequence[str] | str,
                     properties: Mapping[str, str] | None = None, staging: str | None = None,
                     update_only: bool = False, dialect: str = "standard",
-                    column_types: str | None = None, writers: int | None = None) -> int:
+                    column_types: str | None = None, writers: int | None = None,
+                    order_by: Sequence[str] | str | None = None, validate: bool = True) -> int:
     """Upsert (or update only) ``changes`` into the JDBC table ``target`` by ``key``.
 
-    ``changes`` must have unique keys (see ``operators.upsert.dedup_changes``).
-    ``writers`` limits the parallel connections used for the staging write.
-    Returns the number of target rows touched as reported by the database.
+    As in ``operators.upsert.upsert``: with ``order_by`` the change with the
+    largest ordering wins per key; without it duplicate keys raise (checked
+    before anything is written, unless ``validate=False``).  ``writers`` limits
+    the parallel connections used for the staging write.  Returns the number of
+    target rows touched as reported by the database.
     """
+    from tablekit.operators.upsert import assert_unique_keys, dedup_changes
     keys = [key] if isinstance(key, str) else list(key)
+    if order_by is not None:
+        changes = dedup_changes(changes, keys, order_by)
+    elif validate:
+        assert_unique_keys(changes, keys)
+    # Only the target's columns go to the database (an ordering column such as
+    # a version number may not exist there).  Reading the schema runs no query
+    # over the rows.
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", target)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    target_cols = {c.lower() for c in reader.load().columns}
+    changes = changes.select(*[F.col(f"`{c}`") for c in changes.columns if c.lower() in target_cols])
     # A private staging table per call: concurrent merges into one target do
     # not see each other's rows, and the table is dropped afterwards.
     own_staging = staging is None

@@ -86,3 +86,16 @@ def test_merge_drops_its_staging_table(spark, db):
                        driver=DRIVER).collect()
     names = {r[0] for r in tables}
     assert "EMP_T" in names and not any(n.startswith("EMP_T_STG") for n in names)
+
+
+def test_merge_duplicate_keys(spark, db):
+    emp = spark.createDataFrame(EMPLOYEES, EMPLOYEES_SCHEMA)
+    write_jdbc(emp, db, "emp_d", properties=_props(), column_types=TYPES)
+    dup = emp.where("emp_no = 1").withColumn("v", F.lit(1)).unionByName(
+        emp.where("emp_no = 1").withColumn("last_name", F.lit("Later")).withColumn("v", F.lit(2)))
+    with pytest.raises(ValueError):
+        merge_into_jdbc(spark, dup.drop("v"), db, "emp_d", "emp_no", properties=_props(), column_types=TYPES)
+    merge_into_jdbc(spark, dup, db, "emp_d", "emp_no", properties=_props(), column_types=TYPES,
+                    order_by=["v"])
+    rows = {r.emp_no: r for r in read_jdbc(spark, db, "emp_d", driver=DRIVER).collect()}
+    assert rows[1].last_name == "Later" and len(rows) == 4
