@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tablekit.functions import qcol
 

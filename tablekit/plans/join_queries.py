@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablekit.functions.scalars import exact_avg
 from tablekit.operators.aggregate import latest_per_key
 from tablekit.operators.joins import (
     array_join, join_drop_right_key, join_on, join_using, join_with, max_per_key_join, never_matched,

@@ -1,6 +1,5 @@
 import datetime as dt
 import glob
-import os
 
 import pytest
 from pyspark.errors import AnalysisException
