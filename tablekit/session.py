@@ -6,7 +6,7 @@ the cluster; only when it is unset (local tests) do we pick a temporary one.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -65,8 +65,18 @@ def get_session(app: str = "tablekit", master: str | None = None,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and executors are one process (``local`` or ``local[n]``)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    A temporary folder is created only when the setting is unset and the session
+    is a single local process.  On a cluster an unset folder is an error: each
+    executor would write to its own disk and later reads would miss those files.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -74,16 +84,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Unset only in local runs and tests: a private temporary folder.
+        if not is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the driver and "
+                               f"all executors (master is {sc.master})")
         configured = tempfile.mkdtemp(prefix="tablekit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique path under the shared checkpoint folder (Spark's writers create it)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared file system; True when something was deleted."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
