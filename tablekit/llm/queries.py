@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import chat_perspectives, license_scan
+from tablekit.llm import byte_bpe, chat_perspectives, license_scan
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,15 @@ ORACLE["op1_chat_perspectives"] = chat_perspectives.ROTATE_SQL
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and fuzzy notices of every document."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> byte_bpe.Vocabulary:
+    import public_tokenizers
+
+    return byte_bpe.Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+@register
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and their decoding."""
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), public_vocabulary())
