@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import byte_bpe, chat_perspectives, license_scan
+from tablekit.llm import byte_bpe, chat_perspectives, license_scan, quality_rules
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> byte_bpe.Voc
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and their decoding."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_vocabulary())
+
+
+@register
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document and the verdict of the learned decision list."""
+    return quality_rules.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
