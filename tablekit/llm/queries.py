@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import byte_bpe, chat_perspectives, license_scan, quality_rules
+from tablekit.llm import byte_bpe, chat_perspectives, license_scan, pii, quality_rules
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,9 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and the verdict of the learned decision list."""
     return quality_rules.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digests(table(spark, sf_dir, "documents"))
