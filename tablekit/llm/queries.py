@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import byte_bpe, chat_perspectives, license_scan, pii, quality_rules
+from tablekit.llm import byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op8_decontaminate"] = decontaminate.DIGEST_SQL
