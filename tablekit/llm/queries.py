@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules
+from tablekit.llm import byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_decontaminate"] = decontaminate.DIGEST_SQL
+
+
+@register
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
