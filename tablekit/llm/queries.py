@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash
+from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash,
+                           substring_dedup)
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +71,12 @@ ORACLE["op8_decontaminate"] = decontaminate.DIGEST_SQL
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the word windows of documents with smaller ids."""
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_substring_dedup"] = substring_dedup.DIGEST_SQL
