@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash,
-                           substring_dedup)
+                           substring_dedup, suffix_dedup)
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_substring_dedup"] = substring_dedup.DIGEST_SQL
+
+
+@register
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the byte strings that occur anywhere else."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
