@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash,
-                           substring_dedup, suffix_dedup)
+                           substring_dedup, suffix_dedup, toxicity)
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ ORACLE["op9_substring_dedup"] = substring_dedup.DIGEST_SQL
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the byte strings that occur anywhere else."""
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity categories of every document."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
