@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 import operator
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -34,11 +35,12 @@ def _date_lit(d) -> Column:
 def parse_date(col, fmt: str, as_of=None) -> Column:
     """String to DATE; unparsable text gives NULL.
 
-    With ``as_of`` set, a two-digit-year result later than ``as_of`` is moved
-    back 100 years (``12-Jun-98`` -> 1998-06-12 rather than 2098-06-12).
+    With ``as_of`` set and a two-digit year in ``fmt``, a result later than
+    ``as_of`` is moved back 100 years (``12-Jun-98`` -> 1998-06-12 rather than
+    2098-06-12).  Years written in full are left alone.
     """
     d = F.try_to_date(_c(col), fmt)
-    if as_of is None:
+    if as_of is None or not re.search("(?<![yu])(?:yy|uu)(?![yu])", re.sub("'[^']*'", "", fmt)):
         return d
     ref = _date_lit(as_of)
     return F.when(d > ref, F.add_months(d, -1200)).otherwise(d)

@@ -9,12 +9,13 @@ Every output row carries
   gaps (``monotonically_increasing_id`` jumps by 2**33 between partitions).
 
 Files are listed and split by Spark itself; there is no driver-side loop over
-files.  ``seq_id`` is computed without sorting the data: each file split is one
-contiguous run of rows inside one task, so a small per-split summary (row count
-and first ``monotonically_increasing_id``) gives each split its offset within
-its file.  The summary has one row per split, and is broadcast only after its
-row count is checked.  The input files must not change while the job runs
-(both passes read the same splits).
+files.  The parsed rows are scanned once and written to a staged table together
+with their file, the start of their split and a running id; the row counts, the
+numbers and the output all come from that table.  How the scan was cut, which
+depends on the number of executors at that moment, is thereby fixed, and a parse
+mode that drops lines drops the same ones for every projection.  A file split is
+one run of rows in one task, so a summary with one row per split gives each split
+its offset within its file, without sorting the data.
 """
 
 from __future__ import annotations
@@ -25,29 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablekit.operators.sizing import broadcast_if_bounded, stage
-from tablekit.session import ensure_checkpoint_dir
+from tablekit.operators.staging import stage
+from tablekit.session import remove_dir, shared_dir
 
 _MID = "__tk_mid"
 _BLK = "__tk_block"
 
 
-def set_csv_pruning(spark: SparkSession, mode: str | None) -> bool:
-    """Let the row-position summary scan skip field parsing when that is safe.
-
-    The summary scan reads no data columns.  In PERMISSIVE mode (the default)
-    every line yields one row whether or not its fields are parsed, so CSV
-    column pruning stays on and that scan only splits lines (about half the
-    cost of a full parse).  DROPMALFORMED and FAILFAST judge a line by its
-    fields; there pruning is switched off and the summary reads every field
-    (``add_file_seq_id(parse_all=True)``), so both scans keep the same rows.
-    Returns whether the mode is strict.
-    """
-    strict = (mode or "PERMISSIVE").upper() in ("DROPMALFORMED", "FAILFAST")
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false" if strict else "true")
-    return strict
-
-
 def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None = None,
                  header: bool = True, sep: str = ",", glob: str = "*.csv",
                  recursive: bool = True, **options) -> DataFrame:
@@ -67,59 +52,50 @@ def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str = _BLK,
-                    name: str = "seq_id", summary_max_rows: int = 1_000_000,
-                    parse_all: bool = False) -> DataFrame:
+                    name: str = "seq_id", path: str | None = None) -> DataFrame:
     """Contiguous 1-based row number per file, in file order, without a sort.
 
     ``df`` must be the direct scan from :func:`read_csv_dir` (rows of one file
-    split are then consecutive in one task).  ``parse_all`` makes the summary
-    scan parse every field, which is needed when the parse mode drops or
-    rejects lines by their fields (DROPMALFORMED, FAILFAST): a scan that reads
-    no data column would keep such lines and miscount.
+    split are then consecutive in one task).  It is scanned once, here, into two
+    staged tables under ``path`` (a fresh shared folder if not given).
     """
-    base = df.withColumn(_MID, F.monotonically_increasing_id())
-    aggs = [F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first")]
-    if parse_all:
-        data_cols = [c for c in df.columns if c not in (file_col, block_col)]
-        aggs.append(F.max(F.xxhash64(*[F.col("`" + c + "`") for c in data_cols])).alias("__touch"))
-    summary = base.groupBy(file_col, block_col).agg(*aggs)
-    per_file = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    # __touch (strict modes) is kept in the written summary so the optimizer
-    # cannot prune it, and with it the parsing of the fields.
-    keep = ["__touch"] if parse_all else []
-    offsets = summary.select(
-        file_col, block_col, "__first", *keep,
-        F.coalesce(F.sum("__n").over(per_file), F.lit(0)).alias("__offset"))
-    # Materialise the small summary once as a table in the shared checkpoint
-    # folder (one pass; an eager checkpoint() would compute it twice): the
-    # size check and the join then read it instead of re-scanning the input.
-    offsets = broadcast_if_bounded(stage(offsets, "ingest-offsets"), summary_max_rows)
-    joined = base.join(offsets, [file_col, block_col])
-    seq = F.col("__offset") + (F.col(_MID) - F.col("__first")) + F.lit(1)
-    return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset", "__touch")
+    path = path or shared_dir(df.sparkSession, "ingest")
+    rows = stage(df.withColumn(_MID, F.monotonically_increasing_id()), path=f"{path}/rows")
+    summary = rows.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
+    per_file = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    # Written as well, so that the planner knows its size when it picks the join.
+    offsets = stage(summary.select(file_col, block_col, "__first",
+                                   F.coalesce(F.sum("__n").over(per_file), F.lit(0)).alias("__offset")),
+                    path=f"{path}/offsets")
+    joined = rows.join(offsets, [file_col, block_col], "left")
+    # A split without an offset would be lost rows: fail instead.
+    offset = F.coalesce(F.col("__offset"), F.raise_error(F.concat(
+        F.lit("no row offset for a split of "), F.col(file_col))).cast("bigint"))
+    seq = offset + (F.col(_MID) - F.col("__first")) + F.lit(1)
+    return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset")
 
 
 def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None = None,
                  job_id: str | None = None, skip_files: DataFrame | None = None,
-                 **options) -> DataFrame:
+                 path: str | None = None, **options) -> DataFrame:
     """Read every CSV under ``src`` and add ``job_id``, ``source_file`` and ``seq_id``.
 
     ``skip_files`` (a frame with a ``source_file`` column, e.g. the existing
     output) leaves out files already ingested, so a re-run does not append the
     same rows twice.  Empty files contribute no rows.
 
+    The rows are staged under ``path`` (or a fresh shared folder), which the result
+    reads; remove it when the result has been written.
+
     The skipped files are still read (their rows are dropped after numbering,
     which keeps the numbering of the others exact).  For a landing folder
     that keeps growing, use ``streaming.audit_stream.start_audit_stream``: its
     file source remembers what it has read and never opens those files again.
     """
-    strict = set_csv_pruning(spark, options.get("mode"))
-    ensure_checkpoint_dir(spark)
     df = read_csv_dir(spark, src, schema=schema, **options)
     # Ids are taken straight off the scan; skipping whole files afterwards
     # cannot change the numbering of the files that remain.
-    out = add_file_seq_id(df, parse_all=strict)
+    out = add_file_seq_id(df, path=path)
     if skip_files is not None:
         done = skip_files.select("source_file").distinct()
         out = out.join(done, "source_file", "left_anti")
@@ -128,9 +104,12 @@ def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None
     return out.select(*cols, F.lit(jid).alias("job_id"), "source_file", "seq_id")
 
 
-def write_audited(df: DataFrame, out: str, mode: str = "append", fmt: str = "csv") -> None:
-    """Append the audited rows to one output folder (header kept for CSV)."""
-    w = df.write.mode(mode).format(fmt)
-    if fmt == "csv":
-        w = w.option("header", "true")
-    w.save(out)
+def ingest_to(spark: SparkSession, src: str, out: str, mode: str = "append", fmt: str = "csv",
+              **settings) -> None:
+    """Ingest ``src`` into one output folder (header kept for CSV) and remove the staged rows."""
+    path = shared_dir(spark, "ingest")
+    try:
+        writer = audit_ingest(spark, src, path=path, **settings).write.mode(mode).format(fmt)
+        (writer.option("header", "true") if fmt == "csv" else writer).save(out)
+    finally:
+        remove_dir(spark, path)

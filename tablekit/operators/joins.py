@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from tablekit.functions import qcol
 
-from tablekit.operators.sizing import broadcast_if_bounded
-
 _E = "__tk_elem"
 
 
@@ -84,54 +82,57 @@ def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "in
 
 
 def join_using(left: DataFrame, right: DataFrame, key, right_key=None, how: str = "inner") -> DataFrame:
-    """USING join: the key appears once and first."""
-    if right_key is not None and right_key != key:
-        right = right.withColumnRenamed(right_key, key)
-    return left.join(right, _names(key), how)
+    """USING join: the key appears once and first (J7); outer forms are hot-key safe."""
+    keys, right_keys = _names(key), _names(right_key if right_key is not None else key)
+    if how in ("left_semi", "left_anti", "semi", "anti"):
+        return join_on(left, right, keys, right_keys, how)
+    joined = _positions(join_on(left, right, keys, right_keys, how))
+    at_left = [left.columns.index(k) for k in keys]
+    at_right = [len(left.columns) + right.columns.index(k) for k in right_keys]
+    names = left.columns + right.columns
+    once = [F.coalesce(_at(i), _at(j)).alias(k) for i, j, k in zip(at_left, at_right, keys)]
+    rest = [_at(i).alias(n) for i, n in enumerate(names) if i not in at_left and i not in at_right]
+    return joined.select(*once, *rest)
+
+
+def _at(i: int) -> Column:
+    return F.col(f"__tk_c{i}")
+
+
+def _positions(df: DataFrame) -> DataFrame:
+    """``df`` with columns named by position, so that equal names can be told apart."""
+    return df.toDF(*[f"__tk_c{i}" for i in range(len(df.columns))])
 
 
 def join_drop_right_key(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                         how: str = "inner") -> DataFrame:
-    """Join, then drop the right-hand copy of the key by reference."""
-    joined = join_on(left, right, left_on, right_on, how)
-    # Drop the right-hand copy by position: the left side may have a column
-    # with the same name (e.g. both sides carry an ``id``).
-    names = joined.columns
-    pos = len(left.columns) + right.columns.index(right_on)
-    tmp = [f"__tk_c{i}" for i in range(len(names))]
-    return joined.toDF(*tmp).select(*[F.col(tmp[i]).alias(names[i]) for i in range(len(names)) if i != pos])
+    """Join, then drop the right-hand copy of the key by reference.
 
+    A row that only the right side has keeps its key, in the left key's column.
+    """
+    joined = _positions(join_on(left, right, left_on, right_on, how))
+    names = left.columns + right.columns
+    kept, dropped = left.columns.index(left_on), len(left.columns) + right.columns.index(right_on)
+    return joined.select(*[(F.coalesce(_at(i), _at(dropped)) if i == kept else _at(i)).alias(n)
+                           for i, n in enumerate(names) if i != dropped])
 
-def join_with(left: DataFrame, right: DataFrame, cond: Column, how: str = "inner",
+
+def join_with(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "inner",
               names: tuple[str, str] = ("_1", "_2"), skew_safe: bool = True) -> DataFrame:
-    """Pair join: each side kept whole as one struct.
+    """Pair join on equal keys: each side kept whole as one struct.
 
     On an outer join the side without a match is a NULL struct, not a struct of
-    NULLs.  With ``skew_safe`` an outer pair join is built as inner pairs plus
-    the unmatched rows of each side from anti joins (see :func:`join_on`).
+    NULLs.  The keys are given by name, so the join always has an equality to
+    hash or sort on; the outer forms are those of :func:`join_on`.
     """
-    how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full"}.get(how, how)
-    lstruct = F.struct(*[_ref(left, c) for c in left.columns])
-    rstruct = F.struct(*[_ref(right, c) for c in right.columns])
-    if skew_safe and how in ("left", "right", "full"):
-        lnull = F.lit(None).cast(left.select(lstruct).schema[0].dataType)
-        rnull = F.lit(None).cast(right.select(rstruct).schema[0].dataType)
-        parts = [left.join(right, cond, "inner").select(lstruct.alias(names[0]), rstruct.alias(names[1]))]
-        if how in ("left", "full"):
-            parts.append(left.join(right, cond, "left_anti").select(lstruct.alias(names[0]), rnull.alias(names[1])))
-        if how in ("right", "full"):
-            parts.append(right.join(left, cond, "left_anti").select(lnull.alias(names[0]), rstruct.alias(names[1])))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.union(p)
-        return out
-    lm, rm = "__tk_lm", "__tk_rm"
-    l2 = left.withColumn(lm, F.lit(True))
-    r2 = right.withColumn(rm, F.lit(True))
-    joined = l2.join(r2, cond, how)
-    lpair = F.when(F.col(lm).isNotNull(), F.struct(*[_ref(l2, c) for c in left.columns]))
-    rpair = F.when(F.col(rm).isNotNull(), F.struct(*[_ref(r2, c) for c in right.columns]))
-    return joined.select(lpair.alias(names[0]), rpair.alias(names[1]))
+    pair = "__tk_side"
+    whole = lambda df: F.struct(*[_ref(df, c) for c in df.columns]).alias(pair)
+    lk, rk = _names(left_on), _names(right_on)
+    a = left.select(whole(left), *[_ref(left, k).alias(f"__tk_l{i}") for i, k in enumerate(lk)])
+    b = right.select(whole(right), *[_ref(right, k).alias(f"__tk_r{i}") for i, k in enumerate(rk)])
+    joined = _positions(join_on(a, b, [f"__tk_l{i}" for i in range(len(lk))],
+                                [f"__tk_r{i}" for i in range(len(rk))], how, skew_safe))
+    return joined.select(_at(0).alias(names[0]), _at(len(a.columns)).alias(names[1]))
 
 
 def _explode_distinct(left: DataFrame, array_col: str) -> DataFrame:
@@ -143,8 +144,7 @@ def _explode_distinct(left: DataFrame, array_col: str) -> DataFrame:
 
 def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str,
                how: str = "inner", left_key: Sequence[str] | str | None = None,
-               right_key: Sequence[str] | str | None = None,
-               broadcast_max_rows: int | None = None) -> DataFrame:
+               right_key: Sequence[str] | str | None = None) -> DataFrame:
     """Rows of ``left`` and ``right`` where ``array_contains(left[array_col], _ref(right, value_col))``.
 
     ``how`` is ``inner``, ``left``, ``right`` or ``full``.  Each matching pair
@@ -152,14 +152,9 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
     need a unique row key on each side that lacks a partner (``left_key`` /
     ``right_key``): unmatched rows are found with anti-joins on the element,
     never by exploding them into a spurious NULL row.
-
-    ``broadcast_max_rows`` broadcasts ``right`` only after proving that it has
-    at most that many rows.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unsupported join type {how!r}")
-    if broadcast_max_rows is not None:
-        right = broadcast_if_bounded(right, broadcast_max_rows)
     exploded = _explode_distinct(left, array_col)
     pairs = (exploded.join(right, _ref(exploded, _E) == _ref(right, value_col), "inner")
                      .select(*[_ref(exploded, c) for c in left.columns],
@@ -193,12 +188,6 @@ def array_join(left: DataFrame, right: DataFrame, array_col: str, value_col: str
     return out
 
 
-def array_join_naive(left: DataFrame, right: DataFrame, array_col: str, value_col: str,
-                     how: str = "inner") -> DataFrame:
-    """The direct ``array_contains`` condition, for comparison and tests only."""
-    return left.join(right, F.array_contains(left[array_col], _ref(right, value_col)), how)
-
-
 def max_per_key_join(entities: DataFrame, facts: DataFrame, key: str, value: str,
                      alias: str, fact_key: str | None = None) -> DataFrame:
     """Aggregate facts per key, then USING-join back to the entities."""

@@ -3,11 +3,11 @@
 The change set is applied as one set-based plan instead of per-row
 SELECT/UPDATE/INSERT statements:
 
-* upsert  = (target rows whose key is not in the changes) UNION ALL changes
-* update  = (target rows whose key is not in the changes) UNION ALL
-            (changes whose key is in the target)
+* update  = the target, every row with a changed key replaced by the change row
+* upsert  = update UNION ALL the changes whose key is not in the target
 
-A change row wins whole, NULLs included.  Duplicate keys in the change set are
+A change row wins whole, NULLs included.  If the target holds a key more than
+once, every one of its rows is updated, as SQL's UPDATE does.  Duplicate keys in the change set are
 resolved by an explicit ``order_by`` (largest wins) through a map-side combined
 aggregate; without ``order_by`` duplicates are an error.
 """
@@ -83,10 +83,10 @@ def _prepare(target: DataFrame, changes: DataFrame, key, order_by, validate: boo
 def upsert(target: DataFrame, changes: DataFrame, key, order_by: Sequence[str] | str | None = None,
            validate: bool = True) -> DataFrame:
     """The full new target after UPDATE-or-INSERT of ``changes`` by ``key``."""
-    k = _names(key)
     ch = _prepare(target, changes, key, order_by, validate)
-    kept = target.join(ch.select(*_q(k)), k, "left_anti")
-    return kept.unionByName(ch)
+    op = "__tk_op"
+    inserts = classify(ch, target, key, op).where(F.col(op) == "INSERT").select(*_q(target.columns))
+    return _updated(target, ch, key).unionByName(inserts)
 
 
 def update_matched(target: DataFrame, changes: DataFrame, key,
@@ -96,8 +96,11 @@ def update_matched(target: DataFrame, changes: DataFrame, key,
     One left join of the target to the (key-unique) changes: a matched row
     takes the change row whole, NULLs included; an unmatched row is kept.
     """
+    return _updated(target, _prepare(target, changes, key, order_by, validate), key)
+
+
+def _updated(target: DataFrame, ch: DataFrame, key) -> DataFrame:
     k = _names(key)
-    ch = _prepare(target, changes, key, order_by, validate)
     hit = "__tk_hit"
     ch2 = ch.select(*[qcol(c).alias(f"__tk_c_{c}") if c not in k else qcol(c) for c in ch.columns],
                     F.lit(True).alias(hit))

@@ -10,7 +10,7 @@ from tablekit.operators.aggregate import latest_per_key
 from tablekit.operators.joins import (
     array_join, join_drop_right_key, join_on, join_using, join_with, max_per_key_join, never_matched,
 )
-from tablekit.operators.sizing import stage
+from tablekit.operators.staging import stage
 from tablekit.operators.topk import top_k
 from tablekit.plans.registry import register
 from tablekit.plans.tables import JOIN_SIDES_SQL, customers_left, orders_right, table
@@ -90,21 +90,17 @@ SELECT c.c_custkey AS l_custkey, o.o_orderkey AS r_orderkey,
 FROM cust_l c FULL OUTER JOIN orders_r o ON c.c_custkey = o.o_custkey""")
 def join_with_pairs(spark, d):
     c, o = customers_left(spark, d), orders_right(spark, d)
-    pairs = join_with(c, o, c["c_custkey"] == o["o_custkey"], "full")
+    pairs = join_with(c, o, "c_custkey", "o_custkey", "full")
     return pairs.select(F.col("_1.c_custkey").alias("l_custkey"), F.col("_2.o_orderkey").alias("r_orderkey"),
                         F.col("_1").isNull().alias("left_absent"), F.col("_2").isNull().alias("right_absent"))
 
 
 # Array membership: each part's name words against the vocabulary of part
-# types.  The vocabulary is derived from the data and broadcast only after its
-# row count is checked.
+# types.  The join strategy is left to size statistics and adaptive execution.
 def _words_and_vocab(spark, d):
     p = table(spark, d, "part")
     left = p.select("p_partkey", "p_name", F.split("p_name", " ").alias("words"))
-    # The vocabulary is an aggregate over the whole table: staged once, then
-    # both the size check and the broadcast read the small written table.
-    vocab = stage(p.select(F.lower("p_type").alias("type_word")).distinct(), "vocab")
-    return left, vocab
+    return left, p.select(F.lower("p_type").alias("type_word")).distinct()
 
 
 ARRAY_SQL = """WITH vocab AS (SELECT DISTINCT lower(p_type) AS type_word FROM part)
@@ -115,7 +111,7 @@ FROM part p {kind} JOIN vocab v ON list_contains(string_split(p.p_name, ' '), v.
 @register("join_array_inner", ARRAY_SQL.format(kind="INNER"))
 def join_array_inner(spark, d):
     left, vocab = _words_and_vocab(spark, d)
-    out = array_join(left, vocab, "words", "type_word", "inner", broadcast_max_rows=100_000)
+    out = array_join(left, vocab, "words", "type_word", "inner")
     return out.select("p_partkey", "p_name", "type_word")
 
 
@@ -123,22 +119,21 @@ def join_array_inner(spark, d):
 def join_array_outer(spark, d):
     left, vocab = _words_and_vocab(spark, d)
     out = array_join(left, vocab, "words", "type_word", "full", left_key="p_partkey",
-                     right_key="type_word", broadcast_max_rows=100_000)
+                     right_key="type_word")
     return out.select("p_partkey", "p_name", "type_word")
 
 
 @register("join_array_left", ARRAY_SQL.format(kind="LEFT OUTER"))
 def join_array_left(spark, d):
     left, vocab = _words_and_vocab(spark, d)
-    out = array_join(left, vocab, "words", "type_word", "left", left_key="p_partkey",
-                     broadcast_max_rows=100_000)
+    out = array_join(left, vocab, "words", "type_word", "left", left_key="p_partkey")
     return out.select("p_partkey", "p_name", "type_word")
 
 
 @register("join_array_right", ARRAY_SQL.format(kind="RIGHT OUTER"))
 def join_array_right(spark, d):
     left, vocab = _words_and_vocab(spark, d)
-    out = array_join(left, vocab, "words", "type_word", "right", broadcast_max_rows=100_000)
+    out = array_join(left, vocab, "words", "type_word", "right")
     return out.select("p_partkey", "p_name", "type_word")
 
 

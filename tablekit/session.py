@@ -92,9 +92,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder (Spark's writers create it)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder (Spark's writers create it).
+
+    It stays until :func:`remove_dir` or :func:`remove_scratch` deletes it.
+    """
+    _scratch.append(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every folder handed out by :func:`shared_dir` so far; how many existed.
+
+    Frames that read them must have been consumed.
+    """
+    paths, _scratch[:] = _scratch[:], []
+    return sum(remove_dir(spark, p) for p in paths)
 
 
 def remove_dir(spark: SparkSession, path: str) -> bool:

@@ -15,6 +15,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +85,15 @@ def execute_statement(spark: SparkSession, url: str, sql: str,
         conn.close()
 
 
+def _drop_if_there(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None) -> None:
+    try:
+        execute_statement(spark, url, f"DROP TABLE {_ident(table)}", properties)
+    except Py4JJavaError as e:
+        # The write may have failed before it made the table.
+        if "SQL" not in e.java_exception.getClass().getName():
+            raise
+
+
 def merge_into_jdbc(spark: SparkSession, changes: DataFrame, url: str, target: str, key: Sequence[str] | str,
                     properties: Mapping[str, str] | None = None, staging: str | None = None,
                     update_only: bool = False, dialect: str = "standard",
@@ -94,7 +104,9 @@ def merge_into_jdbc(spark: SparkSession, changes: DataFrame, url: str, target: s
     As in ``operators.upsert.upsert``: with ``order_by`` the change with the
     largest ordering wins per key; without it duplicate keys raise (checked
     before anything is written, unless ``validate=False``).  ``writers`` limits
-    the parallel connections used for the staging write.  Returns the number of
+    the parallel connections used for the staging write.  The changes must have
+    exactly the target's columns (in any case), apart from those of ``order_by``.
+    The ``mysql`` dialect's upsert relies on a unique index on the key.  Returns the number of
     target rows touched as reported by the database.
     """
     from tablekit.operators.upsert import assert_unique_keys, dedup_changes
@@ -109,17 +121,32 @@ def merge_into_jdbc(spark: SparkSession, changes: DataFrame, url: str, target: s
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", target)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    target_cols = {c.lower() for c in reader.load().columns}
-    changes = changes.select(*[F.col(f"`{c}`") for c in changes.columns if c.lower() in target_cols])
+    target_cols = {c.lower(): c for c in reader.load().columns}
+    ordering = {re.split(r"\s+", c.strip())[0].lower() for c in (
+        [order_by] if isinstance(order_by, str) else order_by or [])}
+    unknown = [c for c in changes.columns if c.lower() not in target_cols and c.lower() not in ordering]
+    missing = [c for low, c in target_cols.items() if low not in {x.lower() for x in changes.columns}]
+    if unknown or missing:
+        raise ValueError(f"columns not in {target}: {unknown}; columns of {target} not in the changes: {missing}")
+    # Named as the target names them: quoted identifiers are case-sensitive.
+    changes = changes.select(*[F.col(f"`{c}`").alias(target_cols[c.lower()]) for c in changes.columns
+                               if c.lower() in target_cols])
+    keys = [target_cols[k.lower()] for k in keys]
+    if update_only and len(keys) == len(changes.columns):
+        raise ValueError("an update needs at least one column besides the key")
     # A private staging table per call: concurrent merges into one target do
     # not see each other's rows, and the table is dropped afterwards.
     own_staging = staging is None
     staging = staging or f"{target}_stg_{uuid.uuid4().hex[:12]}"
-    df = changes.coalesce(writers) if writers else changes
-    write_jdbc(df, url, staging, mode="overwrite", properties=properties, column_types=column_types)
+    df = changes.repartition(writers) if writers else changes
     try:
+        write_jdbc(df, url, staging, mode="overwrite", properties=properties, column_types=column_types)
+        # A task that is retried after its commit would leave its rows twice.
+        staged = spark.read.format("jdbc").options(**dict(properties or {}), url=url, dbtable=staging).load()
+        if validate:
+            assert_unique_keys(staged, keys)
         sql = merge_statement(target, staging, keys, changes.columns, update_only, dialect)
         return execute_statement(spark, url, sql, properties)
     finally:
         if own_staging:
-            execute_statement(spark, url, f"DROP TABLE {_ident(staging)}", properties)
+            _drop_if_there(spark, url, staging, properties)

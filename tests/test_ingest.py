@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tablekit.operators.ingest import audit_ingest
+from tablekit.operators.ingest import audit_ingest, ingest_to, read_csv_dir
 from tablekit.streaming.audit_stream import start_audit_stream
 
 SCHEMA = "id long, name string"
@@ -54,7 +54,7 @@ def test_seq_ids_when_files_are_split(spark, tmp):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         df = audit_ingest(spark, src, schema=SCHEMA)
-        assert df.select("__tk_block").distinct().count() > 2 if "__tk_block" in df.columns else True
+        assert read_csv_dir(spark, src, schema=SCHEMA).select("__tk_block").distinct().count() > 2
         rows = df.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -91,7 +91,6 @@ def test_streaming_ingest_skips_seen_files(spark, tmp):
 
 
 def test_retried_batch_replaces_its_output(spark, tmp):
-    from tablekit.operators.ingest import read_csv_dir
     from tablekit.streaming.audit_stream import batch_writer
     src = _landing(f"{tmp}/in", [7, 3])
     write = batch_writer(f"{tmp}/out", "job-x")
@@ -130,3 +129,60 @@ def test_failfast_raises_on_malformed(spark, tmp):
     src = _landing_with_bad_rows(f"{tmp}/in")
     with pytest.raises(Exception):
         audit_ingest(spark, src, schema=SCHEMA, mode="FAILFAST").collect()
+
+
+class _Conf:
+    """Sets session settings for a block."""
+
+    def __init__(self, spark, **conf):
+        self.spark, self.conf = spark, {k.replace("__", "."): v for k, v in conf.items()}
+
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in self.conf}
+        for k, v in self.conf.items():
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+
+
+def _parallel(spark, n):
+    return _Conf(spark, spark__sql__leafNodeDefaultParallelism=n, spark__sql__files__openCostInBytes="2048",
+                 spark__sql__files__minPartitionNum=n)
+
+
+@pytest.mark.parametrize("build,run", [("4", "64"), ("64", "4")])
+def test_ids_do_not_depend_on_the_scan_parallelism(spark, tmp, build, run):
+    sizes = [30000, 9000, 300]
+    src = _landing(f"{tmp}/in", sizes)
+    with _parallel(spark, build):
+        df = audit_ingest(spark, src, schema=SCHEMA)
+    with _parallel(spark, run):
+        rows = df.collect()
+    assert len(rows) == sum(sizes)
+    _check(rows, sizes)
+
+
+@pytest.mark.parametrize("mode,left", [("PERMISSIVE", 3000), ("DROPMALFORMED", 2571)])
+def test_every_projection_sees_the_same_rows(spark, tmp, mode, left):
+    src = _landing_with_bad_rows(f"{tmp}/in")
+    df = audit_ingest(spark, src, schema=SCHEMA, mode=mode)
+    assert df.count() == left
+    for columns in (["seq_id"], ["id"], ["name", "seq_id"], df.columns):
+        rows = df.select(*columns).collect()
+        assert len(rows) == left
+        if "seq_id" in columns:
+            assert sorted(r.seq_id for r in rows) == list(range(1, left + 1))
+
+
+def test_staged_rows_are_removed_after_use(spark, tmp):
+    from tablekit.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    src = _landing(f"{tmp}/in", [50, 20])
+    before = set(os.listdir(base))
+    ingest_to(spark, src, f"{tmp}/out", fmt="parquet", schema=SCHEMA)
+    q = start_audit_stream(spark, src, f"{tmp}/stream", f"{tmp}/ckpt", SCHEMA)
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp}/out").count() == spark.read.parquet(f"{tmp}/stream").count() == 70
+    assert {n for n in os.listdir(base) if n.startswith("ingest")} <= before

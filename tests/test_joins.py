@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tablekit.operators.joins import (
-    array_join, array_join_naive, join_drop_right_key, join_on, join_using, join_with,
+    array_join, join_drop_right_key, join_on, join_using, join_with,
 )
 from tests.fixtures import BANDS, BANDS_SCHEMA, GUITARS, GUITARS_SCHEMA, PLAYERS, PLAYERS_SCHEMA
 
@@ -66,6 +66,11 @@ def test_array_join_plan_has_no_cartesian(frames):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def array_join_naive(left, right, array_col, value_col, how):
+    """The direct ``array_contains`` condition (a nested loop), for comparison."""
+    return left.join(right, F.array_contains(left[array_col], right[value_col]), how)
+
+
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
@@ -94,11 +99,11 @@ def test_array_join_matches_naive(spark, seed, how):
 
 def test_join_with_pairs_null_struct(frames):
     p, b, _ = frames
-    out = join_with(p, b, p["band"] == b["id"], "full").collect()
+    out = join_with(p, b, "band", "id", "full").collect()
     assert len(out) == 5
     assert sum(1 for r in out if r["_1"] is None) == 1
     assert sum(1 for r in out if r["_2"] is None) == 1
-    inner = join_with(p, b, p["band"] == b["id"], "inner").collect()
+    inner = join_with(p, b, "band", "id", "inner").collect()
     assert all(r["_1"]["band"] == r["_2"]["id"] for r in inner)
 
 
@@ -129,6 +134,17 @@ def test_hot_key_joins_match_plain(spark, how):
 @pytest.mark.parametrize("how", ["left", "right", "full"])
 def test_pair_join_outer_matches_plain(frames, how):
     p, b, _ = frames
-    ours = join_with(p, b, p["band"] == b["id"], how)
-    plain = join_with(p, b, p["band"] == b["id"], how, skew_safe=False)
+    ours = join_with(p, b, "band", "id", how)
+    plain = join_with(p, b, "band", "id", how, skew_safe=False)
     assert _rows(ours) == _rows(plain)
+    assert "Nested" not in _plan(ours) and "LeftOuter" not in _plan(ours)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_using_and_drop_key_keep_the_key(spark, how):
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k long, a string")
+    b = spark.createDataFrame([(2, "p"), (3, "q"), (None, "r")], "k long, b string")
+    assert _rows(join_using(a, b, "k", how=how)) == _rows(a.join(b, "k", how))
+    dropped = join_drop_right_key(a, b, "k", "k", how)
+    assert dropped.columns == ["k", "a", "b"] and _rows(dropped) == _rows(a.join(b, "k", how))
+    assert "Outer" not in _plan(join_using(a, b, "k", how=how))

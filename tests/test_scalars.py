@@ -109,3 +109,11 @@ def test_empty_needle_matches_like_contains(spark):
     a = df.where(contains_any("s", ["zz", ""])).count()
     b = df.where(regex_any("s", ["zz", ""])).count()
     assert a == b == 2
+
+
+def test_pivot_leaves_full_years_alone(spark):
+    from tablekit.functions.scalars import parse_date
+    row = spark.createDataFrame([("Feb 1 2030", "1-Feb-30")], "a string, b string").select(
+        parse_date("a", "MMM d yyyy", as_of="2026-01-01").cast("string").alias("a"),
+        parse_date("b", "d-MMM-yy", as_of="2026-01-01").cast("string").alias("b")).first()
+    assert tuple(row) == ("2030-02-01", "1930-02-01")

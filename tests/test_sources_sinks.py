@@ -173,3 +173,36 @@ def test_delimited_text_literal_separator(spark, tmp):
     p = _write(f"{tmp}/pipes.txt", "a|b\n1|x\n2|y\n")
     rows = read_delimited_text(spark, p, ["a", "b"], ["int", "string"], sep="|").orderBy("a").collect()
     assert [tuple(r) for r in rows] == [(1, "x"), (2, "y")]
+
+
+def test_conform_nested_by_name_with_declared_nullability(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+    from tablekit.sources.conform import conform
+    inner = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.IntegerType())])
+    want = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("s", inner),
+                         T.StructField("l", T.ArrayType(inner))])
+    df = spark.createDataFrame([("7", (3, 30), [(4, 40)]), ("8", None, None)],
+                               "id string, s struct<b:long,a:long>, l array<struct<b:int,a:int>>")
+    out = conform(df, want)
+    assert [(f.name, f.nullable) for f in out.schema] == [("id", False), ("s", True), ("l", True)]
+    rows = sorted(out.collect())
+    assert rows[0].s.asDict() == {"a": 30, "b": 3} and rows[0].l[0].asDict() == {"a": 40, "b": 4}
+    assert rows[1].s is None and rows[1].l is None
+    bad = spark.createDataFrame([(None, None, None)], df.schema)
+    with pytest.raises(PySparkException, match="non-nullable field id"):
+        conform(bad, want).count()
+    with pytest.raises(PySparkException, match="non-nullable field s.a"):
+        conform(spark.createDataFrame([("1", (3, None), None)], df.schema), want).collect()
+
+
+def test_delimited_text_is_one_scan(spark, tmp):
+    from tablekit.sources.readers import read_delimited_text
+    for i in range(3):
+        with open(f"{tmp}/f{i}.txt", "w") as f:
+            f.write(f"a|*|b\n{i}|*|\"x\"\noops|*|\n")
+    out = read_delimited_text(spark, tmp, ["a", "b"], ["int", "string"], sep="|*|")
+    assert sorted((r.a, r.b) for r in out.collect() if r.a is not None) == [(i, '"x"') for i in range(3)]
+    assert out.count() == 6
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan

@@ -96,3 +96,10 @@ def test_odd_column_names(spark):
     voc = spark.createDataFrame([("a b",), ("z",)], "`w.v`: string")
     full = array_join(arr, voc, "the words", "w.v", "full", left_key="id x", right_key="w.v")
     assert full.count() == 2
+
+
+def test_every_target_row_of_a_key_is_updated(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, v string")
+    changes = spark.createDataFrame([(1, "new"), (3, "x")], "k long, v string")
+    assert sorted(tuple(r) for r in update_matched(target, changes, "k").collect()) == [(1, "new"), (1, "new"), (2, "c")]
+    assert sorted(tuple(r) for r in upsert(target, changes, "k").collect()) == [(1, "new"), (1, "new"), (2, "c"), (3, "x")]
