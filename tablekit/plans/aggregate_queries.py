@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablekit.functions.scalars import exact_avg, exact_sum, row_sum
 from tablekit.operators.aggregate import group_collect, mean_null_as_zero, min_record
+from tablekit.operators.staging import stage
 from tablekit.plans.registry import register
 from tablekit.plans.tables import ORDERS_N_SQL, orders_n, table
 
@@ -44,11 +45,44 @@ def agg_count_distinct(spark, d):
                                   F.count_distinct("cust_n").alias("n_distinct_cust"))
 
 
-# Approximate: no oracle text (DuckDB's sketch gives a different estimate);
-# the unit tests hold it to within 2 x rsd of the exact count.
-@register("agg_approx_distinct")
+@register("agg_approx_distinct", """
+SELECT count(DISTINCT o_custkey) AS customers, true AS estimate_near FROM orders""")
 def agg_approx_distinct(spark, d):
-    return orders_n(spark, d).agg(F.approx_count_distinct("o_custkey", 0.05).alias("approx_customers"))
+    """The exact count, and whether the sketch (relative error 0.02) is within a tenth of it."""
+    return table(spark, d, "orders").agg(
+        F.count_distinct("o_custkey").alias("customers"),
+        (F.abs(F.approx_count_distinct("o_custkey", 0.02) - F.count_distinct("o_custkey"))
+         <= 0.1 * F.count_distinct("o_custkey")).alias("estimate_near"))
+
+
+@register("is_empty", """
+SELECT c_mktsegment, count(*) = 0 AS empty, false AS all_empty, true AS none_negative FROM customer GROUP BY c_mktsegment""")
+def is_empty_q(spark, d):
+    """Emptiness of a table and of a filtered table (K6), beside each segment."""
+    c = table(spark, d, "customer")
+    return c.groupBy("c_mktsegment").agg((F.count("*") == 0).alias("empty")).withColumns(
+        {"all_empty": F.lit(c.isEmpty()), "none_negative": F.lit(c.where("c_custkey < 0").isEmpty())})
+
+
+@register("current_date_time", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) < current_date AS past, true AS same_day, true AS one_instant FROM orders""")
+def current_date_time(spark, d):
+    """current_date and current_timestamp are one instant for a whole query."""
+    now = F.current_timestamp()
+    return table(spark, d, "orders").select(
+        "o_orderkey", (F.col("o_orderdate").cast("date") < F.current_date()).alias("past"),
+        (now.cast("date") == F.current_date()).alias("same_day"), (now == F.now()).alias("one_instant"))
+
+
+@register("uuid_ids", """
+SELECT s_suppkey, true AS valid, true AS distinct_ids FROM supplier""")
+def uuid_ids(spark, d):
+    """A random id for each row (X24): well formed, and no two alike."""
+    s = stage(table(spark, d, "supplier").select("s_suppkey", F.uuid().alias("id")), "uuid")
+    alike = s.groupBy("id").agg(F.count("*").alias("n"))
+    return s.join(alike, "id").select(
+        "s_suppkey", F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("valid"),
+        (F.col("n") == 1).alias("distinct_ids"))
 
 
 @register("agg_min_max", ON + """
@@ -142,12 +176,14 @@ def group_multi_agg(spark, d):
 
 
 @register("group_agg_nulls_last", ON + f"""
-SELECT o_custkey, {_exact_avg_sql('price_n')} AS avg_price, {_exact_sum_sql('price_n')} AS total_price
-FROM orders_n GROUP BY o_custkey ORDER BY avg_price DESC NULLS LAST""")
+SELECT o_custkey, o_orderpriority, {_exact_avg_sql('price_n')} AS avg_price, {_exact_sum_sql('price_n')} AS total_price
+FROM orders_n GROUP BY o_custkey, o_orderpriority ORDER BY avg_price DESC NULLS LAST, o_custkey, o_orderpriority""")
 def group_agg_nulls_last(spark, d):
-    return (orders_n(spark, d).groupBy("o_custkey")
+    # One priority has no price, so its groups have no average.  The keys break ties, so
+    # that equal or missing averages spread over the sort's ranges.
+    return (orders_n(spark, d).groupBy("o_custkey", "o_orderpriority")
             .agg(exact_avg("price_n").alias("avg_price"), exact_sum("price_n").alias("total_price"))
-            .orderBy(F.col("avg_price").desc_nulls_last()))
+            .orderBy(F.col("avg_price").desc_nulls_last(), "o_custkey", "o_orderpriority"))
 
 
 @register("group_collect", """

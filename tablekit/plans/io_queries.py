@@ -4,14 +4,20 @@ the shared checkpoint folder of the session."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablekit.catalog import create_database, list_databases
 from tablekit.operators.ingest import audit_ingest
 from tablekit.session import shared_dir
-from tablekit.sinks.writers import write_csv, write_json, write_parquet
+from tablekit.sinks.writers import num_partitions, transfer_tables, with_files, write_csv, write_json, write_parquet
 from tablekit.sources.conform import conform
-from tablekit.sources.readers import read_csv, read_delimited_text, read_json, read_text, split_corrupt
+from tablekit.sources.readers import (
+    read_csv, read_delimited_text, read_json, read_table, read_text, read_with_options, split_corrupt,
+)
 from tablekit.plans.registry import register
 from tablekit.plans.tables import table
 
@@ -43,25 +49,36 @@ ORDERS_CSV_SCHEMA = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,
 
 
 def write_orders_by_month(spark, d, path: str) -> None:
-    """Land ``orders`` as CSV files, one folder per order month, rows in key order."""
+    """Land ``orders`` as CSV files in a folder per order month, each file in key order.
+
+    Rows are spread by month and key range, so a month is written by as many tasks
+    as its rows need.
+    """
     o = table(spark, d, "orders").withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM"))
-    # An explicit count keeps one writer task per month; AQE would merge a
-    # by-column repartition of small data into a single writer.
     n = spark.sparkContext.defaultParallelism
-    (o.repartition(n, "o_month").sortWithinPartitions("o_month", "o_orderkey")
+    (o.repartitionByRange(n, "o_month", "o_orderkey").sortWithinPartitions("o_month", "o_orderkey")
       .write.mode("overwrite").option("header", "true").partitionBy("o_month").csv(path))
 
 
 @register("audit_ingest", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
-       CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderkey) AS BIGINT) AS seq_id
-FROM orders""")
+       true AS numbered, true AS one_job FROM orders""")
 def audit_ingest_q(spark, d):
+    """Every row with its checks: its file is numbered 1..n in key order, and the job id
+    is one valid id for the whole run (W8, X24, X25)."""
     src = shared_dir(spark, "landing")
     write_orders_by_month(spark, d, src)
     out = audit_ingest(spark, src, schema=ORDERS_CSV_SCHEMA)
-    # job_id is random and source_file a path: neither is part of the compared result.
-    return out.drop("job_id", "source_file")
+    # How a month is cut into files follows the cluster, so files are checked by what
+    # must hold for each: n rows, ids from 1 to n, and keys that rise with the ids.
+    files = out.groupBy("source_file").agg(
+        ((F.min("seq_id") == 1) & (F.max("seq_id") == F.count("*")) & (F.count_distinct("seq_id") == F.count("*"))
+         & (F.max(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.max("o_orderkey"))
+         & (F.min(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.min("o_orderkey"))).alias("numbered"))
+    jobs = out.agg(((F.min("job_id") == F.max("job_id")) & F.min("job_id").rlike(
+        "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("one_job"))
+    return (out.join(files, "source_file").crossJoin(F.broadcast(jobs))  # one row: a global aggregate
+            .drop("job_id", "source_file", "seq_id"))
 
 
 ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
@@ -76,19 +93,28 @@ def roundtrip_json(spark, d):
     return read_json(spark, path, schema=ORDERS_DDL, mode="FAILFAST")
 
 
-@register("json_quarantine", """SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'""")
+@register("json_quarantine", """
+SELECT false AS bad, o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS line
+FROM orders WHERE o_orderpriority <> '5-LOW'
+UNION ALL
+SELECT true, NULL, NULL, NULL, 'order ' || CAST(o_orderkey AS VARCHAR) || ' of ' || CAST(o_custkey AS VARCHAR)
+FROM orders WHERE o_orderpriority = '5-LOW'""")
 def json_quarantine(spark, d):
-    """Lines that are not valid JSON go to quarantine (S3); the rest parse."""
+    """Lines that are not valid JSON go to quarantine (S3); the rest parse.  Both sides are returned."""
     o = table(spark, d, "orders")
-    text = F.to_json(F.struct(*o.columns))
-    # Broken lines: the low-priority orders lose their opening brace.
-    line = F.when(F.col("o_orderpriority") == "5-LOW", F.expr("substr(to_json(struct(*)), 2)")).otherwise(text)
+    # Broken lines: the low-priority orders are plain text.
+    broken = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(" of "),
+                      F.col("o_custkey").cast("string"))
+    line = F.when(F.col("o_orderpriority") == "5-LOW", broken).otherwise(F.to_json(F.struct(*o.columns)))
     path = shared_dir(spark, "jsonl") + "/orders"
     o.select(line.alias("value")).write.mode("overwrite").text(path)
-    good, _bad = split_corrupt(
+    good, bad = split_corrupt(
         read_json(spark, path, schema=ORDERS_DDL + ", _corrupt STRING", corrupt_column="_corrupt"),
         "_corrupt")
-    return good
+    none = F.lit(None)
+    return good.select(F.lit(False).alias("bad"), "o_orderkey", "o_custkey", "o_totalprice",
+                       none.cast("string").alias("line")).union(bad.select(
+                           F.lit(True), none.cast("bigint"), none.cast("bigint"), none.cast("double"), "_corrupt"))
 
 
 @register("roundtrip_tsv", """SELECT * FROM part""")
@@ -118,3 +144,103 @@ def delimited_text(spark, d):
     write_csv(o, path, mode="overwrite")
     return read_delimited_text(spark, path, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"],
                                ["bigint", "bigint", "double", "date"])
+
+
+@register("json_inferred", """
+SELECT c_custkey, c_name, c_mktsegment FROM customer""")
+def json_inferred(spark, d):
+    """JSON lines read without a schema: inferred types, columns in alphabetical order."""
+    path = shared_dir(spark, "json") + "/customer"
+    write_json(table(spark, d, "customer").select("c_name", "c_custkey", "c_mktsegment"), path)
+    return read_json(spark, path)
+
+
+@register("csv_inferred", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_retailprice FROM part""")
+def csv_inferred(spark, d):
+    """CSV read without a schema: types are inferred from the values."""
+    path = shared_dir(spark, "csv") + "/part"
+    write_csv(table(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), path)
+    return read_csv(spark, path)
+
+
+@register("options_map", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders""")
+def options_map(spark, d):
+    """A reader set up by one map of options, the path among them."""
+    path = shared_dir(spark, "options") + "/orders"
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderstatus")
+    write_csv(o, path, sep="|", dateFormat="dd.MM.yyyy")
+    return read_with_options(spark, "csv", {"path": path, "sep": "|", "header": "true", "nullValue": "P",
+                                            "dateFormat": "dd.MM.yyyy", "mode": "FAILFAST"}, schema=o.schema)
+
+
+@register("json_flags", """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(NULL AS VARCHAR) AS missing FROM nation""")
+def json_flags(spark, d):
+    """JSON with single quotes and unquoted names, allowed by flags."""
+    path = shared_dir(spark, "flags") + "/nation"
+    line = F.concat(F.lit("{n_nationkey: "), F.col("n_nationkey").cast("string"), F.lit(", 'n_name': '"),
+                    F.col("n_name"), F.lit("'}"))
+    table(spark, d, "nation").select(line.alias("value")).write.text(path)
+    return read_json(spark, path, schema="n_nationkey BIGINT, n_name STRING, missing STRING", mode="FAILFAST",
+                     allowSingleQuotes=True, allowUnquotedFieldNames=True)
+
+
+@register("save_modes", """
+SELECT 2 * count(*) AS appended, count(*) AS ignored, true AS refused FROM supplier""")
+def save_modes(spark, d):
+    """append adds, ignore leaves what is there, errorIfExists refuses."""
+    s, base = table(spark, d, "supplier"), shared_dir(spark, "modes")
+    for mode in ("errorifexists", "append"):
+        write_parquet(s, f"{base}/a", mode=mode)
+    write_parquet(s, f"{base}/b")
+    write_parquet(s.union(s), f"{base}/b", mode="ignore")
+    try:
+        write_parquet(s, f"{base}/b", mode="errorifexists")
+        refused = False
+    except AnalysisException:
+        refused = True
+    n = lambda path: spark.read.parquet(path).agg(F.count("*"))
+    return n(f"{base}/a").toDF("appended").crossJoin(n(f"{base}/b").toDF("ignored")).withColumn("refused", F.lit(refused))
+
+
+@register("warehouse_tables", """
+SELECT n.n_name, count(*) AS customers, true AS listed, true AS in_warehouse
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+def warehouse_tables(spark, d):
+    """Tables transferred to a database as views and managed tables, twice (overwrite), and
+    joined by name; the database is listed and lives in the warehouse (W6, W7, S11, C2, C3, C5)."""
+    name, before = f"tk_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    create_database(spark, name, use=True)
+    try:
+        for _ in range(2):
+            transfer_tables(spark, lambda t: table(spark, d, t), ["customer", "nation"], to_warehouse=True)
+        for t in ("customer", "nation"):
+            spark.catalog.dropTempView(t)
+        place = spark.catalog.getDatabase(name).locationUri
+        home = spark.conf.get("spark.sql.warehouse.dir")
+        listed = not list_databases(spark).where(F.col("namespace") == name).isEmpty()
+        c, n = read_table(spark, f"{name}.customer"), read_table(spark, f"{name}.nation")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    inside = place.replace("file:", "").lstrip("/").startswith(home.replace("file:", "").strip("/"))
+    out = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_name").agg(F.count("*").alias("customers"))
+    return out.withColumns({"listed": F.lit(listed), "in_warehouse": F.lit(inside)})
+
+
+@register("file_layout", """
+SELECT count(*) AS n_rows, 10 AS spread_files, true AS merged_fewer, 10 AS spread_partitions FROM lineitem""")
+def file_layout(spark, d):
+    """repartition(10) writes ten files, coalesce(5) at most five; the partition count says so (L1-L3)."""
+    rows, base = table(spark, d, "lineitem"), shared_dir(spark, "layout")
+    spread = with_files(rows, 10)
+    write_parquet(spread, f"{base}/spread")
+    write_parquet(with_files(spread, 5, shuffle=False), f"{base}/merged")
+    files = F.count_distinct(F.col("_metadata.file_path"))
+    count = lambda path, c: spark.read.parquet(path).select("*", "_metadata").agg(c)
+    a = count(f"{base}/spread", F.struct(F.count("*").alias("n"), files.cast("int").alias("f"))).toDF("a")
+    b = count(f"{base}/merged", F.struct(F.count("*").alias("n"), files.alias("f"))).toDF("b")
+    return a.crossJoin(b).select(
+        "a.n", F.col("a.f").alias("spread_files"), ((F.col("b.f") <= 5) & (F.col("b.n") == F.col("a.n"))).alias("merged_fewer"),
+        F.lit(num_partitions(spread)).alias("spread_partitions")).withColumnRenamed("n", "n_rows")

@@ -21,12 +21,12 @@ PAIR_COLS = ["c_custkey", "c_name", "o_orderkey", "o_totalprice"]
 
 def _pair(spark, d, how):
     c, o = customers_left(spark, d), orders_right(spark, d)
-    return join_on(c, o, "c_custkey", "o_custkey", how).select(*PAIR_COLS)
+    return join_on(c, o, "l_key", "r_key", how).select(*PAIR_COLS)
 
 
 def _pair_sql(kind):
     return JS + f"""SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
-FROM cust_l c {kind} JOIN orders_r o ON c.c_custkey = o.o_custkey"""
+FROM cust_l c {kind} JOIN orders_r o ON c.l_key = o.r_key"""
 
 
 @register("join_inner", _pair_sql("INNER"))
@@ -50,29 +50,31 @@ def join_full(spark, d):
 
 
 @register("join_semi", JS + """
-SELECT * FROM cust_l c WHERE EXISTS (SELECT 1 FROM orders_r o WHERE o.o_custkey = c.c_custkey)""")
+SELECT * FROM cust_l c WHERE EXISTS (SELECT 1 FROM orders_r o WHERE o.r_key = c.l_key)""")
 def join_semi(spark, d):
-    return join_on(customers_left(spark, d), orders_right(spark, d), "c_custkey", "o_custkey", "left_semi")
+    return join_on(customers_left(spark, d), orders_right(spark, d), "l_key", "r_key", "left_semi")
 
 
 @register("join_anti", JS + """
-SELECT * FROM cust_l c WHERE NOT EXISTS (SELECT 1 FROM orders_r o WHERE o.o_custkey = c.c_custkey)""")
+SELECT * FROM cust_l c WHERE NOT EXISTS (SELECT 1 FROM orders_r o WHERE o.r_key = c.l_key)""")
 def join_anti(spark, d):
-    return join_on(customers_left(spark, d), orders_right(spark, d), "c_custkey", "o_custkey", "left_anti")
+    return join_on(customers_left(spark, d), orders_right(spark, d), "l_key", "r_key", "left_anti")
 
 
 @register("join_using", JS + """
-SELECT c.*, o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
-FROM cust_l c JOIN orders_r o ON c.c_custkey = o.o_custkey""")
+SELECT coalesce(c.l_key, o.r_key) AS l_key, c.c_custkey, c.c_name, o.o_orderkey, o.o_custkey, o.o_totalprice
+FROM cust_l c FULL OUTER JOIN orders_r o ON c.l_key = o.r_key""")
 def join_using_q(spark, d):
-    return join_using(customers_left(spark, d), orders_right(spark, d), "c_custkey", right_key="o_custkey")
+    joined = join_using(customers_left(spark, d), orders_right(spark, d), "l_key", right_key="r_key", how="full")
+    return joined.select("l_key", "c_custkey", "c_name", "o_orderkey", "o_custkey", "o_totalprice")
 
 
 @register("join_drop_dup", JS + """
-SELECT c.*, o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority
-FROM cust_l c JOIN orders_r o ON c.c_custkey = o.o_custkey""")
+SELECT coalesce(c.l_key, o.r_key) AS l_key, c.c_custkey, c.c_name, o.o_orderkey, o.o_custkey, o.o_totalprice
+FROM cust_l c RIGHT OUTER JOIN orders_r o ON c.l_key = o.r_key""")
 def join_drop_dup(spark, d):
-    return join_drop_right_key(customers_left(spark, d), orders_right(spark, d), "c_custkey", "o_custkey")
+    joined = join_drop_right_key(customers_left(spark, d), orders_right(spark, d), "l_key", "r_key", "right")
+    return joined.select("l_key", "c_custkey", "c_name", "o_orderkey", "o_custkey", "o_totalprice")
 
 
 @register("join_renamed", """
@@ -87,10 +89,10 @@ def join_renamed(spark, d):
 @register("join_with_pairs", JS + """
 SELECT c.c_custkey AS l_custkey, o.o_orderkey AS r_orderkey,
        c.c_custkey IS NULL AS left_absent, o.o_orderkey IS NULL AS right_absent
-FROM cust_l c FULL OUTER JOIN orders_r o ON c.c_custkey = o.o_custkey""")
+FROM cust_l c FULL OUTER JOIN orders_r o ON c.l_key = o.r_key""")
 def join_with_pairs(spark, d):
     c, o = customers_left(spark, d), orders_right(spark, d)
-    pairs = join_with(c, o, "c_custkey", "o_custkey", "full")
+    pairs = join_with(c, o, "l_key", "r_key", "full")
     return pairs.select(F.col("_1.c_custkey").alias("l_custkey"), F.col("_2.o_orderkey").alias("r_orderkey"),
                         F.col("_1").isNull().alias("left_absent"), F.col("_2").isNull().alias("right_absent"))
 

@@ -45,23 +45,22 @@ def regex_replace(spark, d):
 
 
 @register("split_words", """
-SELECT p_partkey,
+SELECT doc_id,
        CAST(generate_subscripts(words, 1) - 1 AS INTEGER) AS pos,
        unnest(words) AS word
-FROM (SELECT p_partkey, string_split_regex(p_name, ' |,') AS words FROM part)""")
+FROM (SELECT doc_id, string_split_regex(text, ' |,') AS words FROM documents)""")
 def split_words(spark, d):
-    p = table(spark, d, "part")
-    # split keeps empty pieces; posexplode gives 0-based positions.
-    return p.select("p_partkey", F.posexplode(F.split("p_name", " |,")).alias("pos", "word"))
+    # split keeps empty pieces (between a comma and a blank); posexplode gives 0-based positions.
+    return table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", " |,")).alias("pos", "word"))
 
 
 @register("array_first", """
-SELECT p_partkey, string_split(p_name, ' ')[1] AS first_word, string_split(p_name, ' ')[6] AS sixth_word
-FROM part""")
+SELECT doc_id, string_split(text, ' ')[1] AS first_word, string_split(text, ' ')[6] AS sixth_word
+FROM documents""")
 def array_first(spark, d):
-    words = F.split("p_name", " ")
-    return table(spark, d, "part").select(
-        "p_partkey", element_at0(words, 0).alias("first_word"), element_at0(words, 5).alias("sixth_word"))
+    words = F.split("text", " ")
+    return table(spark, d, "documents").select(
+        "doc_id", element_at0(words, 0).alias("first_word"), element_at0(words, 5).alias("sixth_word"))
 
 
 @register("array_size", """

@@ -43,20 +43,27 @@ ORDERS_N_SQL = """orders_n AS (
 
 
 def customers_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Left side of the join family: customers outside the BUILDING segment."""
-    return table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    """Left side of the join family: all customers with a key ``l_key`` that is null
+    for one segment, so that some have no partner."""
+    c = table(spark, sf_dir, "customer")
+    return c.withColumn("l_key", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey")))
 
 
 def orders_right(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Right side: finished orders placed from 2000 on."""
-    return table(spark, sf_dir, "orders").where(
-        (F.col("o_orderstatus") == "F")
-        & (F.col("o_orderdate").cast("date") >= F.lit("2000-01-01").cast("date")))
+    """Right side: all orders with a key ``r_key`` that is null for one status and
+    negative (no customer's) before 2000."""
+    o = table(spark, sf_dir, "orders")
+    late = F.col("o_orderdate").cast("date") >= F.lit("2000-01-01").cast("date")
+    key = F.when(late, F.col("o_custkey")).otherwise(-F.col("o_custkey") - 1)
+    return o.withColumn("r_key", F.when(F.col("o_orderstatus") != "P", key))
 
 
-JOIN_SIDES_SQL = """cust_l AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'),
-orders_r AS (SELECT * FROM orders
-             WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) >= DATE '2000-01-01')"""
+JOIN_SIDES_SQL = """cust_l AS (
+  SELECT *, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_custkey END AS l_key FROM customer),
+orders_r AS (
+  SELECT *, CASE WHEN o_orderstatus <> 'P' THEN
+    CASE WHEN CAST(o_orderdate AS DATE) >= DATE '2000-01-01' THEN o_custkey ELSE -o_custkey - 1 END END AS r_key
+  FROM orders)"""
 
 # Fixed reference date for anything age- or pivot-related (never the wall clock).
 AS_OF = "2026-01-01"

@@ -1,7 +1,8 @@
 """Keyed update / upsert of ``orders`` (U1-U6, the set-based form of W9/W10).
 
-Target: the order history before 2000.  Change set: open orders from 1999 on,
-with their status rewritten O -> F; the 1999 ones update, the later ones insert.
+Target: all orders but the open ones from 2000 on.  Change set: open orders from
+1999 on, with their status rewritten O -> F; the 1999 ones update, the later ones
+insert.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from tablekit.plans.tables import table
 
 KEY = "o_orderkey"
 
-UPSERT_SQL = """WITH target AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2000-01-01'),
+UPSERT_SQL = """WITH target AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2000-01-01' OR o_orderstatus <> 'O'),
 changes AS (
   SELECT o_orderkey, o_custkey, regexp_replace(o_orderstatus, 'O', 'F', 'g') AS o_orderstatus,
          o_totalprice, o_orderdate, o_orderpriority
@@ -24,7 +25,7 @@ changes AS (
 
 def _target(spark, d):
     o = table(spark, d, "orders")
-    return o.where(F.col("o_orderdate").cast("date") < F.lit("2000-01-01").cast("date"))
+    return o.where((F.col("o_orderdate").cast("date") < F.lit("2000-01-01").cast("date")) | (F.col("o_orderstatus") != "O"))
 
 
 def _changes(spark, d):
