@@ -1,4 +1,4 @@
-"""Column-level helpers: predicates, scalar string/array/date functions, nulls."""
+"""Column-level helpers: predicates, scalar string/array/date functions."""
 
 from tablekit.functions.predicates import (
     all_of, any_of, contains_any, regex_any, regex_alternation,
@@ -6,13 +6,11 @@ from tablekit.functions.predicates import (
 from tablekit.functions.scalars import (
     age_years, parse_date, row_sum, exact_sum, exact_avg, element_at0,
 )
-from tablekit.functions.nulls import ifnull, nvl, nvl2, nullif
 
 __all__ = [
     "qcol",
     "all_of", "any_of", "contains_any", "regex_any", "regex_alternation",
     "age_years", "parse_date", "row_sum", "exact_sum", "exact_avg", "element_at0",
-    "ifnull", "nvl", "nvl2", "nullif",
 ]
 
 

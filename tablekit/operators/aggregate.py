@@ -86,11 +86,3 @@ def group_collect(df: DataFrame, key, value: str, distinct: bool = True,
 def mean_null_as_zero(col: str) -> Column:
     """Sum with NULL as 0, integer-divided by the row count."""
     return F.expr(f"CAST(sum(coalesce(`{col}`, 0)) AS BIGINT) div count(1)")
-
-
-def count_nonnull(col: str) -> Column:
-    return F.count(F.col(col))
-
-
-def count_rows() -> Column:
-    return F.count(F.lit(1))

@@ -62,9 +62,9 @@ def drop_columns(spark, d):
 
 
 @register("literal_column", """
-SELECT p_partkey, 47 AS plain_value FROM part""")
+SELECT p_partkey, 2024 AS catalogue_year FROM part""")
 def literal_column(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.lit(47).alias("plain_value"))
+    return table(spark, d, "part").select("p_partkey", F.lit(2024).alias("catalogue_year"))
 
 
 @register("row_sum_nulls", ON + """

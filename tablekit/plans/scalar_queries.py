@@ -38,10 +38,10 @@ def regex_extract_filter(spark, d):
 
 
 @register("regex_replace", """
-SELECT p_partkey, regexp_replace(p_name, 'red|blue', 'People''s', 'g') AS replaced FROM part""")
+SELECT p_partkey, regexp_replace(p_name, 'red|blue', 'owner''s', 'g') AS replaced FROM part""")
 def regex_replace(spark, d):
     p = table(spark, d, "part")
-    return p.select("p_partkey", F.regexp_replace("p_name", "red|blue", "People's").alias("replaced"))
+    return p.select("p_partkey", F.regexp_replace("p_name", "red|blue", "owner's").alias("replaced"))
 
 
 @register("split_words", """

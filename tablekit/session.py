@@ -41,11 +41,6 @@ CLUSTER_CONF = {
 }
 
 
-def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
-    """Partitions so that each shuffle partition holds about ``target_bytes``."""
-    return max(1, -(-int(shuffle_bytes) // int(target_bytes)))
-
-
 def get_session(app: str = "tablekit", master: str | None = None,
                 conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.

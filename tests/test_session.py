@@ -3,7 +3,7 @@ import os
 import pytest
 
 from tablekit import session
-from tablekit.session import ensure_checkpoint_dir, remove_dir, shared_dir, shuffle_partitions_for
+from tablekit.session import ensure_checkpoint_dir, remove_dir, shared_dir
 
 
 def test_checkpoint_dir_comes_from_session_conf(spark):
@@ -52,10 +52,3 @@ def test_unset_folder_is_an_error_on_a_cluster():
             ensure_checkpoint_dir(_Session(master))
     for master in ("local", "local[4]", "local[*]"):
         assert "tablekit-ckpt-" in session.ensure_checkpoint_dir(_Session(master))
-
-
-def test_shuffle_partition_sizing():
-    assert shuffle_partitions_for(0) == 1
-    assert shuffle_partitions_for(256 << 20) == 1
-    assert shuffle_partitions_for((256 << 20) + 1) == 2
-    assert shuffle_partitions_for(100 << 40) == 409600

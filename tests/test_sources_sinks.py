@@ -153,9 +153,9 @@ def test_managed_tables_and_transfer(spark):
 
 def test_sql_on_temp_view(spark):
     from tablekit.catalog import register_view
-    df = spark.createDataFrame([("a", "USA"), ("b", "Japan")], "Name string, Origin string")
-    register_view(df, "cars")
-    assert [r.Name for r in spark.sql("select Name from cars where Origin = 'USA'").collect()] == ["a"]
+    df = spark.createDataFrame([("a", 3), ("b", 8)], "label string, height int")
+    register_view(df, "towers")
+    assert [r.label for r in spark.sql("select label from towers where height > 5").collect()] == ["b"]
 
 
 def test_json_compression_and_single_quotes(spark, tmp):
