@@ -75,9 +75,10 @@ def audit_ingest_q(spark, d):
         ((F.min("seq_id") == 1) & (F.max("seq_id") == F.count("*")) & (F.count_distinct("seq_id") == F.count("*"))
          & (F.max(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.max("o_orderkey"))
          & (F.min(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.min("o_orderkey"))).alias("numbered"))
-    jobs = out.agg(((F.min("job_id") == F.max("job_id")) & F.min("job_id").rlike(
-        "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("one_job"))
-    return (out.join(files, "source_file").crossJoin(F.broadcast(jobs))  # one row: a global aggregate
+    job = out.select("job_id").first()
+    valid = F.col("job_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    one_job = valid & (F.col("job_id") == F.lit(job.job_id if job else None))
+    return (out.join(files, "source_file").withColumn("one_job", one_job)
             .drop("job_id", "source_file", "seq_id"))
 
 
@@ -188,7 +189,8 @@ def json_flags(spark, d):
 
 
 @register("save_modes", """
-SELECT 2 * count(*) AS appended, count(*) AS ignored, true AS refused FROM supplier""")
+SELECT 'append' AS mode, 2 * count(*) AS n, true AS refused FROM supplier
+UNION ALL SELECT 'ignore', count(*), true FROM supplier""")
 def save_modes(spark, d):
     """append adds, ignore leaves what is there, errorIfExists refuses."""
     s, base = table(spark, d, "supplier"), shared_dir(spark, "modes")
@@ -201,8 +203,9 @@ def save_modes(spark, d):
         refused = False
     except AnalysisException:
         refused = True
-    n = lambda path: spark.read.parquet(path).agg(F.count("*"))
-    return n(f"{base}/a").toDF("appended").crossJoin(n(f"{base}/b").toDF("ignored")).withColumn("refused", F.lit(refused))
+    n = lambda path, mode: spark.read.parquet(path).agg(
+        F.lit(mode).alias("mode"), F.count("*").alias("n"), F.lit(refused).alias("refused"))
+    return n(f"{base}/a", "append").union(n(f"{base}/b", "ignore"))
 
 
 @register("warehouse_tables", """
@@ -230,17 +233,21 @@ def warehouse_tables(spark, d):
 
 
 @register("file_layout", """
-SELECT count(*) AS n_rows, 10 AS spread_files, true AS merged_fewer, 10 AS spread_partitions FROM lineitem""")
+SELECT 'repartition' AS layout, count(*) AS n_rows, true AS as_asked, 10 AS partitions FROM lineitem
+UNION ALL SELECT 'coalesce', count(*), true, 5 FROM lineitem""")
 def file_layout(spark, d):
     """repartition(10) writes ten files, coalesce(5) at most five; the partition count says so (L1-L3)."""
     rows, base = table(spark, d, "lineitem"), shared_dir(spark, "layout")
     spread = with_files(rows, 10)
+    merged = with_files(spread, 5, shuffle=False)
     write_parquet(spread, f"{base}/spread")
-    write_parquet(with_files(spread, 5, shuffle=False), f"{base}/merged")
+    write_parquet(merged, f"{base}/merged")
     files = F.count_distinct(F.col("_metadata.file_path"))
-    count = lambda path, c: spark.read.parquet(path).select("*", "_metadata").agg(c)
-    a = count(f"{base}/spread", F.struct(F.count("*").alias("n"), files.cast("int").alias("f"))).toDF("a")
-    b = count(f"{base}/merged", F.struct(F.count("*").alias("n"), files.alias("f"))).toDF("b")
-    return a.crossJoin(b).select(
-        "a.n", F.col("a.f").alias("spread_files"), ((F.col("b.f") <= 5) & (F.col("b.n") == F.col("a.n"))).alias("merged_fewer"),
-        F.lit(num_partitions(spread)).alias("spread_partitions")).withColumnRenamed("n", "n_rows")
+
+    def found(name, path, as_asked, partitions):
+        return spark.read.parquet(path).select("*", "_metadata").agg(
+            F.lit(name).alias("layout"), F.count("*").alias("n_rows"), as_asked.alias("as_asked"),
+            F.lit(partitions).alias("partitions"))
+
+    return found("repartition", f"{base}/spread", files == 10, num_partitions(spread)).union(
+        found("coalesce", f"{base}/merged", files <= 5, num_partitions(merged)))
