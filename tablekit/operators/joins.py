@@ -10,6 +10,8 @@ element, which hashes, sorts and splits for skew like any other key.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -46,10 +48,11 @@ def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "in
       partition of an inner join on either side and of the streamed side of an
       anti join, but not the non-preserved side of an outer join.
 
-    The price of the outer form is one more shuffle of each preserved side
-    (its anti join) plus a shuffle of the other side's distinct keys.  Where
-    keys are known to be evenly spread, ``skew_safe=False`` gives the single
-    join.
+    Rows with a null key match nothing and bypass the joins.  What is left of a
+    side is the same shuffled input for its inner and its anti join, so Spark
+    shuffles it once (a reused exchange); the price of the outer form is a
+    shuffle of each other side's distinct keys.  Where keys are known to be
+    evenly spread, ``skew_safe=False`` gives the single join.
     """
     lk, rk = _names(left_on), _names(right_on)
     how = {"left_outer": "left", "right_outer": "right", "outer": "full", "full_outer": "full",
@@ -66,15 +69,19 @@ def join_on(left: DataFrame, right: DataFrame, left_on, right_on, how: str = "in
         return left.join(keys, cond(left, keys), how)
     if how not in ("left", "right", "full"):
         return left.join(right, cond(left, right), how)
-    parts = [left.join(right, cond(left, right), "inner")]
+    lnull = functools.reduce(operator.or_, [qcol(c).isNull() for c in lk])
+    rnull = functools.reduce(operator.or_, [qcol(c).isNull() for c in rk])
+    keyed_left, keyed_right = left.where(~lnull), right.where(~rnull)
+    parts = [keyed_left.join(keyed_right, cond(keyed_left, keyed_right), "inner")]
     if how in ("left", "full"):
-        rkeys = right.select(*[qcol(c) for c in rk]).distinct()
-        only_left = left.join(rkeys, cond(left, rkeys), "left_anti")
-        parts.append(only_left.select(*[_ref(only_left, c) for c in left.columns], *_null_cols(right)))
+        rkeys = keyed_right.select(*[qcol(c) for c in rk]).distinct()
+        for only in (keyed_left.join(rkeys, cond(keyed_left, rkeys), "left_anti"), left.where(lnull)):
+            parts.append(only.select(*[qcol(c) for c in left.columns], *_null_cols(right)))
     if how in ("right", "full"):
-        lkeys = left.select(*[qcol(c) for c in lk]).distinct()
-        only_right = right.join(lkeys, [_ref(right, y) == _ref(lkeys, x) for x, y in zip(lk, rk)], "left_anti")
-        parts.append(only_right.select(*_null_cols(left), *[_ref(only_right, c) for c in right.columns]))
+        lkeys = keyed_left.select(*[qcol(c) for c in lk]).distinct()
+        for only in (keyed_right.join(lkeys, [_ref(keyed_right, y) == _ref(lkeys, x) for x, y in zip(lk, rk)],
+                                      "left_anti"), right.where(rnull)):
+            parts.append(only.select(*_null_cols(left), *[qcol(c) for c in right.columns]))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)

@@ -45,3 +45,18 @@ def test_left_outer_hot_right_key_is_split(spark, skew_conf):
     assert n_plain == n_safe == 300000
     assert "SortMergeJoin(skew=true)" not in plain
     assert "SortMergeJoin(skew=true)" in safe
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_forms_split_the_hot_key_and_share_exchanges(spark, skew_conf, how):
+    left = spark.range(0, 200000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 5 = 0 THEN NULL ELSE id END AS k", "sha2(CAST(id AS STRING), 256) AS a")
+    right = spark.range(0, 20000).selectExpr("IF(id % 4 = 0, NULL, id) AS rk", "sha2(CAST(-id AS STRING), 256) AS b")
+    plain = join_on(left, right, "k", "rk", how, skew_safe=False).agg(F.count("*"), F.count("k"), F.count("rk")).first()
+    agg = join_on(left, right, "k", "rk", how).agg(
+        F.count("*"), F.count("k"), F.count("rk"), F.max("a"), F.max("b"))
+    assert tuple(agg.collect()[0])[:3] == tuple(plain)
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    if how != "right":
+        assert "SortMergeJoin(skew=true)" in plan
