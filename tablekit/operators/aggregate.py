@@ -83,6 +83,17 @@ def group_collect(df: DataFrame, key, value: str, distinct: bool = True,
     return df.groupBy(*_names(key)).agg(coll.alias(alias or f"{value}_list"))
 
 
+def group_collect_parts(df: DataFrame, key, value: str, width: int, alias: str) -> DataFrame:
+    """All values per key (A18), sorted, in parts by value range.
+
+    Part p holds the key's values from ``p * width`` on, so for an integer column
+    that is unique within a key a part has at most ``width`` values, however many
+    rows the key has.  The parts in order are the whole collection.
+    """
+    part = F.floor(qcol(value) / F.lit(width)).cast("bigint").alias("part")
+    return df.groupBy(*_names(key), part).agg(F.sort_array(F.collect_list(qcol(value))).alias(alias))
+
+
 def mean_null_as_zero(col: str) -> Column:
     """Sum with NULL as 0, integer-divided by the row count."""
     return F.expr(f"CAST(sum(coalesce(`{col}`, 0)) AS BIGINT) div count(1)")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablekit.functions.scalars import exact_avg, exact_sum, row_sum
-from tablekit.operators.aggregate import group_collect, mean_null_as_zero, min_record
+from tablekit.operators.aggregate import group_collect, group_collect_parts, mean_null_as_zero, min_record
 from tablekit.operators.staging import stage
 from tablekit.plans.registry import register
 from tablekit.plans.tables import ORDERS_N_SQL, orders_n, table
@@ -186,6 +186,17 @@ def group_agg_nulls_last(spark, d):
             .orderBy(F.col("avg_price").desc_nulls_last(), "o_custkey", "o_orderpriority"))
 
 
+@register("group_collect_parts", """
+SELECT o_custkey, CAST(o_orderkey // 4096 AS BIGINT) AS part, count(*) AS n,
+       array_to_string(list_sort(list(o_orderkey)), ',') AS orders
+FROM orders GROUP BY o_custkey, o_orderkey // 4096""")
+def group_collect_parts_q(spark, d):
+    """All orders of each customer, in parts of a bounded key range."""
+    parts = group_collect_parts(table(spark, d, "orders"), "o_custkey", "o_orderkey", 4096, "list")
+    return parts.select("o_custkey", "part", F.size("list").cast("bigint").alias("n"),
+                        F.array_join(F.col("list").cast("array<string>"), ",").alias("orders"))
+
+
 @register("group_collect", """
 SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ',') AS priorities
 FROM orders GROUP BY o_custkey""")
