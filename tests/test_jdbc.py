@@ -99,3 +99,20 @@ def test_merge_duplicate_keys(spark, db):
                     order_by=["v"])
     rows = {r.emp_no: r for r in read_jdbc(spark, db, "emp_d", driver=DRIVER).collect()}
     assert rows[1].last_name == "Later" and len(rows) == 4
+
+
+def test_merge_checks_its_columns(spark, db):
+    emp = spark.createDataFrame(EMPLOYEES, EMPLOYEES_SCHEMA)
+    write_jdbc(emp, db, "emp_c", properties=_props(), column_types=TYPES)
+    one = emp.where("emp_no = 1")
+    for bad in (one.drop("gender"), one.withColumn("extra", F.lit(1))):
+        with pytest.raises(ValueError, match="columns"):
+            merge_into_jdbc(spark, bad, db, "emp_c", "emp_no", properties=_props(), column_types=TYPES)
+    # Names are matched in any case and written as the target has them.
+    upper = one.withColumn("last_name", F.lit("Upper")).toDF(*[c.upper() for c in one.columns])
+    merge_into_jdbc(spark, upper, db, "emp_c", "EMP_NO", properties=_props(), column_types=TYPES)
+    rows = {r.emp_no: r for r in read_jdbc(spark, db, "emp_c", driver=DRIVER).collect()}
+    assert len(rows) == 4 and rows[1].last_name == "Upper"
+    write_jdbc(emp.select("emp_no"), db, "emp_k", properties=_props())
+    with pytest.raises(ValueError, match="besides the key"):
+        merge_into_jdbc(spark, one.select("emp_no"), db, "emp_k", "emp_no", properties=_props(), update_only=True)
