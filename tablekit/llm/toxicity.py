@@ -1,97 +1,159 @@
 """Toxicity categories by a chain of linear classifiers.
 
-The categories are predicted one after the other: each model sees the document's
-words and the probabilities of the categories before it.  For training, those
-probabilities are out-of-fold predictions (a document's own label never helps to
-make its features), so later models meet the same kind of input as in use.  The
-decision threshold of each category is the one with the best F1 on its out-of-fold
-predictions.
+The categories are predicted one after the other: each model sees which telling
+words a document has and the probabilities of the categories before it.  For
+training, those probabilities are out-of-fold predictions (a document's own label
+never helps to make its features), so later models meet the same kind of input as
+in use.  The decision threshold of each category is the one with the best F1 on its
+out-of-fold predictions.
 
 The last category is the label itself; the ones before it are the label where a
 word of the category's list occurs.  Models are fitted on at most ``MAX_LABELLED``
-labelled documents (by hash of their ids) and applied to all documents.
+labelled documents (by hash of their ids) and applied to all documents.  The fits
+of a category, one without each fold and one on all, run in parallel tasks, each
+on that bounded sample.
 
 Defined results for odd input: a null or empty text has no words; repeated rows are
 scored each on their own; labels without an id or a label are not learned from, of
 several labels for one id the largest counts; a category with only one class (or
-without labels) gets that constant probability; further columns are ignored.
+without labels) gets that constant probability (to 13 places); further columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import Staging
+from tablekit.llm.common import Staging, binary, slices
 
 #: Labelled documents to learn from at most; words the models use; labelled documents a
 #: word must be in; folds.
 MAX_LABELLED, MAX_WORDS, MIN_DOCS, FOLDS = 20_000, 1000, 4, 3
-#: The sample is bounded, so a few partitions hold it and each pass over it is short.
-PARTITIONS = 3
+#: Passes of a fit over its sample, and the weight of its squared penalty.
+STEPS, PENALTY = 300, 1e-4
 
 #: Categories before the label, in chain order, with the words that tell them (fixed values).
 CATEGORIES = (("insult", ("idiot", "moron", "stupid", "clown", "loser")),
               ("contempt", ("worthless", "trash", "scum", "pathetic", "disgusting")))
 LAST = "toxic"
 
+WORD = regex.compile(r"\p{L}+")
+
 
 @dataclass(frozen=True)
 class Link:
-    """One category of the chain: its model (or a constant) and its threshold."""
+    """One category of the chain: weights (intercept, earlier categories, words) and threshold."""
 
     name: str
-    model: LogisticRegressionModel | float
+    weights: np.ndarray
     threshold: float
 
 
 @dataclass(frozen=True)
 class Chain:
-    words: CountVectorizerModel | None
+    words: tuple[str, ...]
     links: tuple[Link, ...]
 
 
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"), "")
+def words_of(text: bytes) -> set[str]:
+    return set(WORD.findall(text.decode().lower()))
+
 
+def probability(z):
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
-def labelled(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
-             categories=CATEGORIES) -> DataFrame:
-    """(words, fold, y_<category>...) of a bounded sample of labelled documents."""
+
+def labelled(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """(words, label, fold) of a bounded sample of labelled documents."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("label"))
              .orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled))
     # At most max_labelled pairs of numbers, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
-    rows = rows.select(words_of(F.col("text")).alias("words"), (F.col("label") == 1).alias("label"),
+    rows = rows.select("text", (F.col("label") == 1).cast("double").alias("label"),
                        F.pmod(F.xxhash64(F.col("label_id"), F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"))
-    marks = [(F.col("label") & F.arrays_overlap("words", F.array(*map(F.lit, ws)))).cast("double").alias(f"y_{name}")
-             for name, ws in categories]
-    return rows.select("words", "fold", *marks, F.col("label").cast("double").alias(f"y_{LAST}"))
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            found = [sorted(words_of(x)) for x in binary(part.column("text")).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.string())), part.column("label"), part.column("fold")],
+                ["words", "label", "fold"])
+
+    return rows.mapInArrow(work, "words array<string>, label double, fold int")
 
-def _fit(rows: DataFrame, y: str, features: list[str]) -> LogisticRegressionModel | float:
-    """A linear model, or the label's constant value."""
-    got = rows.agg(F.min(y), F.max(y)).first()
-    if got[0] == got[1]:
-        return float(got[0] or 0.0)
-    data = VectorAssembler(inputCols=features, outputCol="x").transform(rows).select("x", F.col(y).alias("label"))
-    return LogisticRegression(featuresCol="x", maxIter=30, regParam=1e-4, standardization=False).fit(data)
+
+def telling_words(rows: DataFrame) -> list[str]:
+    """The words whose presence goes with the label most clearly (chi-squared)."""
+    total, yes = rows.agg(F.count("*"), F.sum("label")).first()
+    if not yes or yes == total:
+        return []
+    n, k = F.col("n"), F.col("k")
+    off = k * total - n * F.lit(yes)
+    score = off * off / (n * (F.lit(total) - n + 1))
+    found = (rows.select(F.explode("words").alias("word"), "label").groupBy("word")
+             .agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(n >= MIN_DOCS)
+             .where(off > 0).orderBy(score.desc(), "word").limit(MAX_WORDS))
+    return [r.word for r in found.select("word").collect()]
 
 
-def _predict(rows: DataFrame, model: LogisticRegressionModel | float, features: list[str], into: str) -> DataFrame:
-    """``rows`` plus the probability column ``into``."""
-    if isinstance(model, float):
-        return rows.withColumn(into, F.lit(model))
-    rows = VectorAssembler(inputCols=features, outputCol="x").transform(rows)
-    model = model.copy()
-    model.setFeaturesCol("x").setProbabilityCol("probability").setPredictionCol("").setRawPredictionCol("")
-    return model.transform(rows).withColumn(into, vector_to_array("probability")[1]).drop("x", "probability")
+def fit(bags: list[list[int]], before: np.ndarray, y: np.ndarray, n_words: int) -> np.ndarray:
+    """Logistic regression by full-batch gradient steps (Adam): intercept, earlier categories, words."""
+    n, k = before.shape
+    weights = np.zeros(1 + k + n_words)
+    if not n or y.min() == y.max():
+        weights[0] = 30.0 if n and y[0] else -30.0
+        return weights
+    row = np.repeat(np.arange(n), [len(b) for b in bags])
+    word = np.array([w for b in bags for w in b], np.int64) + 1 + k
+    first, second = np.zeros_like(weights), np.zeros_like(weights)
+    for step in range(1, STEPS + 1):
+        z = weights[0] + before @ weights[1:1 + k] + np.bincount(row, weights[word], minlength=n)
+        off = (probability(z) - y) / n
+        gradient = np.bincount(word, off[row], minlength=len(weights))
+        gradient[0], gradient[1:1 + k] = off.sum(), off @ before
+        gradient[1:] += PENALTY * weights[1:]
+        first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient * gradient
+        weights -= 0.3 * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-8)
+    return weights
+
+
+def _fits(rows: DataFrame, y: str, before: list[str], n_words: int) -> list[np.ndarray]:
+    """The weights without each fold, then those on all rows; each fit is a task of its own."""
+    variants = F.filter(F.array(*map(F.lit, range(FOLDS + 1))), lambda v: v != F.col("fold"))
+    held = F.array(*map(F.col, before)) if before else F.array().cast("array<double>")
+
+    def one(table: pa.Table) -> pa.Table:
+        p = np.array(table.column("before").to_pylist(), float).reshape(table.num_rows, len(before))
+        weights = fit(table.column("bag").to_pylist(), p, table.column("y").to_numpy(), n_words)
+        return pa.table({"variant": table.column("variant").slice(0, 1), "weights": pa.array([weights.tolist()])})
+
+    got = (rows.select("bag", F.col(y).alias("y"), held.alias("before"), F.explode(variants).alias("variant"))
+           .groupBy("variant").applyInArrow(one, "variant int, weights array<double>").collect())
+    found = {r.variant: np.array(r.weights) for r in got}
+    none = fit([], np.zeros((0, len(before))), np.zeros(0), n_words)
+    return [found.get(v, none) for v in range(FOLDS + 1)]
+
+
+def _out_of_fold(rows: DataFrame, weights: list[np.ndarray], before: list[str], into: str) -> DataFrame:
+    """``rows`` plus the probability by the model that has not seen the row's fold."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + f", {into} double"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for bag, fold, *p in zip(*(batch.column(c).to_pylist() for c in ("bag", "fold", *before))):
+                w = weights[fold]
+                out.append(probability(w[0] + np.dot(p, w[1:1 + len(p)]) + w[1 + len(p):][bag].sum()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, into])
+
+    return rows.mapInArrow(work, schema)
 
 
 def _threshold(rows: DataFrame, y: str, p: str) -> float:
@@ -110,57 +172,56 @@ def _threshold(rows: DataFrame, y: str, p: str) -> float:
     return best[1]
 
 
-def telling_words(rows: DataFrame) -> list[str]:
-    """The words whose presence goes with the label most clearly (chi-squared)."""
-    total, yes = rows.agg(F.count("*"), F.sum(f"y_{LAST}")).first()
-    if not yes or yes == total:
-        return []
-    n, k = F.col("n"), F.col("k")
-    off = k * total - n * F.lit(yes)
-    score = off * off / (n * (F.lit(total) - n + 1))
-    found = (rows.select(F.explode(F.array_distinct("words")).alias("word"), f"y_{LAST}").groupBy("word")
-             .agg(F.count("*").alias("n"), F.sum(f"y_{LAST}").alias("k")).where(n >= MIN_DOCS)
-             .where(off > 0).orderBy(score.desc(), "word").limit(MAX_WORDS))
-    return [r.word for r in found.select("word").collect()]
-
-
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, categories=CATEGORIES) -> Chain:
     """Fit the chain."""
     staging = Staging(docs.sparkSession, "toxicity")
+    rows = staging.put("labelled", labelled(docs, labels, max_labelled))
+    words = telling_words(rows)
+    place = {w: i for i, w in enumerate(words)}
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found, label = b.column("words").to_pylist(), b.column("label").to_numpy()
+            marks = [pa.array([float(t and not told.isdisjoint(f)) for f, t in zip(found, label)], pa.float64())
+                     for told in (set(ws) for _, ws in categories)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([[place[w] for w in f if w in place] for f in found], pa.list_(pa.int32())),
+                 b.column("fold"), *marks, b.column("label")],
+                ["bag", "fold", *(f"y_{name}" for name, _ in categories), f"y_{LAST}"])
+
     names = [*(name for name, _ in categories), LAST]
-    rows = staging.put("labelled", labelled(docs, labels, max_labelled, categories).coalesce(PARTITIONS))
-    chosen = telling_words(rows)
-    if not chosen:
-        share = rows.agg(*(F.coalesce(F.avg(f"y_{n}"), F.lit(0.0)) for n in names)).first()
-        return Chain(None, tuple(Link(n, float(share[i]), 0.5) for i, n in enumerate(names)))
-    words = CountVectorizerModel.from_vocabulary(chosen, inputCol="words", outputCol="bag").setBinary(True)
-    rows, links, features = words.transform(rows).drop("words"), [], ["bag"]
-    for k, name in enumerate(names):
-        rows = staging.put(f"link{k}", rows.coalesce(PARTITIONS))
-        y, p = f"y_{name}", f"p_{name}"
-        parts = [_predict(rows.where(F.col("fold") == f), _fit(rows.where(F.col("fold") != f), y, features), features, p)
-                 for f in range(FOLDS)]
-        out_of_fold = parts[0]
-        for part in parts[1:]:
-            out_of_fold = out_of_fold.unionByName(part)
-        out_of_fold = staging.put(f"fold{k}", out_of_fold.coalesce(PARTITIONS))
-        links.append(Link(name, _fit(rows, y, features), _threshold(out_of_fold, y, p)))
-        rows, features = out_of_fold, [*features, p]
+    rows = staging.put("bags", rows.mapInArrow(
+        bags, "bag array<int>, fold int, " + ", ".join(f"y_{name} double" for name in names)))
+    links, before = [], []
+    for name in names:
+        weights = _fits(rows, f"y_{name}", before, len(words))
+        rows = staging.put(f"link_{name}", _out_of_fold(rows, weights, before, f"p_{name}"))
+        links.append(Link(name, weights[FOLDS], _threshold(rows, f"y_{name}", f"p_{name}")))
+        before = [*before, f"p_{name}"]
     staging.drop(*list(staging.paths))
-    return Chain(words, tuple(links))
+    return Chain(tuple(words), tuple(links))
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, a probability ``p_<category>`` and a decision for each category of the chain."""
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    if chain.words is not None:
-        rows = chain.words.transform(rows)
-    rows, features = rows.drop("words"), ["bag"]
-    for link in chain.links:
-        rows = _predict(rows, link.model, features, f"p_{link.name}")
-        features.append(f"p_{link.name}")
-    return rows.select("doc_id", *(F.col(f"p_{x.name}") for x in chain.links),
-                       *((F.col(f"p_{x.name}") >= x.threshold).alias(x.name) for x in chain.links))
+    place, links = {w: i for i, w in enumerate(chain.words)}, chain.links
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            p = np.zeros((part.num_rows, len(links)))
+            for i, text in enumerate(binary(part.column("text")).to_pylist()):
+                bag = [place[w] for w in place.keys() & words_of(text)]
+                for k, link in enumerate(links):
+                    w = link.weights
+                    p[i, k] = probability(w[0] + p[i, :k] @ w[1:1 + k] + w[1 + k:][bag].sum())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *(pa.array(p[:, k]) for k in range(len(links))),
+                 *(pa.array(p[:, k] >= link.threshold) for k, link in enumerate(links))],
+                ["doc_id", *(f"p_{x.name}" for x in links), *(x.name for x in links)])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        work, f"doc_id {kind}, " + ", ".join([*(f"p_{x.name} double" for x in links), *(f"{x.name} boolean" for x in links)]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
