@@ -60,8 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum([0, *(len(x) for x in binary(batch.column(column)).to_pylist())]) \
-            if batch.num_rows < 64 else _ends(binary(batch.column(column)))
+        ends = _ends(binary(batch.column(column)))
         start = 0
         while start < batch.num_rows:
             stop = int(np.searchsorted(ends, ends[start] + limit, "right")) - 1

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import Staging, binary, slices
 from tablekit.llm.license_scan import CANONICAL
 
-#: Words in a window, and in a block of the benchmark (about eight bytes each when broadcast).
-WINDOW, BLOCK_WORDS = 10, 4_000_000
+#: Words in a window, and in a block of the benchmark (about a hundred bytes each when broadcast).
+WINDOW, BLOCK_WORDS = 10, 1_000_000
 #: Pairs of locations that are extended at once.
 CHUNK = 1 << 20
 

@@ -13,7 +13,6 @@ each other's source; texts under 50 words stay; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,10 +76,6 @@ def digests(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def kept_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
-
-
 DIGEST_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
