@@ -33,7 +33,7 @@ from tablekit.llm.common import binary, slices
 #: Entries and bytes a vocabulary may have, as it is broadcast.
 MAX_VOCABULARY, MAX_VOCABULARY_BYTES = 2_000_000, 64 << 20
 #: Pre-tokens whose ids a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Mean keys in a bucket of the perfect hash.
 BUCKET = 4
 
@@ -164,7 +164,12 @@ class Codec:
         return b"".join(map(self.memory.__getitem__, self.pieces(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return decoded(self.tokens, ids)
+
+
+def decoded(tokens: list[bytes], ids: bytes) -> bytes:
+    """The bytes of packed ids; needs the tokens only."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 class Memory(dict):
@@ -188,14 +193,14 @@ class Memory(dict):
 
 
 def _mapped(docs: DataFrame, vocabulary: Vocabulary, column: str, result: str,
-            one: Callable[[Codec], Callable]) -> DataFrame:
+            one: Callable[[Vocabulary], Callable]) -> DataFrame:
     """``docs`` with the binary column ``result`` made from ``column`` by ``one``."""
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kept = docs.drop(result)
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept.schema)}, `{result}` binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = one(Codec(held.value))
+        convert = one(held.value)
         for part in slices(batches, column):
             values = binary(part.column(column)).to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -207,12 +212,16 @@ def _mapped(docs: DataFrame, vocabulary: Vocabulary, column: str, result: str,
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` plus ``ids``: the token ids as little-endian unsigned 32-bit integers."""
-    return _mapped(docs, vocabulary, text, ids, lambda codec: lambda x: codec.encode(x.decode()))
+    def one(held: Vocabulary) -> Callable:
+        codec = Codec(held)
+        return lambda x: codec.encode(x.decode())
+
+    return _mapped(docs, vocabulary, text, ids, one)
 
 
-def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``docs`` plus ``decoded``: the bytes of the tokens, concatenated."""
-    return _mapped(docs, vocabulary, ids, decoded, lambda codec: codec.decode)
+def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``docs`` plus ``into``: the bytes of the tokens, concatenated."""
+    return _mapped(docs, vocabulary, ids, into, lambda held: lambda x: decoded(held.tokens, x))
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
