@@ -31,7 +31,7 @@ from tablekit.llm.common import binary, concatenated, slices
 from tablekit.llm.windows import BASES, Families, Powers, Rolling, families, mixed
 
 #: Words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 class WordHashes(dict):
@@ -52,7 +52,7 @@ class Plan:
 
     @property
     def slice_bytes(self) -> int:
-        return (8 << 20) if self.of_words else (2 << 20)
+        return 2 << 20
 
     @property
     def family_bytes(self) -> float:
