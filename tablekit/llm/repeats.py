@@ -101,7 +101,7 @@ def estimated(docs: DataFrame, plan: Plan) -> sketch.Repeated:
 
 
 def candidate_families(docs: DataFrame, plan: Plan, repeated: sketch.Repeated) -> DataFrame:
-    """(doc_id, ver, low, high, core, content): families whose anchor is estimated repeated.
+    """(doc_id, ver, place, low, high, core, content): families whose anchor is estimated repeated.
 
     ``low`` and ``high`` are the first and last window start in the document; ``content``
     hashes all symbols that the windows cover.
@@ -116,31 +116,42 @@ def candidate_families(docs: DataFrame, plan: Plan, repeated: sketch.Repeated) -
             roll, borders, found, row = reader.families(column)
             some = held.value(found.core)
             found, row = found[some], row[some]
+            ver = versions(column)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(row)), pa.array(versions(column)[row].view(np.int64)),
+                [part.column("doc_id").take(pa.array(row)), pa.array(ver[row].view(np.int64)),
+                 pa.array(documents(part.column("doc_id"), ver)[row].view(np.int64)),
                  pa.array((found.low - borders[row]).astype(np.int32)),
                  pa.array((found.high - borders[row]).astype(np.int32)), pa.array(found.core.view(np.int64)),
                  pa.array(roll(found.low, found.high + plan.length).view(np.int64))],
-                ["doc_id", "ver", "low", "high", "core", "content"])
+                ["doc_id", "ver", "place", "low", "high", "core", "content"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, ver long, low int, high int, core long, content long")
+        work, f"doc_id {kind}, ver long, place long, low int, high int, core long, content long")
 
 
 def classes(fams: DataFrame) -> DataFrame:
-    """(core, content, n, first, ver, variants): families by content.
+    """(core, content, n, first, place, variants): families by content.
 
-    ``n`` counts them, ``first`` is the smallest doc_id, ``ver`` the smallest version,
-    ``variants`` the number of contents around the same anchor.
+    ``n`` counts them, ``first`` is the smallest doc_id, ``place`` names one document that
+    has it, ``variants`` is the number of contents around the same anchor.
     """
     by_content = fams.groupBy("core", "content").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.min("ver").alias("ver"))
+        F.count("*").alias("n"), F.min("doc_id").alias("first"), F.min("place").alias("place"))
     variants = by_content.groupBy("core").agg(F.count("*").alias("variants"))
     return by_content.join(variants, "core")
 
 
+def documents(doc_id: pa.Array, ver: np.ndarray) -> np.ndarray:
+    """A hash of each row's id and text."""
+    if not pa.types.is_integer(doc_id.type):
+        ids = versions(binary(doc_id.cast(pa.string())))
+    else:
+        ids = doc_id.cast(pa.int64()).fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64)
+    return mixed(mixed(ver) + ids)
+
+
 def place_key(owner: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """The key under which a class is looked up again: an owner (id or version) and a content."""
+    """The key under which a class is looked up again: an owner (id or place) and a content."""
     return mixed(mixed(owner) ^ content)
 
 
@@ -169,7 +180,7 @@ def looked_at(docs: DataFrame, plan: Plan, places: sketch.Repeated, owner: str,
             column = binary(part.column("text"))
             roll, borders, found, row = reader.families(column)
             ver = versions(column)
-            owners = ver if owner == "ver" else part.column("doc_id").cast(pa.int64()).to_numpy(
+            owners = documents(part.column("doc_id"), ver) if owner == "place" else part.column("doc_id").cast(pa.int64()).to_numpy(
                 zero_copy_only=False).astype(np.int64).view(np.uint64)
             some = held.value(place_key(owners[row], roll(found.low, found.high + plan.length)))
             yield rows_of(reader, part, column, roll, borders, found[some], row[some], ver)

@@ -76,27 +76,32 @@ def interleave(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray
     many symbols it has in common with some other suffix (at most ``rounds``).
     """
     offset = np.cumsum([0, *(len(s.data) for s in shards)])
-    start = np.concatenate([np.repeat(s.borders[:-1] + o, np.diff(s.borders)) for s, o in zip(shards, offset)])
+    # Places that have a whole symbol in front of them in their string.
+    led = np.concatenate([np.arange(len(s.data)) - np.repeat(s.borders[:-1], np.diff(s.borders)) >= STEP for s in shards])
     # A shared alphabet: symbols by their rank.
-    alphabet, rank = np.unique(np.concatenate([s.symbols() for s in shards]), return_inverse=True)
-    prefix = np.zeros(len(start), np.int16)
-    # Round one: the shards' own orders by first symbol, distributed stably by that symbol.
-    places = np.concatenate([s.suffixes() + o for s, o in zip(shards, offset)])
-    blocks = np.zeros(len(places), np.int64)
+    rank = np.unique(np.concatenate([s.symbols() for s in shards]), return_inverse=True)[1].astype(np.uint32)
+    prefix = np.zeros(len(led), np.int16)
+    # Round one: the shards' own suffixes, distributed stably by their first symbol.
+    places = np.concatenate([s.suffixes() + o for s, o in zip(shards, offset)]).astype(np.int32)
+    blocks = np.zeros(len(places), np.int32)
     for h in range(1, rounds + 1):
-        if h > 1:
-            places = places - STEP             # the suffix that has one symbol more in front
-            inside = (places >= 0) & (start[places] == start[places + STEP])
-            places, blocks = places[inside], blocks[inside]
-        symbol = rank[places]
-        order = np.argsort(symbol, kind="stable")
-        places, blocks, symbol = places[order], blocks[order], symbol[order]
+        if h > 1:                              # the suffixes with one symbol more in front
+            inside = led[places]
+            places, blocks = places[inside] - np.int32(STEP), blocks[inside]
         if not len(places):
             break
+        # Symbol above, present place in the order below: one sort of unique keys is the
+        # stable distribution by symbol.
+        bits = np.uint64(len(places).bit_length())
+        keys = (rank[places].astype(np.uint64) << bits) | np.arange(len(places), dtype=np.uint64)
+        keys.sort()
+        order, symbol = keys & ((np.uint64(1) << bits) - np.uint64(1)), (keys >> bits).astype(np.uint32)
+        places, blocks = places[order], blocks[order]
         new = np.ones(len(places) + 1, bool)   # borders between blocks
         new[1:-1] = (symbol[1:] != symbol[:-1]) | (blocks[1:] != blocks[:-1])
         shared = ~(new[:-1] & new[1:])         # not alone in its block
-        places, blocks = places[shared], np.cumsum(new[:-1])[shared]
+        blocks = np.cumsum(new[:-1], dtype=np.int32)[shared]
+        places = places[shared]
         prefix[places] = h
     return places, blocks, prefix
 
@@ -123,7 +128,7 @@ def contents_at(docs: DataFrame, plan: repeats.Plan, places, n_buckets: int) ->
              pa.array([data[a:b + plan.length] for a, b in zip(found.low.tolist(), found.high.tolist())], pa.binary())],
             ["bucket", "doc_id", "ver", "low", "content"])
 
-    return repeats.looked_at(docs, plan, places, "ver",
+    return repeats.looked_at(docs, plan, places, "place",
                              f"bucket int, doc_id {kind}, ver long, low int, content binary", rows_of)
 
 
@@ -162,12 +167,12 @@ def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: i
     counts = found.agg(F.count_if((F.col("variants") > 1) & (F.col("variants") < hot)).alias("cool"),
                        F.count_if(F.col("variants") >= hot).alias("hot")).first()
     if counts.cool:
-        places = repeats.open_places(found.where((F.col("variants") > 1) & (F.col("variants") < hot)), "ver", counts.cool)
+        places = repeats.open_places(found.where((F.col("variants") > 1) & (F.col("variants") < hot)), "place", counts.cool)
         contents = contents_at(docs, plan, places, max(1, -(-counts.cool // bucket)))
         runs.append(contents.groupBy("bucket").applyInArrow(_bucket_runs(window), schema))
     if counts.hot:
-        places = repeats.open_places(found.where(F.col("variants") >= hot), "ver", counts.hot)
-        seen = staging.put("windows", repeats.windows_at(docs, plan, places, "ver"))
+        places = repeats.open_places(found.where(F.col("variants") >= hot), "place", counts.hot)
+        seen = staging.put("windows", repeats.windows_at(docs, plan, places, "place"))
         often = seen.groupBy("a", "b").count().where("count > 1").select(F.col("a").alias("x"), F.col("b").alias("y"))
         runs.append(seen.join(often, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))).select(
             "doc_id", "ver", F.col("at").alias("start"), (F.col("at") + window).alias("stop")))
