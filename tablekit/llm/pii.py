@@ -4,7 +4,9 @@ words adjust their score.  SQL functions only; every text is handled in its own
 Positions come from cutting a text at its matches: the pieces' and the matches'
 lengths add up to the start of each match (in code points).  The patterns are
 possessive and start only at the beginning of a run, so each is linear in the
-text's length and finds the same spans as its plain form in ``KINDS``.
+text's length and finds the same spans as its plain form in ``KINDS``.  An account
+number can go on into the words behind it, so its pattern proposes the start only
+and ``iban`` picks the end among all places where it could be.
 
 Defined results for odd input: a null text is an empty text and has no spans
 (``redact`` leaves it null); repeated rows are scanned each on their own; further
@@ -31,7 +33,9 @@ class Kind:
     """A kind of personal data.
 
     ``needs`` is a character that every match contains (a cheap test), ``valid``
-    confirms a match, ``score`` is the score without context words.
+    confirms a match, ``score`` is the score without context words.  With ``reach``,
+    matches are only starts: ``whole`` gets the ``reach`` characters from there on and
+    returns the value they begin with, null if there is none.
     """
 
     name: str
@@ -41,6 +45,8 @@ class Kind:
     context: str
     needs: str = ""
     base: bool = True
+    reach: int = 0
+    whole: Callable[[Column], Column] | None = None
 
 
 def digits(x: Column) -> Column:
@@ -63,6 +69,33 @@ def mod97(x: Column) -> Column:
     return F.aggregate(F.split(moved, ""), F.lit(0), step) == 1
 
 
+#: Characters of an account number by country (the IBAN registry).
+IBAN_CHARS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+              21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+              24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+              28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+              32: "LC", 33: "RU"}
+#: Blocks of four after the first four characters, at least and at most, and the characters
+#: of the longest number with its blanks and the one behind it.
+BLOCKS, IBAN_REACH = (2, 7), 4 + 7 * 5 + 4 + 1
+
+
+def iban(x: Column) -> Column:
+    """The account number that ``x`` begins with, null if there is none.
+
+    Every end between two words is tried: the one at the country's length counts, and
+    without it (or for other countries) the last at which mod-97 holds.
+    """
+    ends = [rf"^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{rest}(?![A-Za-z0-9])"
+            for n in range(BLOCKS[1], BLOCKS[0] - 1, -1) for rest in ("(?: ?[A-Z0-9]{1,3})", "")]
+    found = F.filter(F.array(*(F.regexp_extract(x, p, 0) for p in ends)), lambda v: (v != "") & mod97(v))
+    country, size = F.substring(x, 1, 2), F.lit(0)
+    for n, names in IBAN_CHARS.items():
+        size = F.when(country.isin(names.split()), n).otherwise(size)
+    exact = F.filter(found, lambda v: F.length(F.regexp_replace(v, " ", "")) == size)
+    return F.coalesce(F.get(exact, F.lit(0)), F.get(found, F.lit(0)))
+
+
 def _octets(x: Column) -> Column:
     octet = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
     return x.rlike(rf"^{octet}(?:\.{octet}){{3}}$")
@@ -80,8 +113,9 @@ KINDS = (
     # \+[0-9][ ().0-9-]+[0-9] with 9 to 15 digits
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", lambda x: F.length(digits(x)).between(9, 15), 0.6,
          "phone|tel|call|mobile|fax|telefon", "+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", mod97,
-         0.8, "iban|bank|account|konto|compte|cuenta", base=False),
+    # [A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})? before the end of a word
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]{4}){2})", lambda x: F.lit(True),
+         0.8, "iban|bank|account|konto|compte|cuenta", base=False, reach=IBAN_REACH, whole=iban),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda x: ~x.rlike("^(?:000|666|9)|-00-|-0000$"),
          0.3, "ssn|social security|taxpayer", "-", base=False),
 )
@@ -122,6 +156,10 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans",
         F.exists(columns[k.name], k.valid),
         F.filter(_located(t, k.pattern, columns[k.name]), _valid_span(k))).otherwise(
         F.array().cast(f"array<{SPAN}>")) for k in kinds})
+    for k in kinds:
+        if k.whole:
+            out = out.withColumn(found[k.name], F.transform(columns[k.name], _from_start(t, k)))
+            out = out.withColumn(found[k.name], _apart(columns[k.name]))
     out = out.withColumn(into, F.flatten(F.array(*(
         F.filter(F.transform(columns[k.name], _scored(t, k)), _kept(k)) for k in kinds))))
     return out.drop(body, *found.values())
@@ -131,6 +169,20 @@ def _valid_span(kind: Kind) -> Callable[[Column], Column]:
     return lambda s: kind.valid(s["value"])
 
 
+def _from_start(text: Column, kind: Kind) -> Callable[[Column], Column]:
+    return lambda s: F.struct(s["start"].alias("start"), kind.whole(
+        F.substring(text, s["start"] + 1, F.lit(kind.reach))).alias("value"))
+
+
+def _apart(found: Column) -> Column:
+    """The spans of the values found; one that starts inside the span before it is left out."""
+    spans = F.transform(F.filter(found, lambda s: s["value"].isNotNull()), lambda s: F.struct(
+        s["start"].alias("start"), (s["start"] + F.length(s["value"])).alias("end"), s["value"].alias("value")))
+    behind = lambda a, s: F.coalesce(F.try_element_at(a, F.lit(-1))["end"] <= s["start"], F.lit(True))
+    return F.aggregate(spans, F.array().cast(f"array<{SPAN}>"),
+                       lambda a, s: F.when(behind(a, s), F.concat(a, F.array(s))).otherwise(a))
+
+
 def _scored(text: Column, kind: Kind) -> Callable[[Column], Column]:
     def one(s: Column) -> Column:
         before = F.substring(text, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, F.least(s["start"], F.lit(BEFORE)))

@@ -66,3 +66,27 @@ def test_table_against_brute_force(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
     for r in out.collect():
         check(r, texts[r.doc_id])
+
+
+def test_account_numbers_before_other_words(spark):
+    numbers = ["ES9121000418450200051332", "BE68 5390 0754 7034", "AT611904300234573201", "LU28 0019 4006 4475 0000",
+               "PL61109010140000071219812874", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+               "MT84MALT011000012345MTLCAST001S", "GB82 WEST 1234 5698 7654 32"]
+    after = ["", " 2024", " BIC x", " USA", " 20245", " BANKS", " X1", " ABCDEFGHIJKLMNOPQRSTUVWXYZ", " in", " 1234 5678 9012", ".5"]
+    cases = [("\u00e9 pay " + n + a, [(6, 6 + len(n))]) for n in numbers for a in after]
+    for x, y in zip(numbers, numbers[1:]):
+        cases.append((f"{x} {y}", [(0, len(x)), (len(x) + 1, len(x) + 1 + len(y))]))
+        # A start that no valid number follows, and a number glued to more letters.
+        cases.append((f"AB12 CDEF {x} {y}A", [(10, 10 + len(x))]))
+    # Not in the list of countries: the last end at which mod-97 holds.
+    other = next(f"ZZ{i:02d} 1234 5678" for i in range(2, 99) if int(f"123456783535{i:02d}") % 97 == 1)
+    cases += [(other + a, [(0, len(other))]) for a in ("", " \u00e9", " lower")] + [("ES9121000418450200051333 2024", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in P.digests(df).collect()}
+    clean = {r.doc_id: r.text for r in P.redact(df, kinds=tuple(k for k in P.KINDS if k.name == "iban")).collect()}
+    for i, (text, want) in enumerate(cases):
+        got = [x for x in rows[i].spans.split(",") if x.startswith("iban")]
+        assert got == [f"iban:{a}:{b}" for a, b in want], text
+        for a, b in reversed(want):
+            text = text[:a] + "<IBAN>" + text[b:]
+        assert clean[i] == text
