@@ -3,8 +3,9 @@
 ``measured`` computes the measures of a text inside its own row: no shuffle, no
 Python.  ``learn`` fits an ordered list of threshold conjunctions by sequential
 covering (grow a rule on one part of the labelled rows, prune it on the other,
-take away the rows it covers, repeat).  Every step is one grouped count over the
-labelled rows' binned measures, so the driver sees counts only.  ``verdict``
+take away the rows it covers, repeat).  Every step tries all cuts between two
+neighbouring values of a measure on the rows that are still left, as running counts
+over the labelled rows' values, and the driver sees the best cut only.  ``judge``
 turns the list into one ordered Spark conditional.
 
 Defined results for odd input: a null or empty text has no words, so all counts
@@ -18,15 +19,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import Staging
 
 #: Labelled documents that a list is learned from at most (by hash of their ids).
 MAX_LABELLED = 20_000
-#: Bins of each measure (borders between quantiles), conditions in a rule, rules in a list.
-BINS, MAX_CONDITIONS, MAX_RULES = 64, 3, 8
+#: Conditions in a rule, rules in a list.
+MAX_CONDITIONS, MAX_RULES = 3, 8
 #: A rule must be this precise on the rows it was not grown on, and cover so many there.
 MIN_PRECISION, MIN_COVER = 0.98, 5
 
@@ -143,31 +144,18 @@ def labelled_measures(docs: DataFrame, labels: DataFrame, max_labelled: int = MA
         (F.pmod(F.xxhash64(F.col("label_id"), F.lit("held")), F.lit(3)) == 0).alias("held"), "m")
 
 
-def borders(rows: DataFrame, bins: int = BINS) -> dict[str, list[float]]:
-    """For each measure, the middles between its neighbouring distinct quantiles."""
-    shares = [i / bins for i in range(bins + 1)]
-    got = rows.agg(*(F.percentile(F.col("m")[k], shares).alias(k) for k in MEASURES)).first()
-    out = {}
-    for k in MEASURES:
-        values = sorted(set(got[k] or []))
-        out[k] = [(a + b) / 2 for a, b in zip(values, values[1:])]
-    return out
-
-
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
           min_precision: float = MIN_PRECISION, min_cover: int = MIN_COVER) -> list[Rule]:
     """An ordered list of rules that reject documents."""
     staging = Staging(docs.sparkSession, "quality-rules")
     rows = staging.put("labelled", labelled_measures(docs, labels, max_labelled))
-    cuts = borders(rows)
     m = F.col("m")
-    binned = F.array(*(F.struct(F.lit(k).alias("measure"), _bin(m[k], cuts[k]).alias("bin")) for k in MEASURES))
     rules: list[Rule] = []
     while len(rules) < MAX_RULES:
         left = rows
         for rule in rules:
             left = left.where(~rule.column(m))
-        grown = _grow(left.where(~F.col("held")), binned, cuts)
+        grown = _grow(left.where(~F.col("held")))
         rule = _prune(left.where(F.col("held")), grown)
         if rule is None or rule.bad < min_cover or rule.bad < min_precision * (rule.bad + rule.good):
             break
@@ -176,40 +164,44 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return rules
 
 
-def _bin(x: Column, bounds: list[float]) -> Column:
-    """How many bounds are at most x."""
-    return F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<double>"), lambda t: t <= x))
-
-
-def _grow(rows: DataFrame, binned: Column, cuts: dict[str, list[float]]) -> tuple[Condition, ...]:
+def _grow(rows: DataFrame) -> tuple[Condition, ...]:
     """Add the condition of highest information gain until no good row is covered."""
-    import math
-
     rule: tuple[Condition, ...] = ()
     while len(rule) < MAX_CONDITIONS:
-        covered = rows.where(Rule(rule).column(F.col("m")))
-        counts = (covered.select("bad", F.explode(binned).alias("b")).groupBy("b.measure", "b.bin")
-                  .agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")).collect())
-        bad = sum(r.bad for r in counts if r.measure == MEASURES[0])
-        good = sum(r.good for r in counts if r.measure == MEASURES[0])
-        if not bad or not good:
-            break
-        before, best = math.log2(bad / (bad + good)), (0.0, None)
-        for k in MEASURES:
-            own = {r.bin: (r.bad, r.good) for r in counts if r.measure == k}
-            below_bad = below_good = 0
-            for b, bound in enumerate(cuts[k]):
-                x = own.get(b, (0, 0))
-                below_bad, below_good = below_bad + x[0], below_good + x[1]
-                for above, p, n in ((True, bad - below_bad, good - below_good), (False, below_bad, below_good)):
-                    if p and (gain := p * (math.log2(p / (p + n)) - before)) > best[0] + 1e-9:
-                        best = (gain, Condition(k, above, bound))
-        if best[1] is None:
+        best = _best_cut(rows.where(Rule(rule).column(F.col("m"))))
+        if best is None:
             break
-        rule += (best[1],)
+        rule += (best,)
     return rule
 
 
+def _best_cut(rows: DataFrame) -> Condition | None:
+    """The condition of highest information gain among all cuts between neighbouring values;
+    none if no cut gains, as when only one class is left."""
+    values = F.array(*(F.struct(F.lit(i).alias("measure"), F.col("m")[k].alias("value")) for i, k in enumerate(MEASURES)))
+    counts = (rows.select("bad", F.explode(values).alias("v")).groupBy("v.measure", "v.value")
+              .agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")))
+    # One row per distinct value of the bounded sample, so a measure's window is bounded too.
+    whole = Window.partitionBy("measure")
+    below = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    c = {k: F.col(k) for k in ("bad", "good", "all_bad", "all_good", "below_bad", "below_good", "last", "value")}
+    cuts = counts.select(
+        "measure", "value", F.max("value").over(below).alias("last"),
+        *(F.sum(k).over(w).alias(f"{name}_{k}") for name, w in (("below", below), ("all", whole)) for k in ("bad", "good")))
+    sides = F.array(*(F.struct(F.lit(above).alias("above"), p.alias("p"), n.alias("n")) for above, p, n in (
+        (True, c["all_bad"] - c["below_bad"], c["all_good"] - c["below_good"]), (False, c["below_bad"], c["below_good"]))))
+    # The middle, or the upper value where the middle rounds to the lower one.
+    middle = c["last"] + (c["value"] - c["last"]) / 2
+    bound = F.when(middle > c["last"], middle).otherwise(c["value"])
+    share = lambda p, n: F.log2(p / (p + n))
+    gain = F.col("s.p") * (share(F.col("s.p"), F.col("s.n")) - share(c["all_bad"], c["all_good"]))
+    best = (cuts.where("last IS NOT NULL AND all_bad > 0 AND all_good > 0")
+            .select("measure", bound.alias("bound"), "all_bad", "all_good", F.explode(sides).alias("s"))
+            .where("s.p > 0").withColumn("gain", F.round(gain, 9)).where("gain > 0")
+            .agg(F.max(F.struct("gain", -F.col("measure"), -F.col("bound"), F.col("s.above")))).first()[0])
+    return None if best is None else Condition(MEASURES[-best[1]], best[3], -best[2])
+
+
 def _prune(rows: DataFrame, rule: tuple[Condition, ...]) -> Rule | None:
     """The prefix of the rule that separates the held-back rows best, with its counts."""
     if not rule:

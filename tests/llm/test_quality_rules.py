@@ -68,3 +68,13 @@ def test_small_table_runs(spark):
     assert rows.count() == 200
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rare_junk_with_few_symbols_is_split_off(spark):
+    def text(i):  # 30 of 2100 rows are junk, most of it with 1 to 3 symbols, two with 20
+        k = 0 if i % 70 else 20 if i in (0, 70) else 1 + i // 70 % 3
+        return f"alpha beta gamma delta epsilon zeta eta theta iota kappa n{i:04d}{'#' * k}{'z' * (20 - k)}"
+
+    docs = spark.createDataFrame([(i, text(i)) for i in range(2100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 70 > 0)) for i in range(2100)], "doc_id long, quality int")
+    assert all(r.kept == (r.doc_id % 70 != 0) for r in Q.score_quality(docs, labels).collect())
