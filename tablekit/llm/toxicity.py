@@ -11,7 +11,7 @@ The last category is the label itself; the ones before it are the label where a
 word of the category's list occurs.  Models are fitted on at most ``MAX_LABELLED``
 labelled documents (by hash of their ids) and applied to all documents.  The fits
 of a category, one without each fold and one on all, run in parallel tasks, each
-on that bounded sample.
+on that bounded sample.  Copies of a text under one id count once in it.
 
 Defined results for odd input: a null or empty text has no words; repeated rows are
 scored each on their own; labels without an id or a label are not learned from, of
@@ -70,23 +70,34 @@ def probability(z):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(words, label, fold) of a bounded sample of labelled documents."""
+    """(words, label, fold, place) of labelled documents of at most ``max_labelled`` ids,
+    one row for each text under an id; ``place`` is a hash of both."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
              .groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("label"))
              .orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled))
     # At most max_labelled pairs of numbers, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    # Copies under one id are one row; combined in the map tasks, so they meet nowhere.
+    rows = rows.groupBy("label_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash")).agg(
+        F.max("label").alias("label"), F.first("text").alias("text"))
     rows = rows.select("text", (F.col("label") == 1).cast("double").alias("label"),
-                       F.pmod(F.xxhash64(F.col("label_id"), F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"))
+                       F.pmod(F.xxhash64(F.col("label_id"), F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"),
+                       F.xxhash64("label_id", "hash").alias("place"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             found = [sorted(words_of(x)) for x in binary(part.column("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.string())), part.column("label"), part.column("fold")],
-                ["words", "label", "fold"])
+                [pa.array(found, pa.list_(pa.string())), *(part.column(c) for c in ("label", "fold", "place"))],
+                ["words", "label", "fold", "place"])
 
-    return rows.mapInArrow(work, "words array<string>, label double, fold int")
+    return rows.mapInArrow(work, "words array<string>, label double, fold int, place long")
+
+
+def bounded(rows: DataFrame, max_labelled: int) -> DataFrame:
+    """The ``max_labelled`` rows of smallest place; all of them if ids do not have several texts."""
+    last = rows.select("place").orderBy("place").limit(max_labelled).agg(F.max("place")).first()[0]
+    return rows.where(F.col("place") <= F.lit(last).cast("long"))
 
 
 def telling_words(rows: DataFrame) -> list[str]:
@@ -175,7 +186,7 @@ def _threshold(rows: DataFrame, y: str, p: str) -> float:
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, categories=CATEGORIES) -> Chain:
     """Fit the chain."""
     staging = Staging(docs.sparkSession, "toxicity")
-    rows = staging.put("labelled", labelled(docs, labels, max_labelled))
+    rows = bounded(staging.put("labelled", labelled(docs, labels, max_labelled)), max_labelled)
     words = telling_words(rows)
     place = {w: i for i, w in enumerate(words)}
 

@@ -34,3 +34,15 @@ def test_odd_rows_and_columns(spark):
     for few in (labels.limit(0), labels.where("doc_id = 5")):
         assert not any(r.toxic for r in T.score_toxicity(docs, few).collect())
     assert T.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_copies_of_a_labelled_row_are_one_row_of_the_sample(spark):
+    rows = [(1, "same text")] * 500 + [(1, "other text")] + [(2, "same text")] * 3 + [(3, None), (3, ""), (None, "same text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    got = sorted((r.words, r.label) for r in T.labelled(docs, labels).collect())
+    assert got == [([], 0.0), (["other", "text"], 1.0), (["same", "text"], 0.0), (["same", "text"], 1.0)]
+    many = spark.createDataFrame([(1, f"text {i}") for i in range(300)], "doc_id long, text string")
+    assert T.bounded(T.labelled(many, labels, 20), 20).count() == 20
+    assert T.bounded(T.labelled(many, labels, 300), 300).count() == 300
+    assert T.bounded(T.labelled(many.limit(0), labels), 5).count() == 0
