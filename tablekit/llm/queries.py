@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, license_scan, pii, quality_rules, simhash,
+from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, hard_negatives, license_scan, pii, quality_rules, simhash,
                            substring_dedup, suffix_dedup, toxicity)
 from tablekit.llm.common import table
 
@@ -92,3 +92,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity categories of every document."""
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the stated anchors against all rows."""
+    return hard_negatives.op13_rows(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = hard_negatives.MINE_SQL
