@@ -107,7 +107,7 @@ def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.zeros((len(a), len(b)), np.int64)
     if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0 ** 53:
         return (a @ b.T).astype(np.int64)
-    a, b = np.clip(a, -1e300, 1e300), np.clip(b, -1e300, 1e300)
+    a, b = np.nan_to_num(a), np.nan_to_num(b)        # scaled beyond a double: its largest value
     exact = [[int(x) for x in row] for row in b]     # sums beyond a double's integers
     return np.array([[max(-LIMIT, min(LIMIT, sum(map(int.__mul__, x, y)))) for y in exact]
                      for x in ([int(v) for v in row] for row in a)], np.int64)
