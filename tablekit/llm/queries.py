@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, hard_negatives, license_scan, pii, quality_rules, simhash,
-                           substring_dedup, suffix_dedup, toxicity)
+                           substring_dedup, suffix_dedup, token_alignment, toxicity)
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,12 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_hard_negatives"] = hard_negatives.MINE_SQL
+
+
+@register
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over every document, with corpus-wide pair counts."""
+    import public_tokenizers as public
+
+    files = token_alignment.Tokenizers.load(public.path("byte_bpe_50k.json"), public.path("piece_bpe_32k.model"))
+    return token_alignment.align(table(spark, sf_dir, "documents"), files)
