@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, hard_negatives, license_scan, pii, quality_rules, simhash,
-                           substring_dedup, suffix_dedup, token_alignment, toxicity)
+from tablekit.llm import (byte_bpe, chat_perspectives, decontaminate, hard_negatives, katz, license_scan, pii, quality_rules,
+                          simhash, substring_dedup, suffix_dedup, token_alignment, toxicity)
 from tablekit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = token_alignment.Tokenizers.load(public.path("byte_bpe_50k.json"), public.path("piece_bpe_32k.model"))
     return token_alignment.align(table(spark, sf_dir, "documents"), files)
+
+
+@register
+def op12_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a Katz bigram model of the training fold."""
+    return katz.op12_rows(table(spark, sf_dir, "documents"))
