@@ -26,11 +26,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablekit.functions import qcol
 from tablekit.operators.staging import stage
 from tablekit.session import remove_dir, shared_dir
 
 _MID = "__tk_mid"
 _BLK = "__tk_block"
+_PART, _HASH, _SHIFT = "__tk_task", "__tk_file", "__tk_shift"
+#: File splits whose offsets are broadcast at once (28 bytes each).
+SPLITS_AT_ONCE = 500_000
 
 
 def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -38,6 +42,8 @@ def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None
                  recursive: bool = True, **options) -> DataFrame:
     """All ``*.csv`` files under ``path`` with ``source_file`` and split start columns."""
     reader = spark.read.option("header", header).option("sep", sep).option("pathGlobFilter", glob)
+    if header:   # a file with other columns, or another order of them, is an error (see feeds.read_feed)
+        reader = reader.option("enforceSchema", "false")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if schema is not None:
@@ -52,7 +58,8 @@ def read_csv_dir(spark: SparkSession, path: str, schema: StructType | str | None
 
 
 def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str = _BLK,
-                    name: str = "seq_id", path: str | None = None) -> DataFrame:
+                    name: str = "seq_id", path: str | None = None,
+                    splits_at_once: int = SPLITS_AT_ONCE) -> DataFrame:
     """Contiguous 1-based row number per file, in file order, without a sort.
 
     ``df`` must be the direct scan from :func:`read_csv_dir` (rows of one file
@@ -60,19 +67,43 @@ def add_file_seq_id(df: DataFrame, file_col: str = "source_file", block_col: str
     staged tables under ``path`` (a fresh shared folder if not given).
     """
     path = path or shared_dir(df.sparkSession, "ingest")
-    rows = stage(df.withColumn(_MID, F.monotonically_increasing_id()), path=f"{path}/rows")
-    summary = rows.groupBy(file_col, block_col).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
+    split = [_PART, block_col, _HASH]
+    numbered = df.withColumn(_MID, F.monotonically_increasing_id()).withColumns({
+        _PART: F.spark_partition_id(), _HASH: F.xxhash64(file_col)})
+    rows = stage(numbered, path=f"{path}/rows")
+    summary = rows.groupBy(*split, file_col).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
     per_file = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    # Written as well, so that the planner knows its size when it picks the join.
-    offsets = stage(summary.select(file_col, block_col, "__first",
-                                   F.coalesce(F.sum("__n").over(per_file), F.lit(0)).alias("__offset")),
-                    path=f"{path}/offsets")
-    joined = rows.join(offsets, [file_col, block_col], "left")
-    # A split without an offset would be lost rows: fail instead.
-    offset = F.coalesce(F.col("__offset"), F.raise_error(F.concat(
+    # seq_id is the running id plus a shift that is the same for all rows of a split.
+    shift = F.coalesce(F.sum("__n").over(per_file), F.lit(0)) - F.col("__first") + F.lit(1)
+    shifts = stage(summary.select(*split, shift.alias(_SHIFT)), path=f"{path}/shifts")
+    joined = None
+    for low, high in _ranges(shifts, splits_at_once):
+        some = lambda x: x.where(F.col(_PART).between(low, high)) if high is not None else x
+        part = some(rows).join(F.broadcast(some(shifts)), split, "left")
+        joined = part if joined is None else joined.unionAll(part)
+    # A split without a shift would be lost rows: fail instead.
+    shift = F.coalesce(F.col(_SHIFT), F.raise_error(F.concat(
         F.lit("no row offset for a split of "), F.col(file_col))).cast("bigint"))
-    seq = offset + (F.col(_MID) - F.col("__first")) + F.lit(1)
-    return joined.withColumn(name, seq.cast("bigint")).drop(_MID, "__first", "__offset")
+    out = joined.withColumn(name, (F.col(_MID) + shift).cast("bigint"))
+    return out.select(*[qcol(c) for c in df.columns], name)
+
+
+def _ranges(shifts: DataFrame, splits_at_once: int) -> list[tuple[int, int | None]]:
+    """Ranges of scan tasks with a bounded number of splits each (a task's splits stay together).
+
+    The shifts of a range are broadcast (three numbers a split), so the rows are never
+    shuffled, whatever the number of files; a range reads only its own rows, by the
+    staged files' statistics.
+    """
+    if shifts.count() <= splits_at_once:
+        return [(0, None)]
+    out, held = [], 0
+    for task, n in shifts.groupBy(_PART).count().orderBy(_PART).toLocalIterator():
+        if not out or held + n > splits_at_once:
+            out.append((task, task))
+            held = 0
+        out[-1], held = (out[-1][0], task), held + n
+    return out
 
 
 def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None = None,
@@ -87,10 +118,11 @@ def audit_ingest(spark: SparkSession, src: str, schema: StructType | str | None
     The rows are staged under ``path`` (or a fresh shared folder), which the result
     reads; remove it when the result has been written.
 
-    The skipped files are still read (their rows are dropped after numbering,
-    which keeps the numbering of the others exact).  For a landing folder
-    that keeps growing, use ``streaming.audit_stream.start_audit_stream``: its
-    file source remembers what it has read and never opens those files again.
+    All files must have one header; a file whose columns differ is an error (``feeds``
+    reads every file under its own header).  The skipped files are still read (their rows
+    are dropped after numbering, which keeps the numbering of the others exact).  For a
+    landing folder that keeps growing use ``feeds.ingest_run`` or
+    ``streaming.audit_stream.start_audit_stream``: they never open a file again.
     """
     df = read_csv_dir(spark, src, schema=schema, **options)
     # Ids are taken straight off the scan; skipping whole files afterwards

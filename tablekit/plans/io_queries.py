@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.catalog import create_database, list_databases
+from tablekit.operators.feeds import ingest_run, read_ingested, read_manifest
 from tablekit.operators.ingest import audit_ingest
 from tablekit.session import shared_dir
 from tablekit.sinks.writers import num_partitions, transfer_tables, with_files, write_csv, write_json, write_parquet
@@ -75,13 +76,57 @@ def audit_ingest_q(spark, d):
         ((F.min("seq_id") == 1) & (F.max("seq_id") == F.count("*")) & (F.count_distinct("seq_id") == F.count("*"))
          & (F.max(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.max("o_orderkey"))
          & (F.min(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.min("o_orderkey"))).alias("numbered"))
-    job = out.select("job_id").first()
-    valid = F.col("job_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
-    one_job = valid & (F.col("job_id") == F.lit(job.job_id if job else None))
-    return (out.join(files, "source_file").withColumn("one_job", one_job)
+    job = out.agg(F.min("job_id").alias("low"), F.max("job_id").alias("high"))
+    valid = F.col("low").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") & (F.col("low") == F.col("high"))
+    return (out.join(files, "source_file").crossJoin(F.broadcast(job.select(valid.alias("one_job"))))
             .drop("job_id", "source_file", "seq_id"))
 
 
+def _numbered(out):
+    """One row for each file: whether its rows are numbered 1..n."""
+    return out.groupBy("source_file").agg(
+        ((F.min("seq_id") == 1) & (F.max("seq_id") == F.count("*")) & (F.count_distinct("seq_id") == F.count("*")))
+        .alias("numbered"))
+
+
+@register("ingest_mixed_headers", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority, true AS numbered FROM orders""")
+def ingest_mixed_headers(spark, d):
+    """Files with headers of their own in one audited run (S16, W8): filled orders have their columns
+    in reverse order, pending ones lack the priority and have a column more."""
+    src, o = shared_dir(spark, "landing"), table(spark, d, "orders")
+    landed = {"O": o.columns, "F": o.columns[::-1], "P": ["o_orderdate", "note", *[c for c in o.columns[:4]]]}
+    for status, columns in landed.items():
+        rows = o.withColumn("note", F.lit("pending")).where(F.col("o_orderstatus") == status)
+        write_csv(rows.select(*columns), f"{src}/in/{status}")
+    ingest_run(spark, f"{src}/in", f"{src}/out", schema=ORDERS_CSV_SCHEMA)
+    out = read_ingested(spark, f"{src}/out")
+    return out.join(_numbered(out), "source_file").select(*o.columns, "numbered")
+
+
+@register("ingest_rerun", """
+WITH runs AS (SELECT *, CASE WHEN CAST(o_orderdate AS DATE) < DATE '1998-01-01' THEN 1 ELSE 2 END AS run FROM orders)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, run,
+       true AS numbered, true AS counted, true AS idle FROM runs""")
+def ingest_rerun(spark, d):
+    """Two deliveries and three runs (W8): a run opens only files that no earlier run has published,
+    its manifest counts their rows, and the third run finds nothing to do."""
+    src, o = shared_dir(spark, "landing"), table(spark, d, "orders")
+    early = F.col("o_orderdate").cast("date") < F.lit("1998-01-01").cast("date")
+    n = []
+    for run, rows in (("1", o.where(early)), ("2", o.where(~early)), ("3", None)):
+        if rows is not None:
+            write_csv(rows, f"{src}/in/{run}")
+        n.append(ingest_run(spark, f"{src}/in", f"{src}/out", schema=ORDERS_CSV_SCHEMA, job_id=run))
+    out = read_ingested(spark, f"{src}/out")
+    files = _numbered(out).join(read_manifest(spark, f"{src}/out").select("source_file", "rows"), "source_file")
+    counts = out.groupBy("source_file").agg(F.count("*").alias("n"))
+    files = files.join(counts, "source_file").withColumn("counted", F.col("n") == F.col("rows"))
+    return out.join(files, "source_file").select(
+        *o.columns, F.col("job_id").cast("int").alias("run"), "numbered", "counted", F.lit(n[2] == 0).alias("idle"))
+
+
 ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
 
@@ -177,14 +222,14 @@ def options_map(spark, d):
 
 
 @register("json_flags", """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(NULL AS VARCHAR) AS missing FROM nation""")
+SELECT o_orderkey, o_orderpriority, CAST(NULL AS VARCHAR) AS missing FROM orders""")
 def json_flags(spark, d):
     """JSON with single quotes and unquoted names, allowed by flags."""
-    path = shared_dir(spark, "flags") + "/nation"
-    line = F.concat(F.lit("{n_nationkey: "), F.col("n_nationkey").cast("string"), F.lit(", 'n_name': '"),
-                    F.col("n_name"), F.lit("'}"))
-    table(spark, d, "nation").select(line.alias("value")).write.text(path)
-    return read_json(spark, path, schema="n_nationkey BIGINT, n_name STRING, missing STRING", mode="FAILFAST",
+    path = shared_dir(spark, "flags") + "/orders"
+    line = F.concat(F.lit("{o_orderkey: "), F.col("o_orderkey").cast("string"), F.lit(", 'o_orderpriority': '"),
+                    F.col("o_orderpriority"), F.lit("'}"))
+    table(spark, d, "orders").select(line.alias("value")).write.text(path)
+    return read_json(spark, path, schema="o_orderkey BIGINT, o_orderpriority STRING, missing STRING", mode="FAILFAST",
                      allowSingleQuotes=True, allowUnquotedFieldNames=True)
 
 

@@ -47,7 +47,7 @@ def start_audit_stream(spark: SparkSession, src: str, out: str, checkpoint: str,
                        available_now: bool = True, out_format: str = "parquet",
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present."""
-    reader = (spark.readStream.schema(schema).option("header", "true")
+    reader = (spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "false")
               .option("pathGlobFilter", "*.csv"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -1,0 +1,138 @@
+import os
+
+import pytest
+from pyspark.sql import types as T
+
+from tablekit.operators import feeds
+from tablekit.operators.ingest import add_file_seq_id, audit_ingest, read_csv_dir
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def _files(spark, src):
+    return [r.path for r in feeds.list_files(spark, src).collect()]
+
+
+def test_every_file_is_read_under_its_own_header(spark, tmp):
+    _write(f"{tmp}/a.csv", "id,name,qty\n1,x,10\n2,y,20\n")
+    _write(f"{tmp}/b.csv", "qty,id,name\n30,3,z\n")
+    _write(f"{tmp}/deep/c d.csv", '\n"Name",id,"a,b"\nw,4,"q,r"\n')
+    _write(f"{tmp}/empty.csv", "")
+    _write(f"{tmp}/head.csv", "id,qty\n")
+    rows = feeds.read_feed(spark, _files(spark, tmp)).collect()
+    assert sorted((r.id, r.name, r.qty, r["a,b"]) for r in rows) == [
+        (1, "x", 10, None), (2, "y", 20, None), (3, "z", 30, None), (4, "w", None, "q,r")]
+    some = feeds.read_feed(spark, _files(spark, tmp), "qty double, id int, extra date")
+    assert sorted(map(tuple, some.select("id", "qty", "extra").collect())) == [
+        (1, 10.0, None), (2, 20.0, None), (3, 30.0, None), (4, None, None)]
+
+
+def test_types_are_joined_before_parsing(spark, tmp):
+    _write(f"{tmp}/a.csv", "id,code,at\n1,007,2020-01-01\n")
+    _write(f"{tmp}/b.csv", "code,id,at\nx7,2.5,\n")
+    frame = feeds.read_feed(spark, _files(spark, tmp))
+    assert dict(frame.dtypes)["id"] == "double" and dict(frame.dtypes)["at"] == "date"
+    assert sorted((r.id, r.code) for r in frame.collect()) == [(1.0, "007"), (2.5, "x7")]
+
+
+def test_type_lattice():
+    i, n, d, s = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
+    for a, b, c in [(i, n, n), (n, d, d), (i, s, s), (T.DateType(), T.TimestampType(), T.TimestampType()), (T.BooleanType(), i, s),
+                    (T.DateType(), i, s), (T.NullType(), i, i), (T.DecimalType(20, 0), n, T.DecimalType(20, 0)),
+                    (T.DecimalType(12, 2), i, T.DecimalType(12, 2)), (T.DecimalType(38, 10), n, T.DecimalType(38, 10)),
+                    (T.DecimalType(30, 2), T.DecimalType(30, 20), d), (T.DecimalType(5, 1), d, d)]:
+        assert feeds.joined(a, b) == feeds.joined(b, a) == c
+
+
+def test_headers_that_name_a_column_twice_are_refused(spark, tmp):
+    _write(f"{tmp}/a.csv", "id,ID\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        feeds.read_feed(spark, _files(spark, tmp))
+
+
+def test_one_header_reader_refuses_other_columns(spark, tmp):
+    """The plain ingest takes feeds with one header only; it must not put values into wrong columns."""
+    _write(f"{tmp}/a.csv", "id,name,qty\n1,x,10\n")
+    _write(f"{tmp}/b.csv", "qty,id,name\n30,3,z\n")
+    for schema in (None, "id int, name string, qty int"):
+        with pytest.raises(Exception, match="header|schema"):
+            audit_ingest(spark, tmp, schema=schema).collect()
+
+
+def test_only_first_lines_are_read(spark, tmp):
+    _write(f"{tmp}/a.csv", "id,name\n" + "".join(f"{k},n{k}\n" for k in range(200_000)))
+    found = feeds.header_catalogue(spark, _files(spark, tmp)).collect()
+    assert [r.header for r in found] == [["id", "name"]]
+
+
+def _landed(src):
+    _write(f"{src}/a.csv", "id,name\n1,x\n2,y\n")
+    _write(f"{src}/b.csv", "name,id\nz,3\n")
+
+
+def test_a_run_opens_no_known_file(spark, tmp):
+    src, out = f"{tmp}/in", f"{tmp}/out"
+    _landed(src)
+    assert feeds.ingest_run(spark, src, out, "id int, name string", job_id="j1", mode="FAILFAST") == 2
+    # Known files become unreadable as such, with their old length and time.
+    for name in ("a", "b"):
+        info = os.stat(f"{src}/{name}.csv")
+        _write(f"{src}/{name}.csv", "?" * info.st_size)
+        os.utime(f"{src}/{name}.csv", ns=(info.st_atime_ns, info.st_mtime_ns))
+    assert feeds.ingest_run(spark, src, out, "id int, name string", job_id="j2", mode="FAILFAST") == 0
+    _write(f"{src}/late.csv", "id,name,more\n4,w,1\n5,v,2\n")
+    assert feeds.ingest_run(spark, src, out, "id int, name string", job_id="j3", mode="FAILFAST") == 1
+    rows = feeds.read_ingested(spark, out).collect()
+    assert sorted((r.id, r.name, r.job_id, r.seq_id) for r in rows) == [
+        (1, "x", "j1", 1), (2, "y", "j1", 2), (3, "z", "j1", 1), (4, "w", "j3", 1), (5, "v", "j3", 2)]
+    manifest = feeds.read_manifest(spark, out).collect()
+    assert sorted((os.path.basename(r.path), r.rows, r.job_id) for r in manifest) == [
+        ("a.csv", 2, "j1"), ("b.csv", 1, "j1"), ("late.csv", 2, "j3")]
+
+
+def test_a_crash_before_the_rename_publishes_nothing(spark, tmp, monkeypatch):
+    src, out = f"{tmp}/in", f"{tmp}/out"
+    _landed(src)
+    publish = feeds.publish
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(feeds, "publish", crash)
+    with pytest.raises(RuntimeError):
+        feeds.ingest_run(spark, src, out)
+    assert feeds.read_manifest(spark, out).count() == 0
+    monkeypatch.setattr(feeds, "publish", publish)
+    assert feeds.ingest_run(spark, src, out) == 2
+    assert feeds.read_ingested(spark, out).count() == 3
+
+
+def test_a_changed_file_is_an_error(spark, tmp):
+    src, out = f"{tmp}/in", f"{tmp}/out"
+    _landed(src)
+    feeds.ingest_run(spark, src, out)
+    _write(f"{src}/a.csv", "id,name\n1,x\n2,y\n9,q\n")
+    with pytest.raises(ValueError, match="changed"):
+        feeds.ingest_run(spark, src, out)
+
+
+def test_numbers_need_no_shuffle_of_rows(spark, tmp):
+    for k in range(6):
+        _write(f"{tmp}/f{k}.csv", "id\n" + "".join(f"{k * 5000 + j}\n" for j in range(3000 + k)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        whole = add_file_seq_id(read_csv_dir(spark, tmp, "id long"))
+        ranges = add_file_seq_id(read_csv_dir(spark, tmp, "id long"), splits_at_once=5)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert "hashpartitioning" not in whole._jdf.queryExecution().executedPlan().toString()
+    want = sorted((f, k + 1) for f in range(6) for k in range(3000 + f))
+    for out in (whole, ranges):
+        got = [(r.id // 5000, r.seq_id, r.id % 5000) for r in out.select("id", "seq_id").collect()]
+        assert sorted((f, s) for f, s, _ in got) == want and all(s == j + 1 for _, s, j in got)
+    assert "Union" in ranges._jdf.queryExecution().optimizedPlan().toString()
