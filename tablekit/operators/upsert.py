@@ -80,15 +80,45 @@ def _prepare(target: DataFrame, changes: DataFrame, key, order_by, validate: boo
     return changes.select(*_q(target.columns))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size, from file sizes; filters and projections do not lower it much."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def upsert(target: DataFrame, changes: DataFrame, key, order_by: Sequence[str] | str | None = None,
-           validate: bool = True) -> DataFrame:
-    """The full new target after UPDATE-or-INSERT of ``changes`` by ``key``."""
+           validate: bool = True, stream_target: bool | None = None) -> DataFrame:
+    """The full new target after UPDATE-or-INSERT of ``changes`` by ``key``.
+
+    Both sides are read once and meet in one full outer join on the change set's unique
+    keys.  With ``stream_target`` the target is not shuffled: it streams past a broadcast
+    of the changes and, its keys alone, past them again to find the inserts.  By default
+    that is done if the changes are estimated below the broadcast limit and a tenth of the
+    target.
+    """
     ch = _prepare(target, changes, key, order_by, validate)
+    if stream_target is None:
+        limit = int(target.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        size = estimated_bytes(ch)
+        stream_target = size <= limit and 10 * size <= estimated_bytes(target)
+    if not stream_target:
+        return _merged(target, ch, _names(key))
     op = "__tk_op"
     inserts = classify(ch, target, key, op).where(F.col(op) == "INSERT").select(*_q(target.columns))
     return _updated(target, ch, key).unionByName(inserts)
 
 
+def _merged(target: DataFrame, ch: DataFrame, key: list[str]) -> DataFrame:
+    """Every row of either side; where both have the key, the change row."""
+    hit = "__tk_hit"
+    theirs = ch.select(*[qcol(c).alias(f"__tk_c_{c}") for c in ch.columns], F.lit(True).alias(hit))
+    same = [qcol(c) == qcol(f"__tk_c_{c}") for c in key]
+    on = same[0]
+    for more in same[1:]:
+        on = on & more
+    return target.join(theirs, on, "full").select(*[
+        F.when(F.col(hit), qcol(f"__tk_c_{c}")).otherwise(qcol(c)).alias(c) for c in target.columns])
+
+
 def update_matched(target: DataFrame, changes: DataFrame, key,
                    order_by: Sequence[str] | str | None = None, validate: bool = True) -> DataFrame:
     """The full new target after UPDATE only; changes without a target row are ignored (U4).

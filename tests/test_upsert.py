@@ -103,3 +103,24 @@ def test_every_target_row_of_a_key_is_updated(spark):
     changes = spark.createDataFrame([(1, "new"), (3, "x")], "k long, v string")
     assert sorted(tuple(r) for r in update_matched(target, changes, "k").collect()) == [(1, "new"), (1, "new"), (2, "c")]
     assert sorted(tuple(r) for r in upsert(target, changes, "k").collect()) == [(1, "new"), (1, "new"), (2, "c"), (3, "x")]
+
+
+@pytest.mark.parametrize("stream", [True, False])
+def test_both_forms_of_upsert(spark, stream):
+    """Null keys match nothing, a key that the target holds twice is updated twice."""
+    t = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3), (2, "d", 4)], "k long, `odd.name` string, n int")
+    c = spark.createDataFrame([(1, "x", None), (None, "y", 6), (5, "z", 7)], t.schema)
+    got = upsert(t, c, "k", stream_target=stream)
+    assert got.columns == t.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        (1, "x", None), (1, "x", None), (None, "c", 3), (2, "d", 4), (None, "y", 6), (5, "z", 7)]))
+
+
+def test_upsert_reads_each_side_once(spark, tmp):
+    spark.range(1000).selectExpr("id AS k", "id * 2 AS v").write.parquet(f"{tmp}/t")
+    spark.range(900, 1100).selectExpr("id AS k", "id AS v", "1 AS version").write.parquet(f"{tmp}/c")
+    t, c = spark.read.parquet(f"{tmp}/t"), spark.read.parquet(f"{tmp}/c")
+    plan = upsert(t, c, "k", order_by=["version"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.count("Relation [") == 2 and plan.count("Join FullOuter") == 1
+    small = upsert(spark.read.parquet(f"{tmp}/t", f"{tmp}/t", *[f"{tmp}/t"] * 30), c, "k", order_by=["version"])
+    assert "FullOuter" not in small._jdf.queryExecution().optimizedPlan().toString()
