@@ -26,6 +26,7 @@ an empty table gives no rows; other columns are ignored; only one text has to fi
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -47,6 +48,10 @@ PLACES, MAX_LINKS, SLICE = 1 << 16, 10_000_000, 2 << 20
 DENSE = 4096
 #: Posting rows in an Arrow batch.
 BATCH = 100_000
+# Fixed value: the pattern by which byte-level tokenizers of this file format cut a text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose class no library's Unicode tables disagree on: a text with others is encoded by A's own library.
+SETTLED = "\\t\\n\\r\x20-\x7E\u00A1-\u024F\u0400-\u045F\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3"
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -94,6 +99,8 @@ class Aligner:
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         if max(len(self.bytes_a), len(self.bytes_b)) > MAX_VOCABULARY:
             raise ValueError("a vocabulary is too large")
+        self.ranked = self._by_rank(files.a)
+        self.unsettled = re.compile(f"[^{SETTLED}]").search
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         # Ids as text with the mark that follows them: A's within and at the end of a group, then B's.
         self.marked = [b"%d%s" % (i, mark) for n, marks in ((len(self.bytes_a), (b",", b"|")), (len(self.bytes_b), (b",", b";")))
@@ -105,11 +112,34 @@ class Aligner:
             return bytes([int(re.fullmatch("<0x([0-9A-F]{2})>", piece)[1], 16)])
         return b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace("▁", " ").encode()
 
+    def _by_rank(self, file: bytes):
+        """The same tokenizer as a rank table, several times as fast, if its file is no more than that."""
+        import tiktoken
+
+        content = json.loads(file)
+        model, cut = content["model"], content["pre_tokenizer"] or {}
+        odd = [content["normalizer"], *(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                               "end_of_word_suffix", "byte_fallback", "ignore_merges"))]
+        if model["type"] != "BPE" or any(odd) or cut.get("type") != "ByteLevel" or not cut.get("use_regex") or cut.get("add_prefix_space"):
+            return None
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        ids = [model["vocab"][a + b] for a, b in pairs]
+        ranks = {t: i for i, t in enumerate(self.bytes_a) if i < 256 or len(t) > 1}
+        if ids != list(range(256, 256 + len(ids))) or {len(t) for t in self.bytes_a[:256]} != {1}:
+            return None       # ranks are not the order of the merges
+        ranks = {t: i for t, i in ranks.items() if i < 256 + len(ids)}
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+    def ids_a(self, texts: list[str]) -> list[list[int]]:
+        fast = [self.ranked is not None and not self.unsettled(x) for x in texts]
+        slow = iter(self.a.encode_batch_fast([x for x, f in zip(texts, fast) if not f], add_special_tokens=False))
+        return [self.ranked.encode_ordinary(x) if f else next(slow).ids for x, f in zip(texts, fast)]
+
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
         """(rows, A ids, B ids) of the texts whose tokens spell a blank and the text."""
         rows = [k for k, x in enumerate(texts) if x]
         plain = [texts[k].decode(errors="replace") for k in rows]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + x for x in plain], add_special_tokens=False)]
+        a = self.ids_a([" " + x for x in plain])
         b = self.b.encode(plain, num_threads=1) if plain else []
         good = [n for n, k in enumerate(rows) if self._spells(self.bytes_a, a[n], texts[k])
                 and self._spells(self.bytes_b, b[n], texts[k])]
@@ -122,29 +152,30 @@ class Aligner:
     def aligned(self, texts: list[bytes]) -> Aligned:
         rows, a, b = self.ids(texts)
         n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a, b))
-        a, b = (np.fromiter((i for x in lists for i in x), np.int64) for lists in (a, b))
+        a, b = (np.concatenate([np.array(x, np.int64) for x in [[], *lists]]) for lists in (a, b))
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         borders = np.cumsum([0, *(len(texts[k]) + 1 for k in rows)])
         at_a, at_b = np.zeros(borders[-1], bool), np.zeros(borders[-1], bool)
         at_a[ends_a - 1], at_b[ends_b - 1] = True, True
+        upto_a, upto_b = np.cumsum(at_a), np.cumsum(at_b)       # tokens that end up to each byte
         joint = np.flatnonzero(at_a & at_b)
         # Between neighbouring ends of either side lies one piece of one A and one B token.
         pieces = np.flatnonzero(at_a | at_b)
-        link_a, link_b = a[np.searchsorted(ends_a, pieces + 1)], b[np.searchsorted(ends_b, pieces + 1)]
+        link_a, link_b = a[upto_a[pieces] - at_a[pieces]], b[upto_b[pieces] - at_b[pieces]]
         per_text = lambda places: np.diff(np.searchsorted(places, borders))
         n_links = per_text(pieces)
         return Aligned(rows, n_a, n_b, per_text(joint), n_links, np.repeat(rows, n_links), link_a, link_b,
-                       self._groups(a, b, ends_a, ends_b, joint + 1, n_a + n_b))
+                       self._groups(a, b, upto_a[joint], upto_b[joint], n_a + n_b))
 
-    def _groups(self, a, b, ends_a, ends_b, joint, n) -> list[str]:
-        """The SHA-256 of each text's groups, written out as ids."""
-        group_a, group_b = np.searchsorted(joint, ends_a), np.searchsorted(joint, ends_b)
-        mark_a, mark_b = ends_a == joint[group_a], ends_b == joint[group_b]
+    def _groups(self, a, b, last_a, last_b, n) -> list[str]:
+        """The SHA-256 of each text's groups, written out as ids; a group ends with tokens ``last_a``, ``last_b`` (from 1)."""
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[last_a - 1], mark_b[last_b - 1] = 1, 1
+        group_a, group_b = np.cumsum(mark_a) - mark_a, np.cumsum(mark_b) - mark_b
         out = np.empty(len(a) + len(b), np.int64)
         # An A token stands behind the B tokens of earlier groups, a B token behind the A tokens up to its own.
-        out[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + mark_a * len(self.bytes_a)
-        out[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = (
-            2 * len(self.bytes_a) + b + mark_b * len(self.bytes_b))
+        out[np.arange(len(a)) + np.append(0, last_b)[group_a]] = a + mark_a * len(self.bytes_a)
+        out[np.arange(len(b)) + last_a[group_b]] = 2 * len(self.bytes_a) + b + mark_b * len(self.bytes_b)
         marked, at, digests = self.marked, 0, []
         for size in n.tolist():
             written = b"".join(map(marked.__getitem__, out[at:at + size].tolist()))

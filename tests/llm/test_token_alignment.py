@@ -122,3 +122,11 @@ def test_empty_and_null_ids(spark, files):
     assert T.align(spark.createDataFrame([], "doc_id long, text string"), files).collect() == []
     rows = T.align(spark.createDataFrame([(None, "a b"), (None, "a b"), (3, None)], "doc_id long, text string"), files).collect()
     assert sorted((r.doc_id is None, r.n_links > 0) for r in rows) == [(False, False), (True, True), (True, True)]
+
+
+def test_ranks_give_the_library_s_ids(spark, files):
+    aligner = T.Aligner(files)
+    assert aligner.ranked
+    texts = [" " + (r.text or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    texts += [" " + x for x in ODD if x] + [" I'll've don't's  \n\n  x 12ab 3½ ä'S", " " * 50, " a" + " " * 9 + "b\t\tc"]
+    assert aligner.ids_a(texts) == [e.ids for e in aligner.a.encode_batch(texts, add_special_tokens=False)]
