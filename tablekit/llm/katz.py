@@ -18,8 +18,10 @@ its tokens.  All tasks hold one block or one partition, whose number follows the
 the input.  Histories with over N / ``HEAVY`` tokens (fewer than ``HEAVY`` exist) are spread
 over all partitions by word, their sums are added up and broadcast.
 
-Words and histories are told apart by 64-bit hashes.  Among n distinct ones about
-n^2 / 2^65 pairs share one and would share a count: none expected up to 10^9 of them.
+Words are told apart by 64-bit hashes: among n distinct ones about n^2 / 2^65 pairs share
+one and would share a count, none expected up to 10^9 of them.  Longer histories are told
+apart exactly, by the numbers that the tables give their n-grams.  What blocks and parts
+send is compressed byte plane by byte plane, sorted numbers as differences.
 
 Defined results for odd input: a null or empty text is the end token alone; rows without
 an id are not held out; repeated rows count as often as they occur; without any training
@@ -51,16 +53,28 @@ BLOCK_BYTES, PART_BYTES = 8 << 20, 8 << 20
 HEAVY = 1024
 #: Local numbers of the start (before the first word) and of the end token.
 START, END = 0, 1
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    """Fixed-width numbers, compressed byte plane by byte plane."""
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def rising(values: np.ndarray) -> bytes:
+    """Sorted numbers as their differences."""
+    return packed(np.diff(values.astype("<u8"), prepend=np.uint64(0)))
+
+
+def risen(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, "<u8"), dtype=np.uint64)
 
 
 def words(text: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
@@ -108,14 +122,6 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(work, f"block long, doc_ids array<{kind}>, held array<boolean>, words binary, tokens binary, n_train long")
 
 
-def start_key(order: int) -> np.uint64:
-    """The key of a history of so many start symbols."""
-    key = np.zeros(1, np.uint64)
-    for _ in range(order):
-        key = mixed(key * _STEP + np.uint64(START))
-    return key[0]
-
-
 @dataclass
 class Level:
     """What is known of the n-grams of one order besides their tables.
@@ -134,7 +140,7 @@ class Level:
     left: np.ndarray | None = None
 
     def part(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        spread = np.where(np.isin(history, self.heavy), history ^ mixed(word), history)
+        spread = np.where(np.isin(history, self.heavy), ~mixed(word), history)
         return (mixed(spread) % np.uint64(self.parts)).astype(np.int32)
 
 
@@ -152,32 +158,31 @@ class Block:
         self.train = np.repeat(~self.held, self.length)
         self.history = np.zeros(len(self.tokens), np.uint64)
 
-    def grams(self, level: Level) -> Grams:
-        out = Grams(self, level)
-        self.history = np.append(np.uint64(0), out.key[:-1])    # for the next order
-        self.history[self.first] = start_key(level.order)
-        return out
+    def advance(self, level: Level, numbers: np.ndarray) -> None:
+        """The next order's histories: the n-gram that ends before each token; 0 at a text's start."""
+        if level.order == 1:
+            self.word = numbers
+        self.history = np.append(np.uint64(0), numbers[:-1])
+        self.history[self.first] = 0
 
 
 class Grams:
-    """The distinct n-grams of a block in the order in which they are sent."""
+    """The distinct n-grams of a block in the order in which they are sent: part, history, word."""
 
     def __init__(self, block: Block, level: Level):
         self.level = level
-        self.key = mixed(block.history * _STEP + block.word)
-        _, first, which = np.unique(self.key, return_index=True, return_inverse=True)
-        part = level.part(block.history[first], block.word[first])
-        order = np.lexsort((block.word[first], block.history[first], part))
-        self.first, self.part = first[order], part[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.which = place[which]                               # each token's n-gram
-        self.history, self.word = block.history[self.first], block.word[self.first]
-        self.count = np.bincount(self.which[block.train], minlength=len(order))
+        part = level.part(block.history, block.word)
+        order = np.lexsort((block.word, block.history, part))
+        differs = lambda x: np.append(True, x[order][1:] != x[order][:-1])
+        run = differs(part) | differs(block.history)
+        new = run | differs(block.word)
+        self.first = order[new]                                 # a token of each n-gram
+        self.which = np.empty(len(order), np.int64)             # each token's n-gram
+        self.which[order] = np.cumsum(new) - 1
+        self.part, self.history, self.word = part[self.first], block.history[self.first], block.word[self.first]
+        self.count = np.bincount(self.which[block.train], minlength=len(self.first))
         # Runs of equal history inside a part.
-        new = np.append(True, (self.history[1:] != self.history[:-1]) | (self.part[1:] != self.part[:-1]))
-        self.run = np.flatnonzero(new)
-        self.run_of = np.cumsum(new) - 1
+        self.run, self.run_of = np.flatnonzero(run[new]), np.cumsum(run[new]) - 1
 
     def messages(self, block: int, lower: np.ndarray | None) -> Iterator[dict]:
         """What the block sends to each part; ``lower`` is the shorter model's probability by token."""
@@ -186,18 +191,19 @@ class Grams:
         cuts = np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1]))
         for a, b in zip(cuts, np.append(cuts[1:], len(self.part))):
             some = slice(*np.searchsorted(self.run, [a, b]))
-            yield {"part": int(self.part[a]), "block": block, "histories": packed(self.history[self.run[some]]),
+            values, index = np.unique(lower[a:b], return_inverse=True)
+            yield {"part": int(self.part[a]), "block": block, "histories": rising(self.history[self.run[some]]),
                    "sizes": packed(sizes[some].astype("<u4")), "words": packed(self.word[a:b]),
-                   "counts": packed(self.count[a:b].astype("<u4")), "lower": packed(lower[a:b])}
+                   "counts": packed(self.count[a:b].astype("<u4")), "values": packed(values), "lower": packed(index.astype("<u4"))}
 
     def probability(self, answers: list[dict], lower: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """(count, probability) by token; ``answers`` in order of their parts."""
         level = self.level
-        count = np.concatenate([unpacked(x["counts"], "<i8") for x in answers])
-        total = np.concatenate([unpacked(x["totals"], "<i8") for x in answers])
-        mass = np.concatenate([unpacked(x["masses"], "<f8") for x in answers])
-        few = np.concatenate([unpacked(x["few"], "<i8") for x in answers]).reshape(-1, CUT)
+        count, total = (np.concatenate([unpacked(x[c], "<i8") for x in answers]) for c in ("counts", "totals"))
+        few = np.concatenate([unpacked(x["few"], "<u4").reshape(CUT, -1).T for x in answers])
         left = few @ ((1 - level.discount[1:]) * np.arange(1, CUT + 1))
+        mass = np.zeros(len(total))
+        mass[_asked(count, total, self.run_of)] = np.concatenate([unpacked(x["masses"], "<f8") for x in answers])
         history = self.history[self.run]
         heavy = np.minimum(np.searchsorted(level.heavy, history), len(level.heavy) - 1)
         spread = level.heavy[heavy] == history
@@ -207,17 +213,33 @@ class Grams:
         over, left = total + whole, np.where(whole, 1.0, left)
         alpha = np.where(total > 0, left / over / (1 - mass), 1.0)
         shorter = np.ones(len(count)) if lower is None else lower[self.first]
-        seen = count * level.discount[np.minimum(count, CUT)] if len(count) else np.zeros(0)
-        seen = np.where(count > CUT, count, seen) / over[self.run_of]
+        seen = np.where(count > CUT, count, count * level.discount[np.minimum(count, CUT)]) / over[self.run_of]
         p = np.where(count > 0, seen, alpha[self.run_of] * shorter)
         return count[self.which], p[self.which]
 
+    def numbers(self, answers: list[dict]) -> np.ndarray:
+        """The number of each token's n-gram in the tables."""
+        rank = np.concatenate([risen(x["ranks"]) for x in answers])
+        return gram_number(rank, self.part.astype(np.uint64), self.level.parts)[self.which]
+
+
+def gram_number(rank: np.ndarray, part, parts: int) -> np.ndarray:
+    """From 1 on; 0 is the history at a text's start."""
+    return rank * np.uint64(parts) + part + np.uint64(1)
+
+
+def _asked(count: np.ndarray, total: np.ndarray, run_of: np.ndarray) -> np.ndarray:
+    """The runs whose history has an unseen word: only they need the shorter model's mass."""
+    unseen = np.zeros(len(total), bool)
+    unseen[run_of[count == 0]] = True
+    return unseen & (total > 0)
+
 
-MESSAGE = "part int, block long, histories binary, sizes binary, words binary, counts binary, lower binary"
+MESSAGE = "part int, block long, histories binary, sizes binary, words binary, counts binary, values binary, lower binary"
 #: Rows of a level: answers (block >= 0), sums of heavy histories (-1), one row of statistics for each part (-2).
-LEVEL = ("block long, part int, counts binary, totals binary, masses binary, few binary, "
+LEVEL = ("block long, part int, counts binary, totals binary, masses binary, few binary, ranks binary, "
          "history long, total long, mass double, numbers array<long>, heavy array<long>")
-ANSWER, HEAVY_ROW, STATISTICS = 0, -1, -2
+HEAVY_ROW, STATISTICS = -1, -2
 
 
 def _rows(rows: list[dict], schema: pa.Schema) -> pa.Table:
@@ -225,30 +247,30 @@ def _rows(rows: list[dict], schema: pa.Schema) -> pa.Table:
 
 
 _MESSAGE = pa.schema([("part", pa.int32()), ("block", pa.int64()),
-                      *((c, pa.binary()) for c in ("histories", "sizes", "words", "counts", "lower"))])
-_LEVEL = pa.schema([("block", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in ("counts", "totals", "masses", "few")),
+                      *((c, pa.binary()) for c in ("histories", "sizes", "words", "counts", "values", "lower"))])
+_LEVEL = pa.schema([("block", pa.int64()), ("part", pa.int32()), *((c, pa.binary()) for c in ("counts", "totals", "masses", "few", "ranks")),
                     ("history", pa.int64()), ("total", pa.int64()), ("mass", pa.float64()),
                     ("numbers", pa.list_(pa.int64())), ("heavy", pa.list_(pa.int64()))])
 
 
-def merged(table: pa.Table, heavy: np.ndarray, bound: float) -> pa.Table:
+def merged(table: pa.Table, level: Level, bound: float, last: bool) -> pa.Table:
     """A part's table from all blocks' messages, and the answer to each of them.
 
     ``bound``: n-grams with more tokens are the heavy histories of the next order.
     """
     got = sorted(table.to_pylist(), key=lambda x: x["block"])
-    histories = [unpacked(x["histories"], "<u8") for x in got]
-    history = np.concatenate([np.repeat(h, unpacked(x["sizes"], "<u4")) for h, x in zip(histories, got)])
-    word, count, lower = (np.concatenate([unpacked(x[c], kind) for x in got])
-                          for c, kind in (("words", "<u8"), ("counts", "<u4"), ("lower", "<f8")))
-    sizes = [0, *np.cumsum([len(unpacked(x["words"], "<u8")) for x in got])]
+    histories, runs = [risen(x["histories"]) for x in got], [unpacked(x["sizes"], "<u4") for x in got]
+    history = np.concatenate([np.repeat(h, n) for h, n in zip(histories, runs)])
+    word, count = (np.concatenate([unpacked(x[c], kind) for x in got]) for c, kind in (("words", "<u8"), ("counts", "<u4")))
+    lower = np.concatenate([unpacked(x["values"], "<f8")[unpacked(x["lower"], "<u4")] for x in got])
+    borders = np.cumsum([0, *(int(n.sum()) for n in runs)])
     order = np.lexsort((word, history))
     new = np.append(True, (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1]))
     start = np.flatnonzero(new)
     gram = np.empty(len(order), np.int64)
     gram[order] = np.cumsum(new) - 1
     count = np.add.reduceat(count[order].astype(np.int64), start)
-    owner, next_word, lower = history[order][start], word[order][start], lower[order][start]
+    owner, lower = history[order][start], lower[order][start]
     every, first, own = np.unique(owner, return_index=True, return_inverse=True)
     seen = count > 0
     total = np.add.reduceat(count, first)
@@ -256,15 +278,17 @@ def merged(table: pa.Table, heavy: np.ndarray, bound: float) -> pa.Table:
     few = np.bincount((own * (CUT + 1) + count)[seen & (count <= CUT)], minlength=len(every) * (CUT + 1))
     few = few.reshape(-1, CUT + 1)[:, 1:]
     part, rows = got[0]["part"], []
-    for x, h, a, b in zip(got, histories, sizes, sizes[1:]):
-        at = np.searchsorted(every, h)
-        rows.append({"block": x["block"], "part": part, "counts": packed(count[gram[a:b]]), "totals": packed(total[at]),
-                     "masses": packed(mass[at]), "few": packed(few[at].astype("<i8"))})
-    for at in np.flatnonzero(np.isin(every, heavy)).tolist():
-        rows.append({"block": HEAVY_ROW, "part": part, "history": int(every[at].astype(np.int64)), "total": int(total[at]),
+    for x, h, n, a, b in zip(got, histories, runs, borders, borders[1:]):
+        at, own_counts = np.searchsorted(every, h), count[gram[a:b]]
+        asked = _asked(own_counts, total[at], np.repeat(np.arange(len(n)), n))
+        rows.append({"block": x["block"], "part": part, "counts": packed(own_counts), "totals": packed(total[at]),
+                     "masses": packed(mass[at][asked]), "few": packed(few[at].T.astype("<u4")),
+                     "ranks": None if last else rising(gram[a:b])})
+    for at in np.flatnonzero(np.isin(every, level.heavy)).tolist():
+        rows.append({"block": HEAVY_ROW, "part": part, "history": int(every[at]), "total": int(total[at]),
                      "mass": float(mass[at]), "numbers": few[at].tolist()})
-    keys = mixed(owner * _STEP + next_word)[count > bound].astype(np.int64)
-    rows.append({"block": STATISTICS, "part": part, "total": int(seen.sum()), "heavy": keys.tolist(),
+    heavy = gram_number(np.flatnonzero(count > bound).astype(np.uint64), np.uint64(part), level.parts)
+    rows.append({"block": STATISTICS, "part": part, "total": int(seen.sum()), "heavy": heavy.astype(np.int64).tolist(),
                  "numbers": np.bincount(count[seen & (count <= CUT + 1)], minlength=CUT + 2)[1:].tolist()})
     return _rows(rows, _LEVEL)
 
@@ -299,7 +323,10 @@ def _evaluated(block: Block, answers: list[dict], levels: list[Level]) -> Iterat
     p = None
     for level in levels:
         own = sorted((x for x in answers if x["level"] == level.order), key=lambda x: x["part"])
-        count, p = block.grams(level).probability(own, p)
+        grams = Grams(block, level)
+        count, p = grams.probability(own, p)
+        if own[0]["ranks"]:
+            block.advance(level, grams.numbers(own))
         yield count, p
 
 
@@ -315,18 +342,17 @@ def train(rows: DataFrame, order: int, text_bytes: int, part_bytes: int, heavy:
         else:
             known = spark.sparkContext.broadcast((list(levels), level))
             sent = _met(rows, tables).applyInArrow(_next_messages(known), MESSAGE)
-        level_table = staging.put(f"level{k}", sent.groupBy("part").applyInArrow(_adder(level.heavy, bound), LEVEL))
+        level_table = staging.put(f"level{k}", sent.groupBy("part").applyInArrow(_adder(level, bound, k == order), LEVEL))
         level = _finished(level, level_table)
         levels.append(level)
         tables.append(level_table.where("block >= 0").withColumn("level", F.lit(k)).select(
-            "block", "level", "part", "counts", "totals", "masses", "few"))
+            "block", "level", "part", "counts", "totals", "masses", "few", "ranks"))
         statistics = level_table.where(F.col("block") == STATISTICS)
         if k == 1:
             vocabulary = statistics.agg(F.sum("total")).first()[0] or 0
         if k < order:   # fewer than ``heavy`` n-grams have so many tokens
             keys = [r[0] for r in statistics.select(F.explode("heavy")).collect()]
-            keys = np.append(np.array(keys, np.int64).view(np.uint64), start_key(k))
-            level = Level(k + 1, parts, np.unique(keys))
+            level = Level(k + 1, parts, np.unique(np.array([0, *keys], np.uint64)))
     answers = tables[0]
     for more_rows in tables[1:]:
         answers = answers.unionAll(more_rows)
@@ -338,7 +364,7 @@ def _first_messages(level: Level):
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                yield from _rows(list(block.grams(level).messages(block.number, None)), _MESSAGE).to_batches()
+                yield from _rows(list(Grams(block, level).messages(block.number, None)), _MESSAGE).to_batches()
     return work
 
 
@@ -347,12 +373,12 @@ def _next_messages(known):
         levels, level = known.value
         block = Block(left.to_pylist()[0])
         *_, (_, p) = _evaluated(block, right.to_pylist(), levels)
-        return _rows(list(block.grams(level).messages(block.number, p)), _MESSAGE)
+        return _rows(list(Grams(block, level).messages(block.number, p)), _MESSAGE)
     return work
 
 
-def _adder(heavy: np.ndarray, bound: float):
-    return lambda messages: merged(messages, heavy, bound)
+def _adder(level: Level, bound: float, last: bool):
+    return lambda messages: merged(messages, level, bound, last)
 
 
 def _met(rows: DataFrame, tables: list[DataFrame]):
@@ -374,9 +400,9 @@ def _finished(level: Level, table: DataFrame) -> Level:
         return F.aggregate("parts", F.lit(0).cast(kind), lambda total, part: total + value(part))
 
     few = [added("long", lambda x, r=r: x["numbers"][r]).alias(f"n{r}") for r in range(CUT)]
-    found = {np.uint64(r[0] & (1 << 64) - 1): r[1:] for r in by_part.select(
+    found = {r[0]: r[1:] for r in by_part.select(
         "history", added("long", lambda x: x["total"]), added("double", lambda x: x["mass"]), *few).collect()}
-    values = [found.get(h, (0, 0.0, *[0] * CUT)) for h in level.heavy]
+    values = [found.get(h, (0, 0.0, *[0] * CUT)) for h in level.heavy.tolist()]
     level.totals, level.lower = (np.array([v[i] for v in values], kind) for i, kind in ((0, np.int64), (1, float)))
     level.left = np.array([v[2:] for v in values]) @ ((1 - level.discount[1:]) * np.arange(1, CUT + 1))
     return level
