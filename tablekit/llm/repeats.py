@@ -11,6 +11,10 @@ Copies of a passage are one class however many they are, so the window-by-window
 work follows the number of different contents, not of copies.  Counts are aggregates
 (combined before the shuffle) that are joined back, so no group is gathered.
 
+Rolling hashes only pick anchors.  Whether contents or windows are equal is decided by a
+cryptographic 128-bit hash of the bytes they cover (for words: of the words joined by
+blanks), so text that differs is not taken for a repeat, whoever wrote it.
+
 A document's rows are told apart by id and the hash of the text (``ver``).
 """
 
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from itertools import accumulate
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tablekit.llm import sketch
 from tablekit.llm.common import binary, concatenated, slices
-from tablekit.llm.windows import BASES, Families, Powers, Rolling, families, mixed
+from tablekit.llm.windows import BASE, Families, Powers, Rolling, families, mixed
 
 #: Words whose hashes a task remembers.
 REMEMBERED = 150_000
@@ -64,24 +69,47 @@ class Reader:
     """Turns text columns into symbols; one for each task."""
 
     def __init__(self, plan: Plan):
-        self.plan, self.words, self.powers = plan, WordHashes(), [Powers(b) for b in BASES]
+        self.plan, self.words, self.powers = plan, WordHashes(), Powers(BASE)
         # Bytes need symbols with all 64 bits in use; any fixed scrambling will do.
         self.table = mixed(np.arange(1, 257, dtype=np.uint64))
 
-    def symbols(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def symbols(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, Spelling]:
+        """The symbols of all rows, the row borders, and the symbols' bytes."""
         if not self.plan.of_words:
             data, borders = concatenated(column)
-            return self.table[data], borders
+            return self.table[data], borders, Spelling(data.tobytes(), None)
         texts = [x.split() for x in column.to_pylist()]
         borders = np.array([0, *accumulate(map(len, texts))], np.int64)
-        return np.fromiter(map(self.words.__getitem__, (w for t in texts for w in t)), np.uint64, int(borders[-1])), borders
+        words = [w for t in texts for w in t]
+        symbols = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        return symbols, borders, Spelling(b" ".join(words), np.array([0, *accumulate(len(w) + 1 for w in words)], np.int64))
+
+    def families(self, column: pa.Array) -> tuple[Spelling, np.ndarray, Families, np.ndarray]:
+        """The symbols' bytes, row borders, families and each family's row."""
+        symbols, borders, spelling = self.symbols(column)
+        found = families(Rolling(symbols, self.powers), borders, self.plan.length, self.plan.gram)
+        return spelling, borders, found, np.searchsorted(borders, found.low, "right") - 1
+
+
+@dataclass(frozen=True)
+class Spelling:
+    """The bytes of a run of symbols; ``starts`` of the words, None if symbols are bytes."""
 
-    def families(self, column: pa.Array) -> tuple[Rolling, np.ndarray, Families, np.ndarray]:
-        """The rolling hash, row borders, families and each family's row."""
-        symbols, borders = self.symbols(column)
-        roll = Rolling(symbols, self.powers[0])
-        found = families(roll, borders, self.plan.length, self.plan.gram)
-        return roll, borders, found, np.searchsorted(borders, found.low, "right") - 1
+    data: bytes
+    starts: np.ndarray | None
+
+    def cut(self, start: np.ndarray, stop: np.ndarray) -> Iterator[bytes]:
+        """The bytes from one symbol to another."""
+        if self.starts is not None:
+            start, stop = self.starts[start], self.starts[stop] - 1
+        data = self.data
+        return (data[a:b] for a, b in zip(start.tolist(), stop.tolist()))
+
+    def digests(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The 128-bit hash of the bytes from one symbol to another, as two 64-bit numbers."""
+        both = b"".join(blake2b(x, digest_size=16).digest() for x in self.cut(start, stop))
+        both = np.frombuffer(both, "<u8").reshape(-1, 2)
+        return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
 def versions(column: pa.Array) -> np.ndarray:
@@ -101,10 +129,10 @@ def estimated(docs: DataFrame, plan: Plan) -> sketch.Repeated:
 
 
 def candidate_families(docs: DataFrame, plan: Plan, repeated: sketch.Repeated) -> DataFrame:
-    """(doc_id, ver, place, low, high, core, content): families whose anchor is estimated repeated.
+    """(doc_id, ver, place, low, high, core, content, content2): families whose anchor is estimated repeated.
 
     ``low`` and ``high`` are the first and last window start in the document; ``content``
-    hashes all symbols that the windows cover.
+    and ``content2`` are the hash of all that the windows cover.
     """
     held = docs.sparkSession.sparkContext.broadcast(repeated)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -113,34 +141,41 @@ def candidate_families(docs: DataFrame, plan: Plan, repeated: sketch.Repeated) -
         reader = Reader(plan)
         for part in slices(batches, "text", plan.slice_bytes):
             column = binary(part.column("text"))
-            roll, borders, found, row = reader.families(column)
+            spelling, borders, found, row = reader.families(column)
             some = held.value(found.core)
             found, row = found[some], row[some]
+            content = spelling.digests(found.low, found.high + plan.length)
             ver = versions(column)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").take(pa.array(row)), pa.array(ver[row].view(np.int64)),
                  pa.array(documents(part.column("doc_id"), ver)[row].view(np.int64)),
                  pa.array((found.low - borders[row]).astype(np.int32)),
                  pa.array((found.high - borders[row]).astype(np.int32)), pa.array(found.core.view(np.int64)),
-                 pa.array(roll(found.low, found.high + plan.length).view(np.int64))],
-                ["doc_id", "ver", "place", "low", "high", "core", "content"])
+                 *(pa.array(x.view(np.int64)) for x in content)],
+                ["doc_id", "ver", "place", "low", "high", "core", "content", "content2"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, f"doc_id {kind}, ver long, place long, low int, high int, core long, content long")
+        work, f"doc_id {kind}, ver long, place long, low int, high int, core long, content long, content2 long")
 
 
 def classes(fams: DataFrame) -> DataFrame:
-    """(core, content, n, first, place, variants): families by content.
+    """(core, content, content2, n, first, place, variants): families by content.
 
     ``n`` counts them, ``first`` is the smallest doc_id, ``place`` names one document that
     has it, ``variants`` is the number of contents around the same anchor.
     """
-    by_content = fams.groupBy("core", "content").agg(
+    by_content = fams.groupBy("core", "content", "content2").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first"), F.min("place").alias("place"))
     variants = by_content.groupBy("core").agg(F.count("*").alias("variants"))
     return by_content.join(variants, "core")
 
 
+def same_content(fams: DataFrame, some: DataFrame, *columns: str) -> DataFrame:
+    """The families whose content is in ``some``, with ``columns`` of it."""
+    key = ["core", "content", "content2"]
+    return fams.join(some.select(*key, *columns), key)
+
+
 def documents(doc_id: pa.Array, ver: np.ndarray) -> np.ndarray:
     """A hash of each row's id and text."""
     if not pa.types.is_integer(doc_id.type):
@@ -178,12 +213,13 @@ def looked_at(docs: DataFrame, plan: Plan, places: sketch.Repeated, owner: str,
         reader = Reader(plan)
         for part in slices(batches, "text", plan.slice_bytes):
             column = binary(part.column("text"))
-            roll, borders, found, row = reader.families(column)
+            spelling, borders, found, row = reader.families(column)
             ver = versions(column)
+            content = spelling.digests(found.low, found.high + plan.length)
             owners = documents(part.column("doc_id"), ver) if owner == "place" else part.column("doc_id").cast(pa.int64()).to_numpy(
                 zero_copy_only=False).astype(np.int64).view(np.uint64)
-            some = held.value(place_key(owners[row], roll(found.low, found.high + plan.length)))
-            yield rows_of(reader, part, column, roll, borders, found[some], row[some], ver)
+            some = held.value(place_key(owners[row], content[0]))
+            yield rows_of(part, spelling, borders, found[some], row[some], ver, tuple(x[some] for x in content))
 
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
@@ -192,15 +228,15 @@ def windows_at(docs: DataFrame, plan: Plan, places: sketch.Repeated, owner: str)
     """(doc_id, ver, at, a, b): each window of the families in ``places`` with its 128-bit hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def rows_of(reader, part, column, roll, borders, found, row, ver):
+    def rows_of(part, spelling, borders, found, row, ver, content):
         count = found.high - found.low + 1
         at = np.repeat(found.low - (np.cumsum(count) - count), count) + np.arange(count.sum())
         row = np.repeat(row, count)
-        second = Rolling(reader.symbols(column)[0], reader.powers[1])
+        a, b = spelling.digests(at, at + plan.length)
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id").take(pa.array(row)), pa.array(ver[row].view(np.int64)),
              pa.array((at - borders[row]).astype(np.int32)),
-             pa.array(roll(at, at + plan.length).view(np.int64)), pa.array(second(at, at + plan.length).view(np.int64))],
+             pa.array(a.view(np.int64)), pa.array(b.view(np.int64))],
             ["doc_id", "ver", "at", "a", "b"])
 
     return looked_at(docs, plan, places, owner, f"doc_id {kind}, ver long, at int, a long, b long", rows_of)

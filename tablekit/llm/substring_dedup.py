@@ -3,8 +3,9 @@
 A word goes if a window of 50 words that covers it also starts in a document with a
 smaller id.  Every partition sketches its windows (by their families' anchors, see
 ``windows``); the merged count-min sketch overestimates how often each occurs.  A
-second pass groups exactly the windows estimated as repeated, whole families first,
-single windows where contents differ; so none is lost and none is removed wrongly.
+second pass groups the windows estimated as repeated by a cryptographic hash of their
+words, whole families first, single windows where contents differ; so none is lost, and
+none is removed whose words differ.
 
 Defined results for odd input: a null text has no words; a document without an id is
 neither removed from nor a source (no id is smaller); rows with the same id are not
@@ -31,9 +32,7 @@ def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
     known = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     fams = staging.put("families", repeats.candidate_families(known, plan, repeats.estimated(known, plan)))
     found = staging.put("classes", repeats.classes(fams))
-    firsts = found.select(F.col("core").alias("c"), F.col("content").alias("t"), "first")
-    whole = fams.join(firsts, (F.col("core") == F.col("c")) & (F.col("content") == F.col("t")) & (
-        F.col("doc_id") > F.col("first"))).select(
+    whole = repeats.same_content(fams, found, "first").where("doc_id > first").select(
         "doc_id", "ver", F.col("low").alias("start"), (F.col("high") + window).alias("stop"))
     several = found.where("variants > 1")
     places = repeats.open_places(several, "first", several.count())

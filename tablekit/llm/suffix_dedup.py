@@ -1,21 +1,20 @@
-"""Removing repeated byte strings by merging Burrows-Wheeler transforms.
+"""Removing repeated byte strings by refining the order of suffixes.
 
 A byte goes if a string of 200 bytes that covers it also starts anywhere else.
 
-``repeats`` settles what repeats as a whole and leaves, for each anchor that occurs
-in different contents, one copy of each content.  Those go to buckets by anchor
-(equal strings have equal anchors), and in a bucket each block of strings is a
-shard with its own transform: its suffixes in order of their first symbol, and for
-each suffix the symbol before it (``Shard``; a symbol is ``STEP`` bytes, so that
-200 bytes are 25 symbols).  ``interleave`` merges the shards by interleave
-refinement: from the order of all suffixes by their first h symbols, a stable
-distribution by the symbol before each of them gives the order by h + 1 symbols.
-No suffixes are compared.  Where neighbours first fall into different blocks is
-their common prefix; a block with one suffix is finished and leaves the
-refinement; a block that lasts 25 rounds is a repeated interval.
+``repeats`` settles what repeats as a whole and leaves, for each anchor that occurs in
+different contents, every content once.  Those go to buckets by anchor (equal strings
+have equal anchors), and in a bucket the suffixes of all contents are put into blocks by
+their first 8 bytes, then 16, 32, 64, 128 and 200: a block by 2h bytes is a block by h
+bytes whose suffixes also share the block h bytes on, so no suffixes are compared.  A
+block with one suffix is finished and leaves; one that lasts to 200 bytes is a repeated
+interval.
+
+No Burrows-Wheeler transform is kept per shard and merged, the method this operator is
+named after; the README says why, with figures.
 
 An anchor with very many different contents (``HOT`` or more) would make one large
-bucket; its windows are counted exactly by a 128-bit hash instead, as aggregates.
+bucket; its windows are counted by the hash of their bytes instead, as aggregates.
 
 Defined results for odd input: a null text has no bytes; rows without an id, with
 the same id or the same text are all occurrences of their own; texts under 200
@@ -25,7 +24,6 @@ bytes stay; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,109 +31,86 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm import repeats
-from tablekit.llm.common import Staging, binary, concatenated, slices
+from tablekit.llm.common import Staging, binary, slices
 
-#: Bytes in a window, in an anchor gram and in a symbol of the transform.
+#: Bytes in a window, in an anchor gram, and by which suffixes are first put into blocks.
 WINDOW, GRAM, STEP = 200, 48, 8
 #: Contents in a bucket; contents of one anchor from which its windows are counted by hash.
 BUCKET, HOT = 3000, 20_000
-#: Strings in a shard.
-SHARD = 500
-
 
-@dataclass
-class Shard:
-    """The transform of some strings: suffix places by first symbol, and the strings' bytes."""
 
-    data: np.ndarray
-    borders: np.ndarray
-
-    @staticmethod
-    def of(strings: list[bytes]) -> Shard:
-        return Shard(np.frombuffer(b"".join(strings), np.uint8), np.cumsum([0, *map(len, strings)]))
+def first_symbols(data: np.ndarray) -> np.ndarray:
+    """The STEP bytes that start at each place as one number, first byte highest."""
+    n = max(0, len(data) - STEP + 1)
+    out = np.zeros(len(data), np.uint64)
+    for k in range(STEP):
+        out[:n] = (out[:n] << np.uint64(8)) | data[k:k + n]
+    return out
 
-    def symbols(self) -> np.ndarray:
-        """The symbol that starts at each place: STEP bytes, first byte highest."""
-        n = max(0, len(self.data) - STEP + 1)
-        out = np.zeros(len(self.data), np.uint64)
-        for k in range(STEP):
-            out[:n] = (out[:n] << np.uint64(8)) | self.data[k:k + n]
-        return out
 
-    def suffixes(self) -> np.ndarray:
-        """Places with a whole symbol left in their string."""
-        room = np.repeat(self.borders[1:], np.diff(self.borders)) - np.arange(len(self.data))
-        return np.flatnonzero(room >= STEP)
+def blocks_of_several(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, block): the keys that occur more than once, by key, and their blocks from 1 on."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    shared = ~(new & np.append(new[1:], True)) if len(keys) else new
+    return order[shared], np.cumsum(new & shared)[shared]
 
 
-def interleave(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, blocks, prefix) of all shards, one after the other.
+def refine(data: np.ndarray, borders: np.ndarray, window: int) -> np.ndarray:
+    """The places whose next ``window`` bytes, inside one string, also start at another place.
 
-    ``places`` are the suffixes that share their first ``rounds`` symbols with another
-    one, in merged order, with their ``blocks``; ``prefix`` gives for each place how
-    many symbols it has in common with some other suffix (at most ``rounds``).
+    ``borders`` (n + 1 places) cut the strings.  ``block`` holds each place's block by the
+    bytes seen so far, 0 once it is alone or has too few bytes left.
     """
-    offset = np.cumsum([0, *(len(s.data) for s in shards)])
-    # Places that have a whole symbol in front of them in their string.
-    led = np.concatenate([np.arange(len(s.data)) - np.repeat(s.borders[:-1], np.diff(s.borders)) >= STEP for s in shards])
-    # A shared alphabet: symbols by their rank.
-    rank = np.unique(np.concatenate([s.symbols() for s in shards]), return_inverse=True)[1].astype(np.uint32)
-    prefix = np.zeros(len(led), np.int16)
-    # Round one: the shards' own suffixes, distributed stably by their first symbol.
-    places = np.concatenate([s.suffixes() + o for s, o in zip(shards, offset)]).astype(np.int32)
-    blocks = np.zeros(len(places), np.int32)
-    for h in range(1, rounds + 1):
-        if h > 1:                              # the suffixes with one symbol more in front
-            inside = led[places]
-            places, blocks = places[inside] - np.int32(STEP), blocks[inside]
-        if not len(places):
-            break
-        # Symbol above, present place in the order below: one sort of unique keys is the
-        # stable distribution by symbol.
-        bits = np.uint64(len(places).bit_length())
-        keys = (rank[places].astype(np.uint64) << bits) | np.arange(len(places), dtype=np.uint64)
-        keys.sort()
-        order, symbol = keys & ((np.uint64(1) << bits) - np.uint64(1)), (keys >> bits).astype(np.uint32)
-        places, blocks = places[order], blocks[order]
-        new = np.ones(len(places) + 1, bool)   # borders between blocks
-        new[1:-1] = (symbol[1:] != symbol[:-1]) | (blocks[1:] != blocks[:-1])
-        shared = ~(new[:-1] & new[1:])         # not alone in its block
-        blocks = np.cumsum(new[:-1], dtype=np.int32)[shared]
-        places = places[shared]
-        prefix[places] = h
-    return places, blocks, prefix
+    room = np.repeat(borders[1:], np.diff(borders)) - np.arange(len(data))
+    places = np.flatnonzero(room >= STEP)
+    which, found = blocks_of_several(first_symbols(data)[places])
+    seen = STEP
+    while True:
+        block = np.zeros(len(data) + window, np.int64)
+        block[places[which]] = found
+        if seen == window:
+            return np.sort(places[which])
+        step = min(seen, window - seen)
+        places = np.sort(places[which])
+        # In a block with others now and ``step`` bytes on, and enough bytes left for that.
+        places = places[(block[places + step] > 0) & (room[places] >= seen + step)]
+        which, found = blocks_of_several(block[places] << 32 | block[places + step])
+        seen += step
 
 
 def repeated_starts(strings: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
     """For each string, the starts of its windows that occur at another place of any string."""
-    rounds = window // STEP
-    shards = [Shard.of(strings[i:i + SHARD]) for i in range(0, len(strings), SHARD)]
-    places = np.sort(interleave(shards, rounds)[0])
     borders = np.cumsum([0, *map(len, strings)])
+    places = refine(np.frombuffer(b"".join(strings), np.uint8), borders, window)
     cut = np.searchsorted(places, borders)
     return [places[a:b] - o for a, b, o in zip(cut, cut[1:], borders)]
 
 
 def contents_at(docs: DataFrame, plan: repeats.Plan, places, n_buckets: int) -> DataFrame:
-    """(bucket, doc_id, ver, low, content): the bytes that the families in ``places`` cover."""
+    """(bucket, doc_id, ver, low, bytes): what the families in ``places`` cover, each content once."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def rows_of(reader, part, column, roll, borders, found, row, ver):
-        data = concatenated(column)[0].tobytes()
+    def rows_of(part, spelling, borders, found, row, ver, content):
         return pa.RecordBatch.from_arrays(
-            [pa.array((found.core % np.uint64(n_buckets)).astype(np.int32)), part.column("doc_id").take(pa.array(row)),
-             pa.array(ver[row].view(np.int64)), pa.array((found.low - borders[row]).astype(np.int32)),
-             pa.array([data[a:b + plan.length] for a, b in zip(found.low.tolist(), found.high.tolist())], pa.binary())],
-            ["bucket", "doc_id", "ver", "low", "content"])
+            [pa.array((found.core % np.uint64(n_buckets)).astype(np.int32)), *(pa.array(x.view(np.int64)) for x in (found.core, *content)),
+             part.column("doc_id").take(pa.array(row)), pa.array(ver[row].view(np.int64)),
+             pa.array((found.low - borders[row]).astype(np.int32)),
+             pa.array(list(spelling.cut(found.low, found.high + plan.length)), pa.binary())],
+            ["bucket", "core", "content", "content2", "doc_id", "ver", "low", "bytes"])
 
-    return repeats.looked_at(docs, plan, places, "place",
-                             f"bucket int, doc_id {kind}, ver long, low int, content binary", rows_of)
+    rows = repeats.looked_at(docs, plan, places, "place", "bucket int, core long, content long, content2 long, "
+                             f"doc_id {kind}, ver long, low int, bytes binary", rows_of)
+    # Rows with one id and text are one place: their contents would come once for each row.
+    one = rows.groupBy("core", "content", "content2").agg(F.any_value(F.struct("bucket", "doc_id", "ver", "low", "bytes")).alias("one"))
+    return one.select("one.*")
 
 
 def _bucket_runs(window: int):
     """Runs of repeated windows of a bucket's contents."""
     def work(table: pa.Table) -> pa.Table:
-        contents = table.column("content").to_pylist()
+        contents = table.column("bytes").to_pylist()
         row, start, stop = [], [], []
         for k, (at, low) in enumerate(zip(repeated_starts(contents, window), table.column("low").to_pylist())):
             if len(at):
@@ -152,15 +127,14 @@ def _bucket_runs(window: int):
 def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT,
                  bucket: int = BUCKET) -> DataFrame:
     """(doc_id, ver, runs): the byte runs to remove, by document."""
-    if window % STEP:
-        raise ValueError(f"the window must be a multiple of {STEP} bytes")
+    if window < STEP:
+        raise ValueError(f"the window must be at least {STEP} bytes")
     plan, staging = repeats.Plan(window, gram, of_words=False), Staging(docs.sparkSession, "suffix-dedup")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ver long, start int, stop int"
     fams = staging.put("families", repeats.candidate_families(docs, plan, repeats.estimated(docs, plan)))
     found = staging.put("classes", repeats.classes(fams))
-    several = found.where("n > 1").select(F.col("core").alias("c"), F.col("content").alias("t"))
-    whole = fams.join(several, (F.col("core") == F.col("c")) & (F.col("content") == F.col("t"))).select(
+    whole = repeats.same_content(fams, found.where("n > 1")).select(
         "doc_id", "ver", F.col("low").alias("start"), (F.col("high") + window).alias("stop"))
     runs = [whole]
     # Contents that occur once have to be compared with the others around the same anchor.

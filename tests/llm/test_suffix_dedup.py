@@ -58,26 +58,40 @@ def test_against_brute_force(spark, hot):
     assert sum(r[2] > 0 for r in got) > 20
 
 
-def test_interleave_gives_common_prefixes():
-    rng = random.Random(2)
-    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(40)] + [b"abab" * 20] * 2
-    shards = [D.Shard.of(strings[i:i + 7]) for i in range(0, len(strings), 7)]
-    places, blocks, prefix = D.interleave(shards, 5)
-    data, borders = b"".join(strings), np.cumsum([0, *map(len, strings)])
-    ends = np.repeat(borders[1:], np.diff(borders))
-    for h in range(1, 6):
-        grams = {p: data[p:p + 8 * h] for p in range(len(data)) if p + 8 * h <= ends[p]}
-        count = Counter(grams.values())
-        assert {p for p in range(len(data)) if prefix[p] >= h} == {p for p, g in grams.items() if count[g] > 1}
-    texts = [data[p:p + 40] for p in places]
-    assert texts == sorted(texts) and len(set(texts)) == len(set(blocks.tolist()))
+@pytest.mark.parametrize("window", [8, 9, 16, 40, 50])
+def test_refined_blocks_are_the_repeated_windows(window):
+    rng = random.Random(window)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 60))) for _ in range(40)] + [b"abab" * 20] * 2 + [b""]
+    count = Counter(s[p:p + window] for s in strings for p in range(len(s) - window + 1))
+    want = [[p for p in range(len(s) - window + 1) if count[s[p:p + window]] > 1] for s in strings]
+    assert [x.tolist() for x in D.repeated_starts(strings, window)] == want
+
+
+def test_texts_that_share_rolling_hashes_stay(spark):
+    """Blocks in Thue-Morse order of two strings and of the strings swapped have equal polynomial hashes."""
+    turns = [bin(k).count("1") % 2 for k in range(32)]
+    shared = "".join(random.Random(0).choice("abcdefgh ") for _ in range(72))
+    texts = [shared + "".join(("n0za", "2ard")[t ^ flip] for t in turns) for flip in (0, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for hot in (D.HOT, 2):
+        assert [r.n_removed for r in D.remove_repeats(df, hot=hot).collect()] == [0, 0]
+
+
+def test_copies_without_an_id_are_compared_once(spark):
+    """Rows with one id and text reach a bucket as one content, however many they are."""
+    base = "".join(random.Random(5).choice("abcdefgh ") for _ in range(400))
+    docs = [(None, base)] * 60 + [(1, base[:200] + "#" + base[201:]), (2, "%" + base[1:250])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = D.remove_repeats(df).collect()
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in rows), key=repr)
+    assert got == brute(docs)
 
 
 def test_empty_and_wrong_settings(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert D.digests(df).count() == 0
-    with pytest.raises(ValueError, match="multiple"):
-        D.remove_repeats(df, window=201)
+    with pytest.raises(ValueError, match="at least"):
+        D.remove_repeats(df, window=7)
 
 
 def test_table_against_brute_force(spark):
