@@ -16,10 +16,13 @@ further columns are ignored; a text of any length is scanned whole.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -88,34 +91,61 @@ def places(text: bytes, needle: bytes) -> Iterator[int]:
 
 
 def candidates(text: bytes, notice: Notice) -> list[tuple[int, int]]:
-    """Merged windows of ``text`` that contain every match of the notice."""
+    """Windows of ``text``, each as long as a match at most, one of which contains every match of the notice."""
     words, k = notice.words.encode(), notice.edits
-    found = sorted(
-        (max(0, at - offset - k), min(len(text), at - offset + len(words) + k))
-        for offset, piece in pieces(words, k) for at in places(text, piece))
-    merged: list[tuple[int, int]] = []
-    for a, b in found:
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return merged
+    return sorted({(max(0, at - offset - k), min(len(text), at - offset + len(words) + k))
+                   for offset, piece in pieces(words, k) for at in places(text, piece)})
+
+
+class Taken:
+    """Spans that do not overlap, in order."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def add(self, start: int, end: int) -> None:
+        at = bisect_right(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+    def free(self, start: int, end: int) -> list[tuple[int, int]]:
+        """What is left of a window."""
+        at, out = bisect_right(self.ends, start), []
+        while at < len(self.starts) and self.starts[at] < end:
+            if start < self.starts[at]:
+                out.append((start, self.starts[at]))
+            start = max(start, self.ends[at])
+            at += 1
+        return out + [(start, end)] if start < end else out
 
 
 def fuzzy_matches(text: bytes, notices: Sequence[Notice]) -> list[tuple[int, int, int, Notice]]:
     """(start, end, edits, notice) of the verified matches, by notice and position.
 
-    In a window the best match is taken first; the text left and right of it is
-    searched again, so matches of one notice never overlap.
+    The match with the fewest edits of all windows is taken first (the leftmost of several);
+    windows that it overlaps are searched again in what is left of them, so matches of one
+    notice never overlap.  A window is no longer than a match and is cut by the few matches
+    around it only, so the cost follows the number of windows, however dense they are.
     """
     out = []
     for notice in notices:
-        pattern, todo = fuzzy(notice.words, notice.edits), candidates(text, notice)
-        while todo:
-            a, b = todo.pop()
-            if m := pattern.search(text, a, b):
-                out.append((m.start(), m.end(), sum(m.fuzzy_counts), notice))
-                todo += [(a, m.start()), (m.end(), b)]
+        pattern, heap, taken = fuzzy(notice.words, notice.edits), [], Taken()
+
+        def search(a: int, b: int) -> None:
+            if b - a >= len(notice.words.encode()) - notice.edits and (m := pattern.search(text, a, b)):
+                heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), a, b))
+
+        for a, b in candidates(text, notice):
+            search(a, b)
+        while heap:
+            edits, start, end, a, b = heappop(heap)
+            left = taken.free(a, b)
+            if any(x <= start and end <= y for x, y in left):
+                taken.add(start, end)
+                out.append((start, end, edits, notice))
+                left = taken.free(a, b)
+            for x, y in left:
+                search(x, y)
     return out
 
 
@@ -128,14 +158,15 @@ def scan(text: bytes, notices: Sequence[Notice] = NOTICES,
         if found := list(places(canon, b" %s " % phrase.encode())):
             base.add(label)
             at_bytes += found
-    spans, best = [], 1.0 if base else 0.0
-    for start, end, edits, notice in fuzzy_matches(canon, notices):
+    spans, best, matches = [], 1.0 if base else 0.0, fuzzy_matches(canon, notices)
+    blanks = np.flatnonzero(np.frombuffer(canon, np.uint8) == 32) if matches else None
+    for start, end, edits, notice in matches:
         labels.add(notice.label)
         best = max(best, 1.0 - edits / len(notice.words))
         body = canon[start:end]
         lead, tail = start + len(body) - len(body.lstrip()), end - len(body) + len(body.rstrip())
-        spans.append((notice.label, canon.count(b" ", 0, lead + 1) - 1,
-                      canon.count(b" ", 0, tail) - 1, edits))
+        first, last = np.searchsorted(blanks, [lead + 1, tail]) - 1
+        spans.append((notice.label, int(first), int(last), edits))
     spans.sort()
     at = [canon.count(b" ", 0, x) for x in (min(at_bytes), max(at_bytes))] if at_bytes else [None, None]
     return (n_words, len(at_bytes), *at, ",".join(sorted(base)), ",".join(sorted(base | labels)), best,

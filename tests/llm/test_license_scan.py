@@ -82,6 +82,19 @@ def test_pigeonhole_finds_all_that_a_full_search_finds():
         assert bool(L.fuzzy_matches(text, [notice])) == want
 
 
+def test_dense_near_copies_are_all_found():
+    spans = L.scan(b"Released under the mxt license! " * 400)[-1]
+    assert [(s["first_word"], s["last_word"], s["edits"]) for s in spans] == [(5 * k, 5 * k + 4, 1) for k in range(400)]
+
+
+def test_best_matches_come_first():
+    notice = L.Notice("x", "abcdefgh ijkl", 2)
+    text = b" abcdefgh ijklabcdeXgh ijkl abcdefgh iXXl "
+    found = L.fuzzy_matches(text, [notice])
+    assert [(s, text[s:e], k) for s, e, k, _ in sorted(found)] == [
+        (1, b"abcdefgh ijkl", 0), (14, b"abcdeXgh ijkl", 1), (28, b"abcdefgh iXXl", 2)]
+
+
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
