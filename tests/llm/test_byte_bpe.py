@@ -62,6 +62,27 @@ def test_vocabulary_without_all_bytes_is_refused():
         B.Vocabulary.of({b"a": 0}, ".")
 
 
+def test_vocabulary_with_gaps():
+    ranks = {bytes([b]): 2 * b for b in range(256)} | {b"ab": 700, b"abc": 900, b"bc": 901}
+    own = B.Vocabulary.of(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("gaps", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=ranks)
+    codec = B.Codec(own)
+    for text in ("abc ab xbc aabcc", "", "\x00ab"):
+        ids = codec.encode(text)
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode_ordinary(text)
+        assert codec.decode(ids) == text.encode()
+    with pytest.raises(ValueError, match="different"):
+        B.Vocabulary.of(ranks | {b"zz": 700}, ".")
+
+
+def test_both_engines_cut_alike(vocabulary):
+    codec, rng = B.Codec(vocabulary), random.Random(8)
+    assert codec.plain_pieces and B.plain_pattern(r"\p{Lu}+") is None
+    for _ in range(2000):
+        text = "".join(rng.choice("aZé½²ªß'sl 12\n\t\r-_]^\\#×") for _ in range(rng.randint(0, 40)))
+        assert codec.plain_pieces(text) == codec.pieces(text)
+
+
 def test_table_equals_the_library(spark, vocabulary, library):
     docs = table(spark, SF_SMALL, "documents")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
