@@ -132,12 +132,22 @@ def base_failed(m: Column) -> Column:
 
 
 def labelled_measures(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(bad, held, m.<measures>) of labelled documents that pass the base test."""
+    """(bad, held, m.<measures>) of labelled texts that pass the base test.
+
+    At most ``max_labelled`` rows: a text under an id counts once, however often it occurs.
+    """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
              .groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("label_id"), "label_id").limit(max_labelled))
     # At most max_labelled pairs of numbers, so the broadcast is bounded.
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("label_id")).select(
+        "label_id", "quality", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash"))
+    # One row for each text under an id, and at most max_labelled of them by hash: an id
+    # that very many rows share brings in no more.
+    place = F.xxhash64("label_id", "hash")
+    some = rows.select("label_id", "hash").distinct().orderBy(place, "label_id", "hash").limit(max_labelled)
+    rows = rows.join(F.broadcast(some), ["label_id", "hash"]).groupBy("label_id", "hash").agg(
+        F.first("quality").alias("quality"), F.first("text").alias("text"))
     rows = measured(rows.select("label_id", "quality", "text"), into="m")
     return rows.where(~base_failed(F.col("m"))).select(
         (F.col("quality") == 0).alias("bad"),

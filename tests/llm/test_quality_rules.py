@@ -78,3 +78,13 @@ def test_rare_junk_with_few_symbols_is_split_off(spark):
     docs = spark.createDataFrame([(i, text(i)) for i in range(2100)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 70 > 0)) for i in range(2100)], "doc_id long, quality int")
     assert all(r.kept == (r.doc_id % 70 != 0) for r in Q.score_quality(docs, labels).collect())
+
+
+def test_bound_holds_for_rows(spark):
+    """An id with very many texts brings in no more rows than allowed, and copies count once."""
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda {}"
+    docs = spark.createDataFrame([(1, text.format(i)) for i in range(300)] + [(2, text.format("x"))] * 50,
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    assert Q.labelled_measures(docs, labels, max_labelled=20).count() <= 20
+    assert Q.labelled_measures(docs, labels).count() == 301
