@@ -3,9 +3,12 @@
 Every task takes its documents as shards of bounded bytes and builds a suffix
 array of each shard's words: the positions sorted by the next ``WINDOW`` words.
 The test suffixes (all windows of all benchmark items) are found in it by binary
-search; each interval gives all locations, and matches are extended word by word
-to their full length.  Words that no item has break the shard: a suffix that
-cannot hold a whole test window is not sorted.
+search; each interval gives all locations.  Test windows of equal words are one
+window with one set of items, so a phrase that many items and many documents share
+costs one search and one set.  Among the test suffixes of a window, which are kept
+in order of all their words, the longest match with a place is one of the two
+neighbours of the place's own suffix.  Words that no item has break the shard: a
+suffix that cannot hold a whole test window is not sorted.
 
 The benchmark is broadcast in blocks of at most ``BLOCK_WORDS`` words, each one a
 pass over the documents; what a pass found is kept beside the document.
@@ -32,8 +35,6 @@ from tablekit.llm.license_scan import CANONICAL
 
 #: Words in a window, and in a block of the benchmark (about a hundred bytes each when broadcast).
 WINDOW, BLOCK_WORDS = 10, 1_000_000
-#: Pairs of locations that are extended at once.
-CHUNK = 1 << 20
 
 STATE = pa.struct([
     ("n_words", pa.int64()),
@@ -67,17 +68,67 @@ class TestSuffixes:
         self.at, self.length, self.item = (np.array([x[k] for x in at], np.int64) for k in range(3))
         self.shortest = int(self.length.min()) if at else window
         keys = suffix_keys(self.words, self.at, window)
-        order = np.lexsort((self.length, keys)) if len(at) else np.zeros(0, np.int64)
+        whole = suffix_ranks(self.words)
+        order = np.lexsort((whole[self.at], self.length, keys)) if len(at) else np.zeros(0, np.int64)
         self.at, self.length, self.item, keys = self.at[order], self.length[order], self.item[order], keys[order]
         new = np.ones(len(at), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (self.length[1:] != self.length[:-1])
         #: Windows of equal words stand together: first[k] to first[k + 1].
         self.first = np.append(np.flatnonzero(new), len(at))
         self.keys, self.key_length = keys[self.first[:-1]], self.length[self.first[:-1]]
+        #: All words as bytes that compare like them, and the items of each window.
+        self.spelled = self.words.astype(">u4").tobytes() + bytes(4)
+        self.items = [np.unique(self.item[a:b]) for a, b in zip(self.first, self.first[1:])]
         self.above = np.array([k.ljust(4 * window, b"\0")[:4 * n] + b"\xff" * 4 * (window - n)
                                for k, n in zip(self.keys.tolist(), self.key_length.tolist())], keys.dtype)
 
 
+    def nearest(self, spelled: bytes, place: int, end: int, window: int) -> tuple[int, int]:
+        """(length, item) of the longest match of the words from ``place`` to ``end`` with the
+        test suffixes of a window; of equal ones the first in the benchmark's order of suffixes."""
+        own, theirs = spelled[4 * place:4 * end], self.spelled
+        low, high = int(self.first[window]), int(self.first[window + 1])
+        a, b = low, high
+        while a < b:
+            k = (a + b) // 2
+            at = 4 * int(self.at[k])
+            if theirs[at:at + len(own)] < own:
+                a = k + 1
+            else:
+                b = k
+        found = [(common(own, theirs, 4 * int(self.at[k])), -k) for k in (a - 1, a) if low <= k < high]
+        length, k = max(found)
+        return length, int(self.item[-k])
+
+
+def common(own: bytes, theirs: bytes, at: int) -> int:
+    """How many words from the start of ``own`` and from ``at`` are the same (four bytes each)."""
+    most = min(len(own), len(theirs) - at) // 4
+    a, b = np.frombuffer(own, "<u4", most), np.frombuffer(theirs, "<u4", most, at)
+    done, step = 0, 64
+    while done < most:
+        differ = a[done:done + step] != b[done:done + step]
+        if differ.any():
+            return done + int(differ.argmax())
+        done, step = done + step, 2 * step
+    return most
+
+
+def suffix_ranks(ids: np.ndarray) -> np.ndarray:
+    """The rank of each place's suffix by all words up to the next break, by doubling."""
+    n, rank, done = len(ids), np.unique(ids, return_inverse=True)[1] if len(ids) else ids, 1
+    zero = ids == 0
+    while done < n:
+        behind = np.zeros(n, np.int64)
+        behind[:n - done] = rank[done:]
+        behind[np.append(zero, np.ones(done, bool))[done - 1:n + done - 1] | zero] = 0
+        new = np.unique(rank * (n + 1) + behind, return_inverse=True)[1]
+        if (new == rank).all():
+            break
+        rank, done = new, 2 * done
+    return rank
+
+
 def suffix_keys(ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """The next ``window`` words from each place as comparable bytes; zeros from the first break on."""
     wide = np.append(ids, np.zeros(window, ids.dtype))
@@ -125,26 +176,31 @@ class Shard:
         np.add.at(edge, place + self.tests.key_length[window], -1)
         return np.cumsum(edge[:-1]) > 0
 
-    def extended(self, place: np.ndarray, window: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(place, item, length) of the matches with every item, in chunks; a match goes on
-        for as long as shard and item have the same words."""
-        t = self.tests
-        count = t.first[window + 1] - t.first[window]
-        ends = np.cumsum(count)
-        mine, theirs = np.append(self.ids, 0), np.append(t.words, 0)
-        start = 0
-        while start < len(place):
-            stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + CHUNK, "right")))
-            some, c = slice(start, stop), count[start:stop]
-            p = np.repeat(place[some], c)
-            k = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(t.first[window[some]], c)
-            at, length, more = t.at[k], t.length[k].copy(), np.arange(len(k))
-            while len(more):
-                i, j = p[more] + length[more], at[more] + length[more]
-                more = more[(mine[i] == theirs[j]) & (mine[i] > 0)]
-                length[more] += 1
-            yield p, t.item[k], length
-            start = stop
+    def longest(self, place: np.ndarray, window: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, length, item, place): the longest match of each document, the first of several.
+
+        Places are walked in order; one that could not beat the document's best before its
+        run of known words ends is passed over.
+        """
+        t, spelled = self.tests, self.ids.astype(">u4").tobytes() + bytes(4)
+        breaks = np.flatnonzero(np.append(self.ids, 0) == 0)
+        order = np.lexsort((t.key_length[window], place))
+        place, window = place[order], window[order]
+        end = breaks[np.searchsorted(breaks, place)]
+        doc = np.searchsorted(self.starts, place, "right") - 1
+        now, best = -1, (0, 0, 0)
+        for p, w, e, d in zip(place.tolist(), window.tolist(), end.tolist(), doc.tolist()):
+            if d != now:
+                if now >= 0:
+                    yield now, *best
+                now, best = d, (0, 0, 0)
+            if e - p <= best[0]:
+                continue
+            length, item = t.nearest(spelled, p, e, w)
+            if length > best[0]:
+                best = length, item, p - int(self.starts[d])
+        if now >= 0:
+            yield now, *best
 
 
 def scan(texts: list[bytes], tests: TestSuffixes) -> list[dict]:
@@ -159,20 +215,18 @@ def scan(texts: list[bytes], tests: TestSuffixes) -> list[dict]:
     doc_of = lambda p: np.searchsorted(shard.starts, p, "right") - 1
     for d, a, b in zip(doc_of(turns[::2]), turns[::2], turns[1::2]):
         out[d]["hits"].append({"start": int(a - shard.starts[d]), "end": int(b - shard.starts[d])})
-    named: dict[int, set[str]] = {}
-    for p, item, length in shard.extended(place, window):
-        doc = doc_of(p)
-        pairs = np.unique(doc * len(tests.names) + item)
-        for x in pairs.tolist():
-            named.setdefault(x // len(tests.names), set()).add(tests.names[x % len(tests.names)])
-        best = np.lexsort((p, -length, doc))
-        for i in best[np.unique(doc[best], return_index=True)[1]]:
-            row = out[doc[i]]
-            if length[i] > row["longest"]:
-                row |= dict(longest=int(length[i]), longest_item=tests.names[item[i]],
-                            longest_at=int(p[i] - shard.starts[doc[i]]))
-    for d, names in named.items():
-        out[d]["items"] = sorted(names)
+    for d, length, item, at in shard.longest(place, window):
+        out[d] |= dict(longest=length, longest_item=tests.names[item], longest_at=at)
+    # Documents that hit the same windows share one list of items.
+    doc, lists = doc_of(place), {}
+    order = np.argsort(doc, kind="stable")
+    for hits in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1):
+        windows = np.unique(window[hits])
+        key = windows.tobytes()
+        if key not in lists:
+            found = np.unique(np.concatenate([tests.items[w] for w in windows]))
+            lists[key] = sorted({tests.names[i] for i in found.tolist()})
+        out[doc[hits[0]]]["items"] = lists[key]
     return out
 
 
