@@ -30,6 +30,7 @@ token every probability is 1; an empty table gives no rows; other columns are ig
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -140,8 +141,9 @@ class Level:
     left: np.ndarray | None = None
 
     def part(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        spread = np.where(np.isin(history, self.heavy), ~mixed(word), history)
-        return (mixed(spread) % np.uint64(self.parts)).astype(np.int32)
+        at = np.minimum(np.searchsorted(self.heavy, history), len(self.heavy) - 1)
+        spread = np.where(self.heavy[at] == history, ~mixed(word), history)
+        return (mixed(spread) % np.uint64(self.parts)).astype(np.uint32)
 
 
 class Block:
@@ -150,44 +152,62 @@ class Block:
     def __init__(self, row: dict):
         self.number = row["block"]
         self.tokens = unpacked(row["tokens"], "<i4")
-        self.word = unpacked(row["words"], "<u8")[self.tokens]
+        self.words = unpacked(row["words"], "<u8")
         end = np.flatnonzero(self.tokens == END)
         self.first = np.concatenate([[0], end[:-1] + 1])
         self.length = np.diff(np.concatenate([self.first, [len(self.tokens)]]))
         self.held = np.array(row["held"], bool)
         self.train = np.repeat(~self.held, self.length)
-        self.history = np.zeros(len(self.tokens), np.uint64)
+        self.history = self.word = None
 
     def advance(self, level: Level, numbers: np.ndarray) -> None:
         """The next order's histories: the n-gram that ends before each token; 0 at a text's start."""
         if level.order == 1:
-            self.word = numbers
+            self.word = numbers         # from now on words go by their numbers, too
         self.history = np.append(np.uint64(0), numbers[:-1])
         self.history[self.first] = 0
 
 
+def sorted_by(*columns: np.ndarray) -> np.ndarray:
+    """The order by several columns of unsigned numbers, the first one above all; in one sort if one number holds them."""
+    columns = [c for c in columns if len(c) and c.max() != c.min()] or list(columns[:1])
+    spans = [int(c.max()) + 1 if len(c) else 1 for c in columns]
+    if len(columns) > 1 and math.prod(spans) >= 1 << 64:
+        return np.lexsort(columns[::-1])
+    key = columns[0].astype(np.uint64)
+    for c, span in zip(columns[1:], spans[1:]):
+        key = key * np.uint64(span) + c.astype(np.uint64)
+    return np.argsort(key)
+
+
 class Grams:
     """The distinct n-grams of a block in the order in which they are sent: part, history, word."""
 
     def __init__(self, block: Block, level: Level):
         self.level = level
-        part = level.part(block.history, block.word)
-        order = np.lexsort((block.word, block.history, part))
-        differs = lambda x: np.append(True, x[order][1:] != x[order][:-1])
-        run = differs(part) | differs(block.history)
-        new = run | differs(block.word)
-        self.first = order[new]                                 # a token of each n-gram
-        self.which = np.empty(len(order), np.int64)             # each token's n-gram
-        self.which[order] = np.cumsum(new) - 1
-        self.part, self.history, self.word = part[self.first], block.history[self.first], block.word[self.first]
-        self.count = np.bincount(self.which[block.train], minlength=len(self.first))
+        if level.order == 1:    # the block's words are numbered already, from END on
+            history, word, which = np.zeros(len(block.words) - END, np.uint64), block.words[END:], block.tokens - END
+        else:
+            history, word, which = block.history, block.word, None
+        part = level.part(history, word)
+        order = sorted_by(part, history, word)
+        part, history, word = part[order], history[order], word[order]
+        differs = lambda x: np.append(True, x[1:] != x[:-1])
+        run = differs(part) | differs(history)
+        new = run | differs(word)
+        self.first = None if which is not None else order[new]  # a token of each n-gram
+        self.part, self.history, self.word = part[new], history[new], word[new]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        self.which = place if which is None else place[which]   # each token's n-gram
+        self.count = np.bincount(self.which[block.train], minlength=len(self.part))
         # Runs of equal history inside a part.
         self.run, self.run_of = np.flatnonzero(run[new]), np.cumsum(run[new]) - 1
 
     def messages(self, block: int, lower: np.ndarray | None) -> Iterator[dict]:
         """What the block sends to each part; ``lower`` is the shorter model's probability by token."""
-        lower = np.zeros(len(self.first)) if lower is None else lower[self.first]
-        sizes = np.diff(np.append(self.run, len(self.first)))
+        lower = np.zeros(len(self.part)) if lower is None else lower[self.first]
+        sizes = np.diff(np.append(self.run, len(self.part)))
         cuts = np.flatnonzero(np.append(True, self.part[1:] != self.part[:-1]))
         for a, b in zip(cuts, np.append(cuts[1:], len(self.part))):
             some = slice(*np.searchsorted(self.run, [a, b]))
@@ -264,7 +284,7 @@ def merged(table: pa.Table, level: Level, bound: float, last: bool) -> pa.Table:
     word, count = (np.concatenate([unpacked(x[c], kind) for x in got]) for c, kind in (("words", "<u8"), ("counts", "<u4")))
     lower = np.concatenate([unpacked(x["values"], "<f8")[unpacked(x["lower"], "<u4")] for x in got])
     borders = np.cumsum([0, *(int(n.sum()) for n in runs)])
-    order = np.lexsort((word, history))
+    order = sorted_by(history, word)
     new = np.append(True, (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1]))
     start = np.flatnonzero(new)
     gram = np.empty(len(order), np.int64)
