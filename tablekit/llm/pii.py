@@ -2,7 +2,9 @@
 words adjust their score.  SQL functions only; every text is handled in its own row.
 
 Positions come from cutting a text at its matches: the pieces' and the matches'
-lengths add up to the start of each match (in code points).  The patterns are
+lengths add up to the start of each match (in code points).  Arrays are folded, and
+texts are read around spans, in blocks of ``BLOCK`` matches, so that a text with very
+many matches does not cost the square of their number.  The patterns are
 possessive and start only at the beginning of a run, so each is linear in the
 text's length and finds the same spans as its plain form in ``KINDS``.  An account
 number can go on into the words behind it, so its pattern proposes the start only
@@ -26,6 +28,8 @@ BEFORE, AFTER = 40, 20
 #: What a context word adds to the score, and the score that a span must reach
 #: (spans of the base kinds stay whatever their score).
 CONTEXT_SCORE, MIN_SCORE = 0.4, 0.5
+#: Matches that are handled together.
+BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -123,11 +127,37 @@ KINDS = (
 SPAN = "struct<start:int,end:int,value:string>"
 
 
+def _blocks(items: Column) -> Column:
+    """An array as an array of arrays with ``BLOCK`` elements."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _folded(items: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The array ``out`` (of ``kind``) that ``step`` grows from a struct (at, out), with ``at`` 0 at first."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+
+    def block(a: Column, some: Column) -> Column:
+        done = F.aggregate(some, F.struct(a["at"].alias("at"), F.array().cast(f"array<{kind}>").alias("out")), step)
+        return F.struct(done["at"].alias("at"), F.concat(a["out"], F.array(done["out"])).alias("out"))
+
+    return F.flatten(F.aggregate(_blocks(items), zero, block, lambda a: a["out"]))
+
+
+def _read(text: Column, items: Column, low: Callable, high: Callable, one: Callable) -> Column:
+    """``one(part, at, item)`` of each item, ``part`` being the text from ``at`` on that holds what
+    lies between ``low`` and ``high`` of the items of a block (sorted by both)."""
+    first = lambda b: F.greatest(low(F.element_at(b, 1)), F.lit(0))
+    parts = F.transform(_blocks(items), lambda b: F.struct(
+        F.substring(text, first(b) + 1, high(F.element_at(b, -1)) - first(b)).alias("part"), first(b).alias("at"), b.alias("items")))
+    return F.flatten(F.transform(parts, lambda p: F.transform(p["items"], lambda x: one(p["part"], p["at"], x))))
+
+
 def _located(text: Column, pattern: str, matches: Column) -> Column:
     """Start, end and value of each match, from the lengths of what lies between them."""
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     pairs = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
     def step(a: Column, x: Column) -> Column:
         start = a["at"] + x["g"]
@@ -135,7 +165,7 @@ def _located(text: Column, pattern: str, matches: Column) -> Column:
         one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("value"))
         return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(pairs, zero, step, lambda a: a["out"])
+    return _folded(pairs, step, SPAN)
 
 
 def with_spans(docs: DataFrame, text: str = "text", into: str = "spans",
@@ -158,10 +188,10 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans",
         F.array().cast(f"array<{SPAN}>")) for k in kinds})
     for k in kinds:
         if k.whole:
-            out = out.withColumn(found[k.name], F.transform(columns[k.name], _from_start(t, k)))
+            out = out.withColumn(found[k.name], _from_start(t, k, columns[k.name]))
             out = out.withColumn(found[k.name], _apart(columns[k.name]))
     out = out.withColumn(into, F.flatten(F.array(*(
-        F.filter(F.transform(columns[k.name], _scored(t, k)), _kept(k)) for k in kinds))))
+        F.filter(_scored(t, k, columns[k.name]), _kept(k)) for k in kinds))))
     return out.drop(body, *found.values())
 
 
@@ -169,29 +199,28 @@ def _valid_span(kind: Kind) -> Callable[[Column], Column]:
     return lambda s: kind.valid(s["value"])
 
 
-def _from_start(text: Column, kind: Kind) -> Callable[[Column], Column]:
-    return lambda s: F.struct(s["start"].alias("start"), kind.whole(
-        F.substring(text, s["start"] + 1, F.lit(kind.reach))).alias("value"))
+def _from_start(text: Column, kind: Kind, spans: Column) -> Column:
+    return _read(text, spans, lambda s: s["start"], lambda s: s["start"] + kind.reach, lambda part, at, s: F.struct(
+        s["start"].alias("start"), kind.whole(F.substring(part, s["start"] - at + 1, F.lit(kind.reach))).alias("value")))
 
 
 def _apart(found: Column) -> Column:
     """The spans of the values found; one that starts inside the span before it is left out."""
     spans = F.transform(F.filter(found, lambda s: s["value"].isNotNull()), lambda s: F.struct(
         s["start"].alias("start"), (s["start"] + F.length(s["value"])).alias("end"), s["value"].alias("value")))
-    behind = lambda a, s: F.coalesce(F.try_element_at(a, F.lit(-1))["end"] <= s["start"], F.lit(True))
-    return F.aggregate(spans, F.array().cast(f"array<{SPAN}>"),
-                       lambda a, s: F.when(behind(a, s), F.concat(a, F.array(s))).otherwise(a))
+    return _folded(spans, lambda a, s: F.when(s["start"] >= a["at"], F.struct(
+        s["end"].alias("at"), F.concat(a["out"], F.array(s)).alias("out"))).otherwise(a), SPAN)
 
 
-def _scored(text: Column, kind: Kind) -> Callable[[Column], Column]:
-    def one(s: Column) -> Column:
-        before = F.substring(text, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1, F.least(s["start"], F.lit(BEFORE)))
-        after = F.substring(text, s["end"] + 1, F.lit(AFTER))
+def _scored(text: Column, kind: Kind, spans: Column) -> Column:
+    def one(part: Column, at: Column, s: Column) -> Column:
+        before = F.substring(part, F.greatest(s["start"] - BEFORE, F.lit(0)) - at + 1, F.least(s["start"], F.lit(BEFORE)))
+        after = F.substring(part, s["end"] - at + 1, F.lit(AFTER))
         near = F.concat(before, F.lit(" \n "), after).rlike(rf"(?i)(?<![A-Za-z])(?:{kind.context})")
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_SCORE).otherwise(0.0))
         return F.struct(F.lit(kind.name).alias("kind"), s["start"].cast("long").alias("start"),
                         s["end"].cast("long").alias("end"), score.alias("score"))
-    return one
+    return _read(text, spans, lambda s: s["start"] - BEFORE, lambda s: s["end"] + AFTER, one)
 
 
 def _kept(kind: Kind) -> Callable[[Column], Column]:
@@ -225,24 +254,26 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
 
     Overlapping spans are one replacement, named after the span that starts first.
     """
-    own, spans = docs.columns, "redact__spans"
-    t, s = F.col(f"`{text}`"), F.col(f"`{spans}`")
+    own, spans, heads = docs.columns, "redact__spans", "redact__heads"
+    t, s, h = F.col(f"`{text}`"), F.col(f"`{spans}`"), F.col(heads)
     out = with_spans(docs, text, spans, kinds)
-    merged = "array<struct<start:long,end:long,kind:string>>"
-    ordered = F.array_sort(F.transform(s, lambda x: F.struct(x["start"], x["end"], x["kind"])))
-
-    def join(a: Column, x: Column) -> Column:
-        last = F.element_at(a, -1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
-                          last["kind"].alias("kind"))
-        return F.when((F.size(a) > 0) & (F.try_element_at(a, F.lit(-1))["end"] > x["start"]),
-                      F.concat(F.slice(a, 1, F.size(a) - 1), F.array(longer))).otherwise(F.concat(a, F.array(x)))
-
-    out = out.withColumn(spans, F.aggregate(ordered, F.array().cast(merged), join))
-    piece = lambda x, i: F.concat(
-        F.substring(t, F.coalesce(F.get(s, i - 1)["end"], F.lit(0)).cast("int") + 1,
-                    (x["start"] - F.coalesce(F.get(s, i - 1)["end"], F.lit(0))).cast("int")),
-        F.lit("<"), F.upper(x["kind"]), F.lit(">"))
-    tail = F.substring(t, F.element_at(s, -1)["end"].cast("int") + 1, F.length(t))
-    clean = F.when(F.size(s) > 0, F.concat(F.array_join(F.transform(s, piece), ""), tail)).otherwise(t)
+    ordered = F.array_sort(F.transform(s, lambda x: F.struct(x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end"),
+                                                             x["kind"].alias("kind"))))
+
+    def mark(a: Column, x: Column) -> Column:
+        """A span that starts behind all before it heads a replacement; ``end`` is how far they reach."""
+        far = F.greatest(a["at"], x["end"])
+        one = F.struct(x["start"].alias("start"), far.alias("end"), x["kind"].alias("kind"), (x["start"] >= a["at"]).alias("head"))
+        return F.struct(far.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+
+    out = out.withColumn(spans, _folded(ordered, mark, "struct<start:int,end:int,kind:string,head:boolean>"))
+    out = out.withColumn(heads, F.filter(F.transform(s, lambda x, i: F.when(x["head"], i)), lambda i: i.isNotNull()))
+    # (low, start, end, kind): what stands before the replacement begins at low.
+    out = out.withColumn(spans, F.transform(h, lambda i, k: F.struct(
+        F.coalesce(F.get(s, i - 1)["end"], F.lit(0)).alias("low"), F.get(s, i)["start"].alias("start"),
+        F.get(s, F.coalesce(F.get(h, k + 1), F.size(s)) - 1)["end"].alias("end"), F.get(s, i)["kind"].alias("kind"))))
+    pieces = _read(t, s, lambda x: x["low"], lambda x: x["start"], lambda part, at, x: F.concat(
+        F.substring(part, x["low"] - at + 1, x["start"] - x["low"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+    tail = F.substring(t, F.element_at(s, -1)["end"] + 1, F.length(t))
+    clean = F.when(F.size(s) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(t)
     return out.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in own))

@@ -90,3 +90,21 @@ def test_account_numbers_before_other_words(spark):
         for a, b in reversed(want):
             text = text[:a] + "<IBAN>" + text[b:]
         assert clean[i] == text
+
+
+def test_very_many_spans(spark):
+    """Blocks of matches join without a seam, and the time grows with the number of matches."""
+    import time
+
+    def run(n):
+        text = " ".join(f"write a{i}@b.org, +1 415 555 {i % 10000:04d} or 10.0.{i % 300}.1;" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        row = P.digests(df).first()
+        check(row, text)
+        clean = P.redact(df).first().text
+        assert clean == " ".join("write <EMAIL>, <PHONE> or " + ("<IP>;" if i % 300 <= 255 else f"10.0.{i % 300}.1;") for i in range(n))
+        return time.time() - began
+
+    run(300)
+    assert run(4_000) < 3 * run(2_000) + 2
