@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tablekit.functions import qcol
 from tablekit.operators.ingest import _BLK, add_file_seq_id
-from tablekit.session import remove_dir, shared_dir
+from tablekit.session import publish_dir, remove_dir, shared_dir
 
 #: Layouts in one feed; each is a scan of its own.
 MAX_LAYOUTS = 200
@@ -248,15 +248,8 @@ def ingest_run(spark: SparkSession, src: str, out: str, schema: T.StructType | s
         manifest = spark.createDataFrame(new).join(counts, "source_file", "left")
         manifest.select("path", "source_file", "length", "modificationTime", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
                         F.lit(job).alias("job_id")).write.mode("overwrite").parquet(f"{hidden}/files")
-        publish(spark, hidden, f"{out}/run={job}")
+        publish_dir(spark, hidden, f"{out}/run={job}")
     finally:
         remove_dir(spark, scratch)
         remove_dir(spark, hidden)
     return new.num_rows
-
-
-def publish(spark: SparkSession, hidden: str, path: str) -> None:
-    """Make a finished run visible by one rename."""
-    fs, source = _fs(spark, hidden)
-    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(path)):
-        raise OSError(f"{path} could not be published")

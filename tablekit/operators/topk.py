@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tablekit.functions import qcol
+from tablekit.operators.staging import stage
 
 
 def _order(spec) -> Column:
@@ -39,3 +41,26 @@ def sort(df: DataFrame, order: Sequence) -> DataFrame:
 def top_k(df: DataFrame, k: int, order: Sequence, tie_break: Sequence = ()) -> DataFrame:
     """The first ``k`` rows under ``order`` then ``tie_break`` (unique columns)."""
     return sort(df, list(order) + list(tie_break)).limit(k)
+
+
+def with_row_number(df: DataFrame, *order: Column, name: str = "row_number", partitions: int | None = None) -> DataFrame:
+    """The rows numbered 1..n in a global order, without gaps and without a single-task window.
+
+    Rows are range-partitioned and sorted, written once, and counted by partition; the
+    driver holds one count for each partition, and a row's number is the rows of the
+    partitions before it plus its place in its own.  ``order`` should end in a unique
+    column; rows that tie are numbered in any order.
+    """
+    spark, place = df.sparkSession, "__tk_place"
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    rows = stage(ranged.sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright(place, 33)
+    counts = sorted(rows.groupBy(part.alias("part")).count().collect())
+    before, offsets = 0, []
+    for p, n in counts:
+        offsets.append((p, before))
+        before += n
+    known = spark.createDataFrame(offsets, "__tk_part long, __tk_before long")
+    within = F.col(place).bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(known), part == F.col("__tk_part")).select(
+        *[qcol(c) for c in df.columns], (F.col("__tk_before") + within + 1).alias(name))

@@ -13,11 +13,11 @@ from pyspark.sql import types as T
 from tablekit.catalog import create_database, list_databases
 from tablekit.operators.feeds import ingest_run, read_ingested, read_manifest
 from tablekit.operators.ingest import audit_ingest
-from tablekit.session import shared_dir
+from tablekit.session import scratch_database, shared_dir
 from tablekit.sinks.writers import num_partitions, transfer_tables, with_files, write_csv, write_json, write_parquet
 from tablekit.sources.conform import conform
 from tablekit.sources.readers import (
-    read_csv, read_delimited_text, read_json, read_table, read_text, read_with_options, split_corrupt,
+    read_csv, read_delimited_text, read_json, read_table, read_text, quarantined, read_with_options,
 )
 from tablekit.plans.registry import register
 from tablekit.plans.tables import table
@@ -146,7 +146,8 @@ UNION ALL
 SELECT true, NULL, NULL, NULL, 'order ' || CAST(o_orderkey AS VARCHAR) || ' of ' || CAST(o_custkey AS VARCHAR)
 FROM orders WHERE o_orderpriority = '5-LOW'""")
 def json_quarantine(spark, d):
-    """Lines that are not valid JSON go to quarantine (S3); the rest parse.  Both sides are returned."""
+    """Lines that are not valid JSON go to quarantine (S3); the rest parse.  Both sides are returned,
+    from the two partitions of one table that one scan has written."""
     o = table(spark, d, "orders")
     # Broken lines: the low-priority orders are plain text.
     broken = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(" of "),
@@ -154,13 +155,9 @@ def json_quarantine(spark, d):
     line = F.when(F.col("o_orderpriority") == "5-LOW", broken).otherwise(F.to_json(F.struct(*o.columns)))
     path = shared_dir(spark, "jsonl") + "/orders"
     o.select(line.alias("value")).write.mode("overwrite").text(path)
-    good, bad = split_corrupt(
-        read_json(spark, path, schema=ORDERS_DDL + ", _corrupt STRING", corrupt_column="_corrupt"),
-        "_corrupt")
-    none = F.lit(None)
-    return good.select(F.lit(False).alias("bad"), "o_orderkey", "o_custkey", "o_totalprice",
-                       none.cast("string").alias("line")).union(bad.select(
-                           F.lit(True), none.cast("bigint"), none.cast("bigint"), none.cast("double"), "_corrupt"))
+    rows = quarantined(
+        read_json(spark, path, schema=ORDERS_DDL + ", _corrupt STRING", corrupt_column="_corrupt"), "_corrupt")
+    return rows.select("bad", "o_orderkey", "o_custkey", "o_totalprice", F.col("_corrupt").alias("line"))
 
 
 @register("roundtrip_tsv", """SELECT * FROM part""")
@@ -259,7 +256,7 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name
 def warehouse_tables(spark, d):
     """Tables transferred to a database as views and managed tables, twice (overwrite), and
     joined by name; the database is listed and lives in the warehouse (W6, W7, S11, C2, C3, C5)."""
-    name, before = f"tk_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    name, before = scratch_database(f"tk_{uuid.uuid4().hex[:12]}"), spark.catalog.currentDatabase()
     create_database(spark, name, use=True)
     try:
         for _ in range(2):

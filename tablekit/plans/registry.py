@@ -24,5 +24,5 @@ def load_all() -> None:
     # Importing the modules fills the registry.
     from tablekit.plans import (  # noqa: F401
         aggregate_queries, io_queries, join_queries, projection_queries,
-        scalar_queries, skew_queries, upsert_queries,
+        scalar_queries, skew_queries, state_queries, upsert_queries,
     )

@@ -88,6 +88,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _scratch: list[str] = []
+_databases: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -99,11 +100,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return _scratch[-1]
 
 
+def scratch_database(name: str) -> str:
+    """Note a database that :func:`remove_scratch` drops."""
+    _databases.append(name)
+    return name
+
+
 def remove_scratch(spark: SparkSession) -> int:
-    """Delete every folder handed out by :func:`shared_dir` so far; how many existed.
+    """Delete every folder handed out by :func:`shared_dir` so far and drop the noted
+    databases; how many folders existed.
 
     Frames that read them must have been consumed.
     """
+    databases, _databases[:] = _databases[:], []
+    for name in databases:
+        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
     paths, _scratch[:] = _scratch[:], []
     return sum(remove_dir(spark, p) for p in paths)
 
@@ -112,3 +123,19 @@ def remove_dir(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the shared file system; True when something was deleted."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def publish_dir(spark: SparkSession, hidden: str, path: str) -> None:
+    """Make a finished folder visible under its name by one rename; an existing name is an error.
+
+    A rename onto an existing folder would move the new one into it, so that is looked for
+    first: one writer at a time.
+    """
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    target = jvm_path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        raise FileExistsError(f"{path} exists already")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(jvm_path(hidden), target):
+        raise OSError(f"{path} could not be published")

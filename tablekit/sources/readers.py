@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
+from tablekit.functions import qcol
+
 PARSE_MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
@@ -40,23 +42,32 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return r.options(**{k: str(v) for k, v in options.items()}).json(path)
 
 
-def split_corrupt(df: DataFrame, corrupt_column: str, stage_path: str | None = None
-                  ) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, quarantined raw lines).
+def quarantined(df: DataFrame, corrupt_column: str, stage_path: str | None = None, flag: str = "bad") -> DataFrame:
+    """The parsed rows and the lines that did not parse, as two partitions (``flag``) of one table.
 
-    Spark refuses a raw JSON/CSV scan whose only referenced column is the
-    corrupt-record column, which is what a plain ``count()`` of either side
-    would be.  The parsed rows are therefore written once, as a table in the
-    shared checkpoint folder (or ``stage_path``), and both sides read that.
+    One scan writes both to the shared checkpoint folder (or ``stage_path``); a filter on
+    ``flag`` reads its partition only.  Spark refuses a raw JSON/CSV scan whose only
+    referenced column is the corrupt-record column, which is what a plain ``count()`` of
+    either side would be, so the rows have to be written once.  The table goes with
+    ``session.remove_dir`` or ``remove_scratch``.
     """
     from tablekit.session import shared_dir
     spark = df.sparkSession
     path = stage_path or shared_dir(spark, "quarantine")
-    df.write.mode("overwrite").parquet(path)
-    staged = spark.read.parquet(path)
-    cols = [c for c in staged.columns if c != corrupt_column]
-    good = staged.where(F.col(corrupt_column).isNull()).select(*cols)
-    bad = staged.where(F.col(corrupt_column).isNotNull()).select(*cols, corrupt_column)
+    rows = df.withColumn(flag, F.col(corrupt_column).isNotNull())
+    rows.write.mode("overwrite").partitionBy(flag).parquet(path)
+    # The schema as written (the flag last), so that an empty side is read as well.
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def split_corrupt(df: DataFrame, corrupt_column: str, stage_path: str | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the corrupt column, quarantined raw lines) of :func:`quarantined`."""
+    flag = "__tk_bad"
+    rows = quarantined(df, corrupt_column, stage_path, flag)
+    cols = [c for c in df.columns if c != corrupt_column]
+    good = rows.where(~F.col(flag)).select(*map(qcol, cols))
+    bad = rows.where(flag).select(*map(qcol, cols), qcol(corrupt_column))
     return good, bad
 
 

@@ -97,17 +97,21 @@ def test_a_run_opens_no_known_file(spark, tmp):
 def test_a_crash_before_the_rename_publishes_nothing(spark, tmp, monkeypatch):
     src, out = f"{tmp}/in", f"{tmp}/out"
     _landed(src)
-    publish = feeds.publish
+    publish = feeds.publish_dir
 
     def crash(*args):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(feeds, "publish", crash)
+    monkeypatch.setattr(feeds, "publish_dir", crash)
     with pytest.raises(RuntimeError):
         feeds.ingest_run(spark, src, out)
     assert feeds.read_manifest(spark, out).count() == 0
-    monkeypatch.setattr(feeds, "publish", publish)
-    assert feeds.ingest_run(spark, src, out) == 2
+    monkeypatch.setattr(feeds, "publish_dir", publish)
+    assert feeds.ingest_run(spark, src, out, job_id="j") == 2
+    assert feeds.read_ingested(spark, out).count() == 3
+    _write(f"{src}/late.csv", "id,name\n7,p\n")
+    with pytest.raises(FileExistsError):
+        feeds.ingest_run(spark, src, out, job_id="j")
     assert feeds.read_ingested(spark, out).count() == 3
 
 
