@@ -190,8 +190,9 @@ def with_spans(docs: DataFrame, text: str = "text", into: str = "spans",
         if k.whole:
             out = out.withColumn(found[k.name], _from_start(t, k, columns[k.name]))
             out = out.withColumn(found[k.name], _apart(columns[k.name]))
-    out = out.withColumn(into, F.flatten(F.array(*(
-        F.filter(_scored(t, k, columns[k.name]), _kept(k)) for k in kinds))))
+    # A one-element explode: else filters on the result would copy these expressions into themselves.
+    out = out.withColumn(into, F.explode(F.array(F.flatten(F.array(*(
+        F.filter(_scored(t, k, columns[k.name]), _kept(k)) for k in kinds))))))
     return out.drop(body, *found.values())
 
 
@@ -276,4 +277,4 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
         F.substring(part, x["low"] - at + 1, x["start"] - x["low"]), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
     tail = F.substring(t, F.element_at(s, -1)["end"] + 1, F.length(t))
     clean = F.when(F.size(s) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(t)
-    return out.withColumn(text, clean).select(*(F.col(f"`{c}`") for c in own))
+    return out.withColumn(text, F.explode(F.array(clean))).select(*(F.col(f"`{c}`") for c in own))

@@ -217,21 +217,31 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGL
 
 
 def keep_one(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``docs`` with one document of each component: the smallest id, then the smallest fingerprint.
+    """``docs`` with one document of each component: the smallest id, then the smallest fingerprint,
+    then the smallest hash of the text.
 
-    A missing id counts as larger than any other; of rows with the same id and fingerprint
-    one stays.
+    A missing id counts as larger than any other; of rows with the same id and text one stays.
+    The row is chosen by its keys; texts are shuffled only where an id and text come more than once.
     """
     staging = Staging(docs.sparkSession, "simhash-keep")
-    key = "simhash__fp"
-    prints = staging.put("prints", with_fingerprints(docs.select("doc_id", "text"), "fp", shingle=shingle,
-                                                     seed=seed, keep_text=False).distinct())
-    found = classes(prints, staging, bits)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "fp")).alias("first")
+    mark = "simhash__text"
+    text = F.sha2(F.coalesce("text", F.lit("")), 256)
+    prints = staging.put("prints", with_fingerprints(docs.select("doc_id", "text", text.alias("hash")), "fp", shingle=shingle,
+                                                     seed=seed, keep_text=False).groupBy("doc_id", "fp", "hash").agg(
+        F.count("*").alias("n")))
+    found = classes(prints.select("doc_id", "fp").distinct(), staging, bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "fp", "hash", "n")).alias("first")
     by_print = prints.groupBy("fp").agg(first).join(found, "fp")
     kept = staging.put("kept", by_print.groupBy("component").agg(F.min("first").alias("first")).select(
-        F.col("first.doc_id").alias("kept_id"), F.col("first.fp").alias("kept_fp")))
+        F.col("first.doc_id").alias("kept_id"), F.col("first.hash").alias("kept_hash"), F.col("first.n").alias("kept_n")))
     staging.drop("points", "prints")
-    rows = with_fingerprints(docs, key, shingle=shingle, seed=seed)
-    rows = rows.join(kept, (F.col(key) == F.col("kept_fp")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates([key, "doc_id"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.withColumn(mark, text)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def chosen(some: DataFrame) -> DataFrame:
+        return rows.join(some, (F.col(mark) == F.col("kept_hash")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+    once = chosen(kept.where("kept_n = 1")).select(*columns)
+    if kept.where("kept_n > 1").isEmpty():
+        return once
+    return once.unionAll(chosen(kept.where("kept_n > 1")).dropDuplicates([mark, "doc_id"]).select(*columns))
