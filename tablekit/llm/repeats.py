@@ -77,12 +77,12 @@ class Reader:
         """The symbols of all rows, the row borders, and the symbols' bytes."""
         if not self.plan.of_words:
             data, borders = concatenated(column)
-            return self.table[data], borders, Spelling(data.tobytes(), None)
+            return self.table[data], borders, Spelling(data.tobytes())
         texts = [x.split() for x in column.to_pylist()]
         borders = np.array([0, *accumulate(map(len, texts))], np.int64)
         words = [w for t in texts for w in t]
         symbols = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        return symbols, borders, Spelling(b" ".join(words), np.array([0, *accumulate(len(w) + 1 for w in words)], np.int64))
+        return symbols, borders, Spelling(words=words)
 
     def families(self, column: pa.Array) -> tuple[Spelling, np.ndarray, Families, np.ndarray]:
         """The symbols' bytes, row borders, families and each family's row."""
@@ -91,15 +91,21 @@ class Reader:
         return spelling, borders, found, np.searchsorted(borders, found.low, "right") - 1
 
 
-@dataclass(frozen=True)
 class Spelling:
-    """The bytes of a run of symbols; ``starts`` of the words, None if symbols are bytes."""
+    """The bytes of a run of symbols: the symbols themselves, or words, which are joined when first asked for."""
+
+    def __init__(self, data: bytes | None = None, words: list[bytes] | None = None):
+        self.data, self.words, self.starts = data, words, None
 
-    data: bytes
-    starts: np.ndarray | None
+    def _join(self) -> None:
+        if self.data is None:
+            size = np.fromiter(map(len, self.words), np.int64, len(self.words))
+            self.starts = np.concatenate([[0], np.cumsum(size + 1)])
+            self.data, self.words = b" ".join(self.words), None
 
     def cut(self, start: np.ndarray, stop: np.ndarray) -> Iterator[bytes]:
         """The bytes from one symbol to another."""
+        self._join()
         if self.starts is not None:
             start, stop = self.starts[start], self.starts[stop] - 1
         data = self.data
