@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.functions import qcol
+from tablekit.operators.aggregate import pick_per_key
 from tablekit.operators.staging import stage
 from tablekit.operators.upsert import dedup_changes, upsert
 from tablekit.session import publish_dir, remove_dir, shared_dir
@@ -138,8 +139,13 @@ def candidates(path: str, files: DataFrame, changes: DataFrame, key: str) -> Dat
     return pairs.join(bitmaps, ["file", "bucket"]).where(is_set).select("file").union(sure).distinct()
 
 
-def merge(spark: SparkSession, path: str, changes: DataFrame, key: str, order_by=None, rows_per_file: int | None = None) -> Merge:
-    """UPDATE or INSERT the changes by ``key``; duplicates need ``order_by`` (the largest wins)."""
+def merge(spark: SparkSession, path: str, changes: DataFrame, key: str, order_by=None, rows_per_file: int | None = None,
+          newest: bool = False) -> Merge:
+    """UPDATE or INSERT the changes by ``key``; duplicates need ``order_by`` (the largest wins).
+
+    With ``newest`` a row of the table that is larger by ``order_by`` (columns of the table)
+    stays, so changes may come late, or twice.
+    """
     version, files = versions(spark, path)[-1], index(spark, path)
     scratch = shared_dir(spark, "file-merge")
     try:
@@ -155,7 +161,11 @@ def merge(spark: SparkSession, path: str, changes: DataFrame, key: str, order_by
         columns = read(spark, path).columns
         rows = ch.select(*map(qcol, columns))
         if touched:
-            rows = upsert(spark.read.parquet(*touched).select(*map(qcol, columns)), rows, key, validate=order_by is None)
+            old_rows = spark.read.parquet(*touched).select(*map(qcol, columns))
+            if newest:
+                rows = pick_per_key(old_rows.unionByName(rows), key, order_by).select(*map(qcol, columns))
+            else:
+                rows = upsert(old_rows, rows, key, validate=order_by is None)
         rows = stage(rows, path=f"{scratch}/rows")
         size = rows_per_file or max(1, sum(old.values()) // len(old))
         n = rows.count()

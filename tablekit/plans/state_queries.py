@@ -16,6 +16,8 @@ from tablekit.plans.registry import register
 from tablekit.plans.tables import table
 from tablekit.plans.upsert_queries import KEY, UPSERT_SQL, _changes, _target
 from tablekit.session import shared_dir
+from tablekit.sinks.layout import write_clustered
+from tablekit.streaming.latest_stream import start_latest_stream
 
 
 @register("distinct_rollup", """
@@ -97,3 +99,33 @@ def merge_by_files(spark, d):
     file_merge.create(_target(spark, d), path, KEY, files=8)
     file_merge.merge(spark, path, _changes(spark, d), KEY)
     return file_merge.read(spark, path)
+
+
+@register("latest_running", """
+SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
+def latest_running(spark, d):
+    """The latest order per customer as a running table: orders replayed as a stream of four batches."""
+    base, o = shared_dir(spark, "latest"), table(spark, d, "orders")
+    o.repartition(4, "o_orderpriority", "o_orderkey").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    query = start_latest_stream(stream, f"{base}/table", f"{base}/checkpoint", "o_custkey", ["o_orderdate", "o_orderkey"])
+    query.awaitTermination()
+    return file_merge.read(spark, f"{base}/table").select(*o.columns)
+
+
+@register("layout_by_bytes", """SELECT count(*) AS n_rows, true AS sized, true AS few_by_part, true AS few_by_price FROM lineitem""")
+def layout_by_bytes(spark, d):
+    """``lineitem`` in files of a quarter megabyte along a curve over part and price (L1, L2): all but the
+    smallest are within half and twice the target, and a tenth of either column is in half of the files."""
+    rows, path, target = table(spark, d, "lineitem"), shared_dir(spark, "layout") + "/lineitem", 256 << 10
+    asked = write_clustered(rows, path, "l_partkey", "l_extendedprice", target)
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).agg(
+        F.count("*").alias("files"), F.count_if(F.col("length").between(target // 2, 2 * target)).alias("fit"))
+    written = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    cut = rows.agg(*[F.percentile_approx(c, 0.1, 10_000).alias(c) for c in ("l_partkey", "l_extendedprice")])
+    low = written.withColumnsRenamed({"l_partkey": "p", "l_extendedprice": "e"}).crossJoin(F.broadcast(cut))
+    files = low.agg(F.count("*").alias("n_rows"), *[F.count_distinct(F.when(F.col(c) <= F.col(by), F.col("file"))).alias(name) for c, by, name in (
+        ("p", "l_partkey", "by_part"), ("e", "l_extendedprice", "by_price"))])
+    few = lambda c: (F.col(c) <= F.greatest(F.lit(2), F.col("files") / 2 + 1)).alias(f"few_{c}")
+    return files.crossJoin(F.broadcast(sizes)).select(
+        "n_rows", ((F.col("files") == asked) & (F.col("fit") >= F.col("files") - 1)).alias("sized"), few("by_part"), few("by_price"))
