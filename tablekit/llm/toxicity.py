@@ -7,8 +7,10 @@ never helps to make its features), so later models meet the same kind of input a
 in use.  The decision threshold of each category is the one with the best F1 on its
 out-of-fold predictions.
 
-The last category is the label itself; the ones before it are the label where a
-word of the category's list occurs.  Models are fitted on at most ``MAX_LABELLED``
+The last category is the label itself.  The ones before it are learned from the same
+sample: words that occur almost only in toxic documents are put into groups by which of
+them occur together, and a category is the label where a word of its group occurs
+(``learned_categories``; or groups given by the caller).  Models are fitted on at most ``MAX_LABELLED``
 labelled documents (by hash of their ids) and applied to all documents.  The fits
 of a category, one without each fold and one on all, run in parallel tasks, each
 on that bounded sample.  Copies of a text under one id count once in it.
@@ -38,9 +40,9 @@ MAX_LABELLED, MAX_WORDS, MIN_DOCS, FOLDS = 20_000, 1000, 4, 3
 #: Passes of a fit over its sample, and the weight of its squared penalty.
 STEPS, PENALTY = 300, 1e-4
 
-#: Categories before the label, in chain order, with the words that tell them (fixed values).
-CATEGORIES = (("insult", ("idiot", "moron", "stupid", "clown", "loser")),
-              ("contempt", ("worthless", "trash", "scum", "pathetic", "disgusting")))
+#: Groups of words before the label; words in them at most; the least share of toxic documents
+#: among those with such a word; words that a group may start from.
+GROUPS, STRONG_WORDS, STRONG, SEEDS = 2, 32, 0.8, 8
 LAST = "toxic"
 
 WORD = regex.compile(r"\p{L}+")
@@ -100,8 +102,9 @@ def bounded(rows: DataFrame, max_labelled: int) -> DataFrame:
     return rows.where(F.col("place") <= F.lit(last).cast("long"))
 
 
-def telling_words(rows: DataFrame) -> list[str]:
-    """The words whose presence goes with the label most clearly (chi-squared)."""
+def telling_words(rows: DataFrame) -> list[tuple[str, int, int]]:
+    """(word, documents, toxic documents) of the words whose presence goes with the label most
+    clearly (chi-squared), the clearest first."""
     total, yes = rows.agg(F.count("*"), F.sum("label")).first()
     if not yes or yes == total:
         return []
@@ -111,7 +114,40 @@ def telling_words(rows: DataFrame) -> list[str]:
     found = (rows.select(F.explode("words").alias("word"), "label").groupBy("word")
              .agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(n >= MIN_DOCS)
              .where(off > 0).orderBy(score.desc(), "word").limit(MAX_WORDS))
-    return [r.word for r in found.select("word").collect()]
+    return [(r.word, r.n, int(r.k)) for r in found.select("word", "n", "k").collect()]
+
+
+def grouped(strong: list[tuple[str, int]], together: dict[tuple[str, str], int], groups: int = GROUPS) -> list[list[str]]:
+    """Words (with their toxic documents, clearest first) in groups that occur together.
+
+    Groups start from the words among the first ``SEEDS`` that occur together least; every
+    other word joins the group with which it occurs most on average (cosine of their documents).
+    """
+    count = dict(strong)
+
+    def near(a: str, b: str) -> float:
+        return together.get((min(a, b), max(a, b)), 0) / (count[a] * count[b]) ** 0.5
+
+    out: list[list[str]] = [[strong[0][0]]] if strong else []
+    while out and len(out) < min(groups, len(strong)):
+        rest = [w for w, _ in strong[:max(SEEDS, groups)] if all(w not in g for g in out)]
+        out.append([min(rest, key=lambda w: max(near(w, g[0]) for g in out))])
+    for word, _ in strong:
+        if all(word not in g for g in out):
+            best = max(out, key=lambda g: (sum(near(word, x) for x in g) / len(g), -len(g)))
+            best.append(word)
+    return out + [[]] * (groups - len(out))
+
+
+def learned_categories(rows: DataFrame, telling: list[tuple[str, int, int]]) -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """(name, words) of the groups; counts come from the toxic documents of the bounded sample."""
+    strong = [(w, k) for w, n, k in telling if k >= STRONG * n][:STRONG_WORDS]
+    names = F.array(*(F.lit(w) for w, _ in strong)) if strong else F.array().cast("array<string>")
+    held = rows.where("label = 1").select(F.array_intersect("words", names).alias("held"))
+    pairs = (held.select("held", F.explode("held").alias("a")).select("a", F.explode("held").alias("b")).where("a < b")
+             .groupBy("a", "b").count())        # at most STRONG_WORDS^2 / 2 rows
+    together = {(r.a, r.b): r["count"] for r in pairs.collect()} if strong else {}
+    return tuple((f"kind_{i + 1}", tuple(g)) for i, g in enumerate(grouped(strong, together)))
 
 
 def fit(bags: list[list[int]], before: np.ndarray, y: np.ndarray, n_words: int) -> np.ndarray:
@@ -183,11 +219,13 @@ def _threshold(rows: DataFrame, y: str, p: str) -> float:
     return best[1]
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, categories=CATEGORIES) -> Chain:
-    """Fit the chain."""
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, categories=None) -> Chain:
+    """Fit the chain; ``categories`` are (name, words) in chain order, learned if not given."""
     staging = Staging(docs.sparkSession, "toxicity")
     rows = bounded(staging.put("labelled", labelled(docs, labels, max_labelled)), max_labelled)
-    words = telling_words(rows)
+    telling = telling_words(rows)
+    words = [w for w, _, _ in telling]
+    categories = learned_categories(rows, telling) if categories is None else categories
     place = {w: i for i, w in enumerate(words)}
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +273,6 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
         work, f"doc_id {kind}, " + ", ".join([*(f"p_{x.name} double" for x in links), *(f"{x.name} boolean" for x in links)]))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, categories=None) -> DataFrame:
     """Learn the chain from the labels and score every document."""
-    return score(docs, learn(docs, labels, max_labelled))
+    return score(docs, learn(docs, labels, max_labelled, categories))

@@ -7,6 +7,11 @@ from tablekit.llm import toxicity as T
 from tablekit.llm.common import table
 
 
+# Two groups of words for tests of a chain with given categories.
+LISTS = (("insult", ("idiot", "moron", "stupid", "clown", "loser")),
+         ("contempt", ("worthless", "trash", "scum", "pathetic", "disgusting")))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     held = F.pmod(F.xxhash64("doc_id", F.lit("test")), F.lit(4)) == 0
@@ -27,7 +32,7 @@ def test_odd_rows_and_columns(spark):
     docs = spark.createDataFrame(rows + odd, "doc_id long, text string, toxic int, words string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0), "t") for i in range(100)] + [(None, 1, "t"), (3, None, "t"), (7, 0, "t"), (999, 1, "t")],
                                    "doc_id long, toxic int, text string")
-    out = T.score_toxicity(docs, labels).collect()
+    out = T.score_toxicity(docs, labels, categories=LISTS).collect()
     assert len(out) == len(rows) + len(odd)
     assert all(r.toxic == (r.doc_id % 4 == 0) and r.insult == r.toxic and not r.contempt for r in out if (r.doc_id or 999) < 120)
     assert all(r.toxic == (r.doc_id == 501) for r in out if r.doc_id is None or r.doc_id >= 500)
@@ -118,14 +123,36 @@ def test_whole_chain_against_plain_python(spark):
     truth = {i: int(i % 3 == 0 or i % 17 == 1) for i, _ in texts}
     labels = spark.createDataFrame(sorted(truth.items()), "doc_id long, toxic int")
     fold = {r.doc_id: r.fold for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(T.FOLDS)).alias("fold")).collect()}
-    words, links = brute_chain([(set(t.split()), float(truth[i]), fold[i]) for i, t in texts], T.CATEGORIES)
-    chain = T.learn(docs, labels)
+    words, links = brute_chain([(set(t.split()), float(truth[i]), fold[i]) for i, t in texts], LISTS)
+    chain = T.learn(docs, labels, categories=LISTS)
     assert list(chain.words) == words and [x.threshold for x in chain.links] == [t for _, t in links]
     for link, (weights, _) in zip(chain.links, links):
         assert max(abs(a - b) for a, b in zip(link.weights, weights)) < 1e-7
     for r in T.score(docs, chain).collect():
         before, text = [], set(dict(texts)[r.doc_id].split())
-        for name, (w, threshold) in zip([*(c for c, _ in T.CATEGORIES), T.LAST], links):
+        for name, (w, threshold) in zip([*(c for c, _ in LISTS), T.LAST], links):
             z = w[0] + sum(x * v for x, v in zip(before, w[1:])) + sum(w[1 + len(before) + j] for j, x in enumerate(words) if x in text)
             before.append(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
             assert abs(r[f"p_{name}"] - before[-1]) < 1e-7 and (r[name] == (before[-1] >= threshold) or abs(before[-1] - threshold) < 1e-7)
+
+
+def test_groups_are_learned_from_what_occurs_together(spark):
+    rng = random.Random(4)
+    kinds = [["idiot", "moron", "clown"], ["scum", "trash", "filth"]]
+    texts = []
+    for i in range(240):
+        words = [rng.choice("red blue tree sky sun sea you are".split()) for _ in range(8)]
+        if i % 3 == 0:
+            words += rng.sample(kinds[i // 3 % 2], 2)
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    rows = T.labelled(docs, labels)
+    found = T.learned_categories(rows, T.telling_words(rows))
+    assert sorted(sorted(w) for _, w in found) == sorted(sorted(k) for k in kinds)
+    out = T.score_toxicity(docs, labels).collect()
+    first = 1 if "idiot" in found[0][1] else 2
+    assert all(r.toxic == (r.doc_id % 3 == 0) for r in out)
+    assert all(r[f"kind_{first}"] == (r.doc_id % 6 == 0) and r[f"kind_{3 - first}"] == (r.doc_id % 6 == 3) for r in out)
+    assert T.learned_categories(rows, []) == (("kind_1", ()), ("kind_2", ()))
+    assert T.grouped([("a", 3)], {}) == [["a"], []]
