@@ -226,20 +226,19 @@ class Memory(dict):
             self.clear()
 
 
-def _mapped(docs: DataFrame, vocabulary: Vocabulary, column: str, result: str,
+def _mapped(docs: DataFrame, vocabulary: Vocabulary, column: str, results: tuple[str, ...],
             one: Callable[[Vocabulary], Callable]) -> DataFrame:
-    """``docs`` with the binary column ``result`` made from ``column`` by ``one``."""
+    """``docs`` with the binary columns ``results`` that ``one`` makes from each value of ``column``."""
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = docs.drop(result)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in kept.schema)}, `{result}` binary"
+    kept = docs.drop(*results)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"`{r}` binary" for r in results)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = one(held.value)
         for part in slices(batches, column):
-            values = binary(part.column(column)).to_pylist()
+            made = [convert(x.as_py()) for x in binary(part.column(column))]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(map(convert, values), pa.binary())],
-                [*part.schema.names, result])
+                [*part.columns, *(pa.array(x, pa.binary()) for x in zip(*made))], [*part.schema.names, *results])
 
     return kept.mapInArrow(work, schema)
 
@@ -248,18 +247,30 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     """``docs`` plus ``ids``: the token ids as little-endian unsigned 32-bit integers."""
     def one(held: Vocabulary) -> Callable:
         codec = Codec(held)
-        return lambda x: codec.encode(x.decode())
+        return lambda x: (codec.encode(x.decode()),)
 
-    return _mapped(docs, vocabulary, text, ids, one)
+    return _mapped(docs, vocabulary, text, (ids,), one)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``docs`` plus ``into``: the bytes of the tokens, concatenated."""
-    return _mapped(docs, vocabulary, ids, into, lambda held: lambda x: decoded(held.tokens, x))
+    return _mapped(docs, vocabulary, ids, (into,), lambda held: lambda x: (decoded(held.tokens, x),))
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``docs`` plus the ids and their decoding, both made in one pass by one worker of each task."""
+    def one(held: Vocabulary) -> Callable:
+        codec = Codec(held)
+
+        def both(x: bytes) -> tuple[bytes, bytes]:
+            packed = codec.encode(x.decode())
+            return packed, codec.decode(packed)
+        return both
+
+    return _mapped(docs, vocabulary, text, (ids, into), one)
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids and of the decoded bytes."""
-    both = decode(encode(docs.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
-    return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+    return round_trip(docs.select("doc_id", "text"), vocabulary).select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
