@@ -49,7 +49,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``ids`` (little-endian 32-bit token ids), ``n_tokens``, and whether
     they decode to the text."""
     vocabulary = public_vocabulary()
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary)
+    coded = byte_bpe.round_trip(docs, vocabulary)
     return coded.select(*_columns(docs), "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                         (F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("decodes"))
 
