@@ -114,8 +114,8 @@ def candidates(path: str, files: DataFrame, changes: DataFrame, key: str) -> Dat
     """(file): the files whose index does not rule out that they hold a changed key."""
     spark = files.sparkSession
     keys = changes.select(qcol(key).alias("key")).where("key IS NOT NULL").distinct()
-    span = keys.agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    near = files.crossJoin(F.broadcast(span)).where("low <= last AND high >= first").drop("first", "last")
+    first, last = keys.agg(F.min("key"), F.max("key")).first()
+    near = files.where((F.col("low") <= F.lit(last)) & (F.col("high") >= F.lit(first)))
     if isinstance(changes.schema[key].dataType, T.IntegralType):
         domain = files.agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count("*").alias("n")).first()
         width = max(1, -(-((domain.h or 0) - (domain.l or 0) + 1) // (CELLS * max(1, domain.n))))

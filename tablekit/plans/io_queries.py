@@ -78,7 +78,7 @@ def audit_ingest_q(spark, d):
          & (F.min(F.struct("seq_id", "o_orderkey"))["o_orderkey"] == F.min("o_orderkey"))).alias("numbered"))
     job = out.agg(F.min("job_id").alias("low"), F.max("job_id").alias("high"))
     valid = F.col("low").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") & (F.col("low") == F.col("high"))
-    return (out.join(files, "source_file").crossJoin(F.broadcast(job.select(valid.alias("one_job"))))
+    return (out.join(files, "source_file").withColumn("one_job", job.select(valid).scalar())
             .drop("job_id", "source_file", "seq_id"))
 
 

@@ -119,13 +119,16 @@ def layout_by_bytes(spark, d):
     smallest are within half and twice the target, and a tenth of either column is in half of the files."""
     rows, path, target = table(spark, d, "lineitem"), shared_dir(spark, "layout") + "/lineitem", 256 << 10
     asked = write_clustered(rows, path, "l_partkey", "l_extendedprice", target)
-    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).agg(
-        F.count("*").alias("files"), F.count_if(F.col("length").between(target // 2, 2 * target)).alias("fit"))
+    length = F.col("length")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "length")
+    n = files.agg(F.count("*")).first()[0]
+    fit = files.agg((F.lit(n == asked) & (F.count_if(length.between(target // 2, 2 * target)) >= n - 1)).alias("fit"))
     written = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
-    cut = rows.agg(*[F.percentile_approx(c, 0.1, 10_000).alias(c) for c in ("l_partkey", "l_extendedprice")])
-    low = written.withColumnsRenamed({"l_partkey": "p", "l_extendedprice": "e"}).crossJoin(F.broadcast(cut))
-    files = low.agg(F.count("*").alias("n_rows"), *[F.count_distinct(F.when(F.col(c) <= F.col(by), F.col("file"))).alias(name) for c, by, name in (
-        ("p", "l_partkey", "by_part"), ("e", "l_extendedprice", "by_price"))])
-    few = lambda c: (F.col(c) <= F.greatest(F.lit(2), F.col("files") / 2 + 1)).alias(f"few_{c}")
-    return files.crossJoin(F.broadcast(sizes)).select(
-        "n_rows", ((F.col("files") == asked) & (F.col("fit") >= F.col("files") - 1)).alias("sized"), few("by_part"), few("by_price"))
+
+    def few(column):
+        """Whether the lowest tenth of a column is in about half of the files at most."""
+        tenth = rows.agg(F.percentile_approx(column, 0.1, 10_000)).scalar()
+        return F.count_distinct(F.when(F.col(column) <= tenth, F.col("file"))) <= max(2, n / 2 + 1)
+
+    return written.agg(F.count("*").alias("n_rows"), few("l_partkey").alias("few_by_part"), few("l_extendedprice").alias("few_by_price")).select(
+        "n_rows", fit.scalar().alias("sized"), "few_by_part", "few_by_price")
