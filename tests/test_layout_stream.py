@@ -1,8 +1,12 @@
+import glob
+import os
+
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tablekit.operators import file_merge
 from tablekit.operators.aggregate import latest_per_key
-from tablekit.sinks.layout import file_count, write_clustered
+from tablekit.sinks.layout import _ends, file_count, write_clustered
 from tablekit.streaming.latest_stream import batch_merger, start_latest_stream
 
 
@@ -46,3 +50,21 @@ def test_file_count_follows_the_bytes(spark, tmp):
     for c in ("x", "y z"):
         hit = written.where(F.col(f"`{c}`").between(0.30, 0.33)).select(F.col("_metadata.file_path")).distinct().count()
         assert hit <= n / 2
+
+
+def test_the_sample_is_drawn_by_every_task(spark, tmp):
+    def seen(batches):
+        for batch in batches:
+            with open(f"{tmp}/{TaskContext.get().taskAttemptId()}", "a") as f:
+                f.write("." * batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 40_000, numPartitions=8).mapInArrow(seen, "id long")
+    assert file_count(rows, 1 << 20, sample_rows=1000) == 1
+    assert max(map(os.path.getsize, glob.glob(f"{tmp}/*"))) <= 5000
+
+
+def test_files_end_with_blocks_of_the_curve():
+    assert _ends([(p, 10) for p in range(64)], 4) == [16, 32, 48]
+    assert _ends([(p, 10 + p % 3) for p in range(64)], 4) == [16, 32, 48]
+    assert _ends([(0, 1000), *((p, 10) for p in range(1, 64))], 4) is None
