@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablekit.operators import file_merge
 from tablekit.operators.aggregate import latest_per_key
+from tablekit.plans.io_queries import file_layout
 from tablekit.sinks.layout import _ends, file_count, write_clustered
 from tablekit.streaming.latest_stream import batch_merger, start_latest_stream
 
@@ -68,3 +69,27 @@ def test_files_end_with_blocks_of_the_curve():
     assert _ends([(p, 10) for p in range(64)], 4) == [16, 32, 48]
     assert _ends([(p, 10 + p % 3) for p in range(64)], 4) == [16, 32, 48]
     assert _ends([(0, 1000), *((p, 10) for p in range(1, 64))], 4) is None
+
+
+def _lineitem(spark, n):
+    return spark.range(n).selectExpr("id AS l_orderkey", "id % 97 AS l_partkey", "concat('x', id) AS l_comment")
+
+
+def test_merging_reads_the_files_not_the_rows_again(spark, tmp):
+    _lineitem(spark, 20_000).write.parquet(f"{tmp}/lineitem.parquet")
+    spark.sparkContext.setJobGroup("file_layout", "")
+    try:
+        got = _rows(file_layout(spark, tmp))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == [str(("coalesce", 20_000, True, 5)), str(("repartition", 20_000, True, 10))]
+    # The five tasks that merge ten partitions are a stage without a shuffle before it.
+    tracker = spark.sparkContext.statusTracker()
+    merging = [j for i in tracker.getJobIdsForGroup("file_layout") if (j := tracker.getJobInfo(i))
+               and any((s := tracker.getStageInfo(k)) and s.numTasks == 5 for k in j.stageIds)]
+    assert merging and all(len(j.stageIds) == 1 for j in merging)
+
+
+def test_fewer_rows_than_files(spark, tmp):
+    _lineitem(spark, 3).write.parquet(f"{tmp}/lineitem.parquet")
+    assert _rows(file_layout(spark, tmp)) == [str(("coalesce", 3, True, 5)), str(("repartition", 3, False, 10))]
