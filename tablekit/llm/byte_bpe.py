@@ -3,8 +3,9 @@
 Tier one: a minimal perfect hash over the vocabulary resolves a pre-token that is
 a token itself.  Tier two: the other pre-tokens are merged with a heap of ranked
 neighbour pairs over a linked list of bytes, O(n log n) in the pre-token's length,
-so a long run without a blank costs no more per byte than prose.  Each task keeps
-the ids of recent pre-tokens (a bounded memory), as most come back often.
+so a long run without a blank costs no more per byte than prose.  The short ones of
+a slice of texts, each once, are merged together, a pair of each at a time.  Each task
+keeps the ids of recent pre-tokens (a bounded memory), as most come back often.
 
 The vocabulary (ranks and pattern) is a parameter.  The driver reads the file,
 builds the hash and broadcasts both; their size is bounded by ``MAX_VOCABULARY``.
@@ -20,7 +21,7 @@ import base64
 import heapq
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +35,10 @@ from tablekit.llm.common import binary, slices
 
 #: Entries and bytes a vocabulary may have, as it is broadcast.
 MAX_VOCABULARY, MAX_VOCABULARY_BYTES = 2_000_000, 64 << 20
+#: Bytes of text whose pre-tokens are merged together, and of such a pre-token at most (below 64).
+TOGETHER, SHORT = 1 << 20, 32
+#: More than any rank, and bits of a rank in the number of a pair.
+NONE, RANK_BITS = 1 << 40, 21
 #: Pre-tokens whose ids a task remembers.
 REMEMBERED = 200_000
 #: Mean keys in a bucket of the perfect hash.
@@ -115,11 +120,14 @@ def slot(h: int, seed: int, n: int) -> int:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Tokens by rank, the pattern that cuts pre-tokens, and the perfect hash of the ranks."""
+    """Tokens by rank, the pattern that cuts pre-tokens, the perfect hash of the ranks, and the
+    pairs of tokens that make a short token (sorted numbers) with its rank."""
 
     tokens: list[bytes]
     pattern: str
     lookup: PerfectHash
+    pairs: np.ndarray
+    merged: np.ndarray
 
     @staticmethod
     def load(path: str, pattern: str) -> Vocabulary:
@@ -141,7 +149,10 @@ class Vocabulary:
             tokens[rank] = token
         # Ranks may have gaps; only tokens are keys.
         lookup = PerfectHash.build(list(ranks))
-        return Vocabulary(tokens, pattern, PerfectHash(lookup.seeds, np.array(list(ranks.values()))[lookup.slots]))
+        found = sorted((ranks[a] << RANK_BITS | ranks[b], rank) for t, rank in ranks.items() if len(t) <= SHORT
+                       for k in range(1, len(t)) if (a := t[:k]) in ranks and (b := t[k:]) in ranks)
+        pairs, merged = np.array(found or [(-1, NONE)], np.int64).T.copy()
+        return Vocabulary(tokens, pattern, PerfectHash(lookup.seeds, np.array(list(ranks.values()))[lookup.slots]), pairs, merged)
 
 
 class Codec:
@@ -153,6 +164,8 @@ class Codec:
         self.pieces, self.plain_pieces = regex.compile(vocabulary.pattern).findall, plain_pattern(vocabulary.pattern)
         self.ranks = {t: i for i, t in enumerate(self.tokens) if t}
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
+        self.pairs, self.ranks_merged = vocabulary.pairs, vocabulary.merged
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)])
         self.memory = Memory(self, remembered)
 
     def whole(self, piece: bytes) -> int:
@@ -191,11 +204,62 @@ class Codec:
             i = end[i]
         return out
 
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the token that each pair makes, else ``NONE``."""
+        pair = a << RANK_BITS | b
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.ranks_merged[at], NONE)
+
+    def merged_together(self, pieces: list[bytes]) -> list[bytes]:
+        """What ``merged`` gives for each of many short pre-tokens, packed: all parts in one array; each round
+        merges the pair of lowest rank, leftmost first, of every pre-token that has one."""
+        sizes, which = np.fromiter(map(len, pieces), np.int64, len(pieces)), np.arange(len(pieces))
+        parts = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = np.append(self.rank(parts[:-1], parts[1:]), NONE)   # of a part with the next one
+        ranks[np.cumsum(sizes) - 1] = NONE
+        ready = []
+        while len(which):
+            starts = np.cumsum(sizes) - sizes
+            place = np.arange(len(parts)) - np.repeat(starts, sizes)
+            best = np.minimum.reduceat(ranks << 6 | place, starts)
+            live = best >> 6 < NONE
+            if not live.all():
+                kept = np.repeat(live, sizes)
+                ready.append((which[~live], sizes[~live], parts[~kept]))
+                parts, ranks, which, sizes, best = parts[kept], ranks[kept], which[live], sizes[live], best[live]
+            at = np.cumsum(sizes) - sizes + (best & 63)
+            parts[at] = best >> 6
+            kept = np.ones(len(parts), bool)
+            kept[at + 1] = False
+            parts, ranks, sizes = parts[kept], ranks[kept], sizes - 1
+            stops = np.cumsum(sizes)
+            at = stops - sizes + (best & 63)
+            ranks[at] = NONE
+            right, left = at[at + 1 < stops], at[best & 63 > 0] - 1
+            ranks[right] = self.rank(parts[right], parts[right + 1])
+            ranks[left] = self.rank(parts[left], parts[left + 1])
+        out = [b""] * len(pieces)
+        for own, lengths, ids in ready:
+            packed, stops = ids.astype("<u4").tobytes(), 4 * np.cumsum(lengths)
+            for k, start, stop in zip(own.tolist(), (stops - 4 * lengths).tolist(), stops.tolist()):
+                out[k] = packed[start:stop]
+        return out
+
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text."""
+        return (self.plain_pieces if self.plain_pieces and not _NOT_PLAIN(text) else self.pieces)(text)
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         self.memory.trim()
-        pieces = self.plain_pieces if self.plain_pieces and not _NOT_PLAIN(text) else self.pieces
-        return b"".join(map(self.memory.__getitem__, pieces(text)))
+        return b"".join(map(self.memory.__getitem__, self.cut(text)))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pre-tokens of all texts that are not remembered are looked up together."""
+        self.memory.trim()
+        cut = [self.cut(t) for t in texts]
+        self.memory.learn(set().union(*cut).difference(self.memory))
+        return [b"".join(map(self.memory.__getitem__, pieces)) for pieces in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return decoded(self.tokens, ids)
@@ -221,6 +285,17 @@ class Memory(dict):
             self[piece] = out
         return out
 
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Remember all of the pieces that are short; the others are left for when they are asked for."""
+        codec, rest = self.codec, {}
+        for piece in pieces:
+            if len(data := piece.encode()) <= SHORT:
+                if (i := codec.whole(data)) >= 0:
+                    self[piece] = codec.packed[i]
+                else:
+                    rest[piece] = data
+        self.update(zip(rest, codec.merged_together(list(rest.values()))))
+
     def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
@@ -228,17 +303,17 @@ class Memory(dict):
 
 def _mapped(docs: DataFrame, vocabulary: Vocabulary, column: str, results: tuple[str, ...],
             one: Callable[[Vocabulary], Callable]) -> DataFrame:
-    """``docs`` with the binary columns ``results`` that ``one`` makes from each value of ``column``."""
+    """``docs`` with the binary columns ``results`` that ``one`` makes from the values of ``column``."""
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
     kept = docs.drop(*results)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"`{r}` binary" for r in results)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = one(held.value)
-        for part in slices(batches, column):
-            made = [convert(x.as_py()) for x in binary(part.column(column))]
+        for part in slices(batches, column, TOGETHER):
+            made = convert(binary(part.column(column)).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, *(pa.array(x, pa.binary()) for x in zip(*made))], [*part.schema.names, *results])
+                [*part.columns, *(pa.array(x, pa.binary()) for x in made)], [*part.schema.names, *results])
 
     return kept.mapInArrow(work, schema)
 
@@ -247,14 +322,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     """``docs`` plus ``ids``: the token ids as little-endian unsigned 32-bit integers."""
     def one(held: Vocabulary) -> Callable:
         codec = Codec(held)
-        return lambda x: (codec.encode(x.decode()),)
+        return lambda texts: (codec.encode_all([x.decode() for x in texts]),)
 
     return _mapped(docs, vocabulary, text, (ids,), one)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``docs`` plus ``into``: the bytes of the tokens, concatenated."""
-    return _mapped(docs, vocabulary, ids, (into,), lambda held: lambda x: (decoded(held.tokens, x),))
+    return _mapped(docs, vocabulary, ids, (into,), lambda held: lambda packed: ([decoded(held.tokens, x) for x in packed],))
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -262,9 +337,9 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids:
     def one(held: Vocabulary) -> Callable:
         codec = Codec(held)
 
-        def both(x: bytes) -> tuple[bytes, bytes]:
-            packed = codec.encode(x.decode())
-            return packed, codec.decode(packed)
+        def both(texts: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+            packed = codec.encode_all([x.decode() for x in texts])
+            return packed, [codec.decode(x) for x in packed]
         return both
 
     return _mapped(docs, vocabulary, text, (ids, into), one)

@@ -83,6 +83,35 @@ def test_both_engines_cut_alike(vocabulary):
         assert codec.plain_pieces(text) == codec.pieces(text)
 
 
+def test_pieces_merged_together_equal_the_heap(vocabulary):
+    codec, rng = B.Codec(vocabulary), random.Random(5)
+    pieces = ["".join(rng.choice("abe thé ß中🙂\n\t'12 .,#lltionre") for _ in range(rng.randint(1, 30))).encode()[:B.SHORT] for _ in range(5000)]
+    assert codec.merged_together(pieces) == [b"".join(codec.packed[i] for i in codec.merged(p)) for p in pieces]
+    assert codec.merged_together([]) == [] and codec.merged_together([b"a"]) == [codec.packed[codec.ranks[b"a"]]]
+    # A merge may make a pair of lower rank; a vocabulary may have no pair at all.
+    ranks = {bytes([b]): b for b in range(256)}
+    for own in (ranks, ranks | {b"bc": 300, b"abc": 260, b"aa": 270, b"abcabc": 257}):
+        codec = B.Codec(B.Vocabulary.of(own, "."))
+        pieces = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 32))).encode() for _ in range(2000)]
+        assert codec.merged_together(pieces) == [b"".join(codec.packed[i] for i in codec.merged(p)) for p in pieces]
+
+
+def test_texts_of_a_slice_equal_the_library(vocabulary, library):
+    codec, rng = B.Codec(vocabulary, remembered=50), random.Random(6)
+    texts = ["".join(rng.choice("abe thé ß中🙂\n\t'12 .,#ll") for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    texts += ["", "x" * 5000, texts[0], "\n" * 200]
+    packed = codec.encode_all(texts)
+    assert [list(struct.unpack(f"<{len(p) // 4}I", p)) for p in packed] == [library.encode_ordinary(t) for t in texts]
+    assert codec.encode_all([]) == []
+
+
+def test_each_new_piece_of_a_slice_is_merged_once(vocabulary, monkeypatch):
+    codec, alone = B.Codec(vocabulary), []
+    monkeypatch.setattr(B.Codec, "merged", lambda self, piece: alone.append(piece) or [0])
+    codec.encode_all(["zqxjw vkqzx"] * 20)
+    assert not alone and len(codec.memory) == 2
+
+
 def test_table_equals_the_library(spark, vocabulary, library):
     docs = table(spark, SF_SMALL, "documents")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
